@@ -87,16 +87,11 @@ def vocabulary(df: DataFrame, text: str = TEXT) -> DataFrame:
 
 
 def term_weights(df: DataFrame, id: str, text: str) -> DataFrame:
-    """Document frequency and inverse document frequency of every word.
-
-    The number of texts is one row; it meets the words in a one-row broadcast.
-    """
-    total = df.agg(F.count("*").alias("_texts"))
+    """Document frequency and inverse document frequency of every word."""
+    texts = df.agg(F.count("*")).scalar()
     per_text = words(df.select(id, text), text).select(id, "word").distinct()
     frequency = per_text.groupBy("word").agg(F.count("*").alias("doc_freq"))
-    return frequency.join(F.broadcast(total)).select(
-        "word", "doc_freq", F.log((F.col("_texts") + 1) / (F.col("doc_freq") + 1)).alias("idf")
-    )
+    return frequency.withColumn("idf", F.log((texts + 1) / (F.col("doc_freq") + 1)))
 
 
 def word_features(vocab: DataFrame, features: int = FEATURES) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -73,11 +74,13 @@ def snapshot_before(
 
     A replayed batch therefore starts from the same state as its first run.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    versioned = StructType(list(schema.fields)).add("batch_id", "bigint")
+    try:
+        older = spark.read.schema(versioned).parquet(path).where(F.col("batch_id") < batch_id)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    versioned = StructType(schema.fields).add("batch_id", "bigint")
-    older = spark.read.schema(versioned).parquet(path).where(F.col("batch_id") < batch_id)
     newest = older.agg(F.max("batch_id")).first()[0]
     if newest is None:
         return spark.createDataFrame([], schema)
