@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from claimstream.schemas import CLAIM, RAW
 
@@ -74,7 +74,7 @@ def snapshot_before(
 
     A replayed batch therefore starts from the same state as its first run.
     """
-    versioned = StructType(list(schema.fields)).add("batch_id", "bigint")
+    versioned = StructType(list(schema.fields)).add("batch_id", LongType())
     try:
         older = spark.read.schema(versioned).parquet(path).where(F.col("batch_id") < batch_id)
     except AnalysisException as missing:

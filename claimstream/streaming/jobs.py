@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from claimstream.functions import scored as S
 from claimstream.functions.text import choose_text
@@ -31,8 +31,12 @@ ALL_THEN_STOP = {"availableNow": True}
 
 
 def _per_batch(stream: DataFrame, work, checkpoint: str, trigger: dict) -> StreamingQuery:
+    def unless_empty(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            work(batch, batch_id)
+
     return (
-        stream.writeStream.foreachBatch(work)
+        stream.writeStream.foreachBatch(unless_empty)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -86,7 +90,7 @@ def metrics_and_sample(
         earlier = snapshot_before(spark, f"{out}/sample", batch_id, StructType(drawn.schema.fields))
         sample = sampling.merge_reservoirs(earlier, drawn, id, k).persist()
         totals = snapshot_before(
-            spark, f"{out}/stats", batch_id, StructType().add("total_processed", "bigint")
+            spark, f"{out}/stats", batch_id, StructType().add("total_processed", LongType())
         )
         before = (totals.first() or [0])[0]
         stats = (
@@ -129,7 +133,8 @@ def positives_in_window(
             *keys, *order, S.positive_bit(F.col("predicted_label")).alias("is_positive")
         )
         schema = StructType([batch.schema[c] for c in keys])
-        schema = schema.add("pos", "bigint").add("overhang", "bigint").add("recent", "array<int>")
+        schema = schema.add("pos", LongType()).add("overhang", LongType())
+        schema = schema.add("recent", ArrayType(IntegerType()))
         state = snapshot_before(spark, f"{out}/state", batch_id, schema)
         counted = dgim.dgim(
             bits, keys, order, "is_positive", window, state, chunk_rows
