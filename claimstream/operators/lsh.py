@@ -62,7 +62,7 @@ def signatures(
     minima = []
     for i in range(permutations):
         a, b = permutation(i)
-        minima.append(F.min((F.col("_hash") * a + b) % PRIME).alias(f"_min{i}"))
+        minima.append(F.min(((F.col("_hash") * a + b) % PRIME).cast("int")).alias(f"_min{i}"))
     rows = hashed.groupBy(*scope, id).agg(*minima)
     return rows.select(
         *scope, id, F.array(*[f"_min{i}" for i in range(permutations)]).alias("signature")
@@ -126,15 +126,16 @@ def similar_claims(
 ) -> DataFrame:
     """Each claim with the first claim of every bucket it shares, and both texts.
 
-    At most one row per claim and band.  A frequent first claim is looked up in slices.
+    At most one row per claim and band.  The texts of linked claims are picked out of the
+    whole table once; a frequent first claim is looked up in slices.
     """
+    linked = links.select(*scope, id).distinct()
+    texts = claims.select(*scope, id, text).join(linked, [*scope, id], "left_semi").checkpoint()
     found = links.where(F.col(id) > F.col("first_id")).select(
         *scope, id, F.col("first_id").alias("similar_id")
     ).distinct()
-    first_texts = claims.select(
-        *scope, F.col(id).alias("similar_id"), F.col(text).alias("similar_text")
-    )
-    own_texts = claims.select(*scope, id, F.col(text).alias("claim_text"))
+    first_texts = texts.withColumnsRenamed({id: "similar_id", text: "similar_text"})
+    own_texts = texts.withColumnRenamed(text, "claim_text")
     looked_up = spread_lookup(found, first_texts, [*scope, "similar_id"], id)
     return looked_up.join(own_texts, [*scope, id])
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimstream.functions.text import find_entities, redact, tokens
+from claimstream.operators.spread import spread_lookup
 
 # The corpus labels and the class each one stands for.
 LABEL_CLASS = {"SUPPORTS": 0, "REFUTES": 1, "NOT ENOUGH INFO": 1}
@@ -43,18 +44,19 @@ def dictionary_entities(
 ) -> DataFrame:
     """Entities of each text that stand in a dictionary, as (id, entities).
 
-    Every run of up to ``max_words`` words is matched with the dictionary by an
-    equi-join, so neither side is held in one place.  ``names`` has one column, ``entity``.
+    Every run of up to ``max_words`` words is matched with the dictionary by an equi-join
+    that slices frequent runs, so neither side is held in one place.  ``names`` has one
+    column, ``entity``.
     """
     runs = claims.select(
         id, F.split(F.col(text), r"(?U)[^\p{L}\p{N}]+").alias("_words")
     ).select(id, "_words", F.posexplode_outer("_words").alias("_pos", "_word"))
-    spans = F.transform(
-        F.sequence(F.lit(1), F.lit(max_words)),
-        lambda n: F.concat_ws(" ", F.slice("_words", F.col("_pos") + 1, n)),
+    following = [F.get("_words", F.col("_pos") + i) for i in range(1, max_words)]
+    spans = F.array(
+        *[F.concat(F.lit(""), "_word", *[x for w in following[:n] for x in (F.lit(" "), w)]) for n in range(max_words)]
     )
-    phrases = runs.select(id, F.explode_outer(spans).alias("entity")).distinct()
-    matched = phrases.join(names.select("entity").distinct(), "entity")
+    phrases = runs.select(id, F.explode(spans).alias("entity"))
+    matched = spread_lookup(phrases, names.select("entity").distinct(), ["entity"], id)
     return matched.groupBy(id).agg(F.collect_set("entity").alias("entities"))
 
 

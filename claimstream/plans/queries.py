@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -319,46 +320,54 @@ def dgim_buckets(spark: SparkSession, folder: str) -> DataFrame:
 # --- the classifier ---------------------------------------------------------------
 
 
-def _train(spark: SparkSession, folder: str):
-    marked = sampling.split(views.claims(spark, folder), "id").persist()
-    train, held_out = marked.where("is_train"), marked.where(~F.col("is_train"))
-    return classifier.fit(train), train, held_out, marked
+def _prepared(spark: SparkSession, folder: str) -> DataFrame:
+    """The redacted claims as a written table: training reads them many times."""
+    path = fresh_path(spark, "prepared")
+    sinks.write_table(views.claims(spark, folder), path, "parquet")
+    return sampling.split(spark.read.parquet(path), "id")
+
+
+def _fit(claims: DataFrame) -> PipelineModel:
+    return classifier.fit(claims.where("is_train"))
+
+
+def _top(spark: SparkSession, claims: DataFrame) -> DataFrame:
+    return classifier.top_features(classifier.coefficients(spark, _fit(claims)))
 
 
 @query
 def train_eval(spark: SparkSession, folder: str) -> DataFrame:
     """Rows trained on, rows held out, and accuracy on those."""
-    model, train, held_out, marked = _train(spark, folder)
-    row = (train.count(), held_out.count(), classifier.accuracy(model, held_out))
-    marked.unpersist()
-    return spark.createDataFrame([row], "train_rows bigint, test_rows bigint, accuracy double")
+    claims = _prepared(spark, folder)
+    held_out = claims.where(~F.col("is_train"))
+    right = classifier.accuracy(_fit(claims), held_out)
+    return claims.agg(
+        F.count_if("is_train").alias("train_rows"),
+        F.count_if(~F.col("is_train")).alias("test_rows"),
+        F.lit(right).alias("accuracy"),
+    )
 
 
 @query
 def score_claims(spark: SparkSession, folder: str) -> DataFrame:
     """All claims scored by a model that was saved and loaded again."""
-    model, _, _, marked = _train(spark, folder)
-    marked.unpersist()
-    path = fresh_path(spark, "model")
-    classifier.save(model, path)
-    scored = classifier.score(classifier.load(path), views.claims(spark, folder), ("id",))
+    claims, path = _prepared(spark, folder), fresh_path(spark, "model")
+    classifier.save(_fit(claims), path)
+    scored = classifier.score(classifier.load(path), claims, ("id",))
     return scored.select("id", "label", "predicted_label")
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     """The 30 features of largest weight."""
-    model, *_, marked = _train(spark, folder)
-    marked.unpersist()
-    return classifier.top_features(classifier.coefficients(spark, model))
+    return _top(spark, _prepared(spark, folder))
 
 
 @query
 def feature_words(spark: SparkSession, folder: str) -> DataFrame:
     """The same features with their words."""
-    top = feature_importance(spark, folder)
-    vocab = classifier.vocabulary(views.claims(spark, folder))
-    return classifier.feature_words(top, vocab)
+    claims = _prepared(spark, folder)
+    return classifier.feature_words(_top(spark, claims), classifier.vocabulary(claims))
 
 
 @query
@@ -380,12 +389,13 @@ def _replayed(
     path = fresh_path(spark, "scored-topic")
     messages = views.scored_messages(spark, folder)
     low, high = messages.agg(F.min("batch_id"), F.max("batch_id")).first()
-    for day in range(low, high + 1, days):
-        part = messages.where(F.col("batch_id").between(day, day + days - 1))
+    slices = range(low, high + 1, days)
+    for day in slices:
+        part = views.scored_messages(spark, folder, since=day, until=day + days)
         for _ in range(times):
             part.write.mode("append").parquet(path)
     files = spark.read.parquet(path).inputFiles()
-    per_trigger = max(1, len(files) // (times * len(range(low, high + 1, days))))
+    per_trigger = max(1, len(files) // (times * len(slices)))
     return readers.stream_files(spark, path, messages.schema, "parquet", per_trigger)
 
 
@@ -450,10 +460,9 @@ def stream_lsh(spark: SparkSession, folder: str) -> DataFrame:
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """Claims published as messages and scored by the streaming job."""
     topic, out = fresh_path(spark, "claim-topic"), fresh_path(spark, "predictions")
-    model, *_, marked = _train(spark, folder)
-    marked.unpersist()
-    claims = views.claims(spark, folder).drop("id")
-    sinks.publish(claims, "parquet", {"path": topic})
+    claims = _prepared(spark, folder)
+    model = _fit(claims)
+    sinks.publish(claims.drop("id", "is_train"), "parquet", {"path": topic})
     stream = readers.stream_files(spark, topic, "value string", "parquet")
     _finish(
         jobs.score_topic(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimstream.functions.text import find_entities, redact
+from claimstream.sources.readers import read_table
 
 # The language of a document decides its corpus label; the last label
 # is unknown to the label mapping and gets dropped.
@@ -13,7 +16,7 @@ LANGUAGE_LABEL = {"en": "SUPPORTS", "fr": "REFUTES", "de": "NOT ENOUGH INFO", "e
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,8 +47,20 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as messages: value over 100 is the score, errors are the positive class."""
+def scored_messages(
+    spark: SparkSession, folder: str, since: int | None = None, until: int | None = None
+) -> DataFrame:
+    """Events as messages: value over 100 is the score, errors are the positive class.
+
+    ``since`` and ``until`` are epoch days; the bounds are put on the stored column, so
+    they reach the scan.
+    """
+    events = table(spark, folder, "events")
+    midnight = datetime(1970, 1, 1)
+    if since is not None:
+        events = events.where(F.col("ts") >= F.lit(midnight + timedelta(since)).cast("timestamp_ntz"))
+    if until is not None:
+        events = events.where(F.col("ts") < F.lit(midnight + timedelta(until)).cast("timestamp_ntz"))
     day = F.unix_date(F.to_date("ts")).cast("bigint")
     payload = F.struct(
         F.concat_ws(" ", "event_type", "props").alias("claim"),
@@ -53,7 +68,7 @@ def scored_messages(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("event_type") == "error").cast("int").alias("label"),
         F.least(F.col("value") / 100, F.lit(1.0)).alias("predicted_label"),
     )
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
         day.alias("batch_id"),

@@ -20,6 +20,17 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).json(path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; one that makes fewer splits than there are cores is dealt out anew.
+
+    Parsing text is the costly part of most jobs, and a small table that is a single
+    split would leave all of it to one core.  A large table is read as it is.
+    """
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def topic_options(
     servers: str,
     topic: str,
