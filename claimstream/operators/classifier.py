@@ -86,11 +86,19 @@ def vocabulary(df: DataFrame, text: str = TEXT) -> DataFrame:
     return words(df.select(text), text).groupBy("word").agg(F.count("*").alias("uses"))
 
 
-def term_weights(df: DataFrame, id: str, text: str) -> DataFrame:
-    """Document frequency and inverse document frequency of every word."""
+def term_weights(df: DataFrame, text: str) -> DataFrame:
+    """Document frequency and inverse document frequency of every word.
+
+    Repeats of a word go inside its text, before any shuffle.
+    """
     texts = df.agg(F.count("*")).scalar()
-    per_text = words(df.select(id, text), text).select(id, "word").distinct()
-    frequency = per_text.groupBy("word").agg(F.count("*").alias("doc_freq"))
+    split = Tokenizer(inputCol=text, outputCol="words").transform(df.select(text))
+    per_text = split.select(F.explode_outer(F.array_distinct("words")).alias("word"))
+    frequency = (
+        per_text.where(F.col("word").isNotNull())
+        .groupBy("word")
+        .agg(F.count("*").alias("doc_freq"))
+    )
     return frequency.withColumn("idf", F.log((texts + 1) / (F.col("doc_freq") + 1)))
 
 

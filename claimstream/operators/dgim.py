@@ -155,14 +155,15 @@ def dgim(
     """
     keys = list(keys)
     rows = rows.withColumn("_bit", F.col(bit).cast("int"))
-    streams = rows.select(*keys).distinct()
+    zero = F.lit(0).cast("bigint")
     if state is None:
-        start = streams.withColumn("_start", F.lit(0).cast("bigint"))
-        positioned = with_positions(rows, keys, order).withColumn("_base", F.lit(0).cast("bigint"))
+        positioned = with_positions(rows, keys, order).withColumn("_base", zero)
+        start = positioned.select(*keys).distinct().withColumn("_start", zero)
     else:
         known = state.select(*keys, F.col("pos").alias("_base"), F.col("overhang").alias("_start"))
-        start = same_keys(streams, known.drop("_base"), keys, "left").fillna(0, ["_start"])
         positioned = with_positions(rows, keys, order, known.drop("_start"))
+        streams = positioned.select(*keys).distinct()
+        start = same_keys(streams, known.drop("_base"), keys, "left").fillna(0, ["_start"])
         past = _recent_rows(state, keys).withColumnRenamed("_last", "_base")
         positioned = positioned.unionByName(past, allowMissingColumns=True)
     laid = in_chunks(positioned, window, chunk_rows, base="_base").drop("_base")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from claimstream.functions.hashing import PRIME, permutation, small_hash
 from claimstream.functions.text import word_ngrams
-from claimstream.operators.spread import spread_lookup
+from claimstream.operators.spread import same_keys, spread_lookup
 from claimstream.session import shared_folder
 
 PERMUTATIONS = 64
@@ -130,14 +130,14 @@ def similar_claims(
     whole table once; a frequent first claim is looked up in slices.
     """
     linked = links.select(*scope, id).distinct()
-    texts = claims.select(*scope, id, text).join(linked, [*scope, id], "left_semi").checkpoint()
+    texts = same_keys(claims.select(*scope, id, text), linked, [*scope, id]).checkpoint()
     found = links.where(F.col(id) > F.col("first_id")).select(
         *scope, id, F.col("first_id").alias("similar_id")
     ).distinct()
     first_texts = texts.withColumnsRenamed({id: "similar_id", text: "similar_text"})
     own_texts = texts.withColumnRenamed(text, "claim_text")
     looked_up = spread_lookup(found, first_texts, [*scope, "similar_id"], id)
-    return looked_up.join(own_texts, [*scope, id])
+    return same_keys(looked_up, own_texts, [*scope, id])
 
 
 def nest_similar(rows: DataFrame, id: str, scope: Sequence[str] = ()) -> DataFrame:
@@ -157,7 +157,7 @@ def similar_to(
     The result is as large as the number of matches, so ask about some claims, not all.
     """
     bucket = [*scope, "band", "first_id"]
-    mine = links.join(asked.select(*scope, id).distinct(), [*scope, id], "left_semi")
+    mine = same_keys(links, asked.select(*scope, id).distinct(), [*scope, id])
     mine = mine.withColumnRenamed(id, "_asked")
     return (
         spread_lookup(links, mine, bucket, id)
@@ -178,7 +178,7 @@ def clusters(links: DataFrame, id: str, scope: Sequence[str] = ()) -> DataFrame:
     bucket = [*scope, "band", "first_id"]
     named = nearest(links, id, scope)
     reach = (
-        links.join(named, [*scope, id])
+        same_keys(links, named, [*scope, id])
         .groupBy(*bucket, "cluster_id")
         .agg(F.max(id).alias("_last"))
     )
@@ -198,4 +198,4 @@ def summary(
         F.count("*").alias("row_count"), F.sum(bit).alias("positive_count")
     )
     similar = nearest(links, id, scope).groupBy(*scope).agg(F.count("*").alias("similar_count"))
-    return counted.join(similar, list(scope), "left").fillna(0, ["similar_count"])
+    return same_keys(counted, similar, scope, "left").fillna(0, ["similar_count"])

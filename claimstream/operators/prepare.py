@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +42,35 @@ def prepare_claims(raw: DataFrame, entities: Column | None = None) -> DataFrame:
 
 
 def dictionary_entities(
-    claims: DataFrame, names: DataFrame, id: str, text: str, max_words: int = 4
+    claims: DataFrame,
+    names: DataFrame,
+    id: str,
+    text: str,
+    max_words: int = 4,
+    broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Entities of each text that stand in a dictionary, as (id, entities).
 
-    Every run of up to ``max_words`` words is matched with the dictionary by an equi-join
-    that slices frequent runs, so neither side is held in one place.  ``names`` has one
-    column, ``entity``.
+    Every run of up to ``max_words`` words is matched with the dictionary.  A dictionary
+    of at most ``broadcast_rows`` names (they are counted) is sent to the tasks; beyond that
+    both sides are shuffled and frequent runs sliced.  ``names`` has one column, ``entity``.
     """
     runs = claims.select(
         id, F.split(F.col(text), r"(?U)[^\p{L}\p{N}]+").alias("_words")
     ).select(id, "_words", F.posexplode_outer("_words").alias("_pos", "_word"))
     following = [F.get("_words", F.col("_pos") + i) for i in range(1, max_words)]
     spans = F.array(
-        *[F.concat(F.lit(""), "_word", *[x for w in following[:n] for x in (F.lit(" "), w)]) for n in range(max_words)]
+        *[
+            reduce(lambda run, word: F.concat(run, F.lit(" "), word), following[:n], F.col("_word"))
+            for n in range(max_words)
+        ]
     )
     phrases = runs.select(id, F.explode(spans).alias("entity"))
-    matched = spread_lookup(phrases, names.select("entity").distinct(), ["entity"], id)
+    usable = names.select("entity").distinct()
+    if usable.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        matched = phrases.join(F.broadcast(usable), "entity")
+    else:
+        matched = spread_lookup(phrases, usable, ["entity"], id)
     return matched.groupBy(id).agg(F.collect_set("entity").alias("entities"))
 
 

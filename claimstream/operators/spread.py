@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+SALTS = 256
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -29,11 +29,13 @@ def spread_lookup(
 ) -> DataFrame:
     """Inner-join ``lookup`` onto ``big`` when some keys of ``big`` are very frequent.
 
+    Null keys match each other.
+
     Rows of ``big`` are cut into ``salts`` slices per key by a hash of ``spread_by``.
     The lookup rows are copied only to the (key, slice) pairs that occur, so a rare key
     costs one copy and a frequent key is joined by up to ``salts`` tasks.
     """
     sliced = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
     occurring = sliced.select(*keys, "_salt").distinct()
-    copies = occurring.join(lookup, list(keys))
-    return sliced.join(copies, [*keys, "_salt"]).drop("_salt")
+    copies = same_keys(occurring, lookup, keys)
+    return same_keys(sliced, copies, [*keys, "_salt"]).drop("_salt")

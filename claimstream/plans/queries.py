@@ -187,7 +187,7 @@ def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
-    terms = classifier.term_weights(views.documents(spark, folder), "id", "claim")
+    terms = classifier.term_weights(views.documents(spark, folder), "claim")
     return terms.withColumn("idf", F.round("idf", 6))
 
 
@@ -480,7 +480,9 @@ def stream_table(spark: SparkSession, folder: str) -> DataFrame:
     out = fresh_path(spark, "table")
     stream = _replayed(spark, folder).withColumnRenamed("batch_id", "day")
     _finish(
-        jobs.to_table(stream, out, f"{out}-run", ["id", "day"], trigger=jobs.ALL_THEN_STOP)
+        jobs.to_table(
+            stream, out, f"{out}-run", ["id", "day"], partitions=4, trigger=jobs.ALL_THEN_STOP
+        )
     )
     return spark.read.parquet(out).select("id", "day", "claim", "label", "predicted_label")
 

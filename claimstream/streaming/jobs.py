@@ -84,7 +84,9 @@ def metrics_and_sample(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = ops.stamp(ops.parse_scored(batch, [id])).persist()
+        arrival = F.lit(batch_id).cast("bigint")
+        parsed = ops.stamp(ops.parse_scored(batch, [id])).withColumn("arrival_batch", arrival)
+        parsed = parsed.persist()
         rows = ops.with_category(parsed)
         drawn = sampling.reservoir(rows, id, k, seed)
         earlier = snapshot_before(spark, f"{out}/sample", batch_id, StructType(drawn.schema.fields))
@@ -145,7 +147,8 @@ def positives_in_window(
         ).drop("_batch")
         write_batch(ops.head_sample(ops.stamp(parsed), keys, order), f"{out}/raw_sample", batch_id)
         write_batch(ops.stamp(stats), f"{out}/stats", batch_id)
-        write_batch(newest.select(schema.fieldNames()), f"{out}/state", batch_id)
+        stamped = newest.select(*schema.fieldNames(), F.unix_timestamp().alias("updated_at"))
+        write_batch(stamped, f"{out}/state", batch_id)
 
     return _per_batch(messages, work, checkpoint, trigger)
 
@@ -191,11 +194,11 @@ def to_table(
     out: str,
     checkpoint: str,
     keep: Sequence[str] = (),
-    partitions: int | None = 4,
+    partitions: int | None = None,
     fmt: str = "parquet",
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
-    """Append the parsed predictions to a table, ``partitions`` files per batch."""
+    """Append the parsed predictions to a table, in ``partitions`` files per batch if given."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         write_batch(ops.stamp(ops.parse_scored(batch, keep)), out, batch_id, fmt, partitions)

@@ -75,5 +75,5 @@ def test_feature_without_words(spark, claims):
 
 def test_term_weights(spark):
     df = spark.createDataFrame([(1, "a b b"), (2, "a")], "id int, text string")
-    got = {r.word: (r.doc_freq, round(r.idf, 6)) for r in classifier.term_weights(df, "id", "text").collect()}
+    got = {r.word: (r.doc_freq, round(r.idf, 6)) for r in classifier.term_weights(df, "text").collect()}
     assert got == {"a": (2, 0.0), "b": (1, 0.405465)}

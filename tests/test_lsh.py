@@ -102,10 +102,10 @@ def test_one_text_copied_into_a_third_of_the_table(spark):
 
 
 def test_scope_keeps_batches_apart(spark):
-    rows = [(1, "a", "one two three four"), (2, "b", "one two three four"), (3, "a", "one two three four")]
+    rows = [(1, "a", "one two three four"), (2, "b", "one two three four"), (3, "a", "one two three four"), (4, None, "one two three four"), (5, None, "one two three four")]
     claims = spark.createDataFrame(rows, "id bigint, batch string, text string")
     links = lsh.bucket_links(claims, "id", F.col("text"), ["batch"])
-    assert [(r.batch, r.id, r.cluster_id) for r in lsh.nearest(links, "id", ["batch"]).collect()] == [("a", 3, 1)]
+    assert [(r.batch, r.id, r.cluster_id) for r in lsh.nearest(links, "id", ["batch"]).orderBy("id").collect()] == [("a", 3, 1), (None, 5, 4)]
 
 
 def test_spread_lookup_equals_a_join(spark):

@@ -81,8 +81,10 @@ def test_dictionary_entities(spark):
     rows = [(1, "She moved to New York City, then Rome."), (2, "no match"), (3, "Rome Rome")]
     docs = spark.createDataFrame(rows, "id int, text string")
     names = spark.createDataFrame([("New York City",), ("Rome",), ("York",)], "entity string")
-    got = {r.id: sorted(r.entities) for r in dictionary_entities(docs, names, "id", "text").collect()}
-    assert got == {1: ["New York City", "Rome", "York"], 3: ["Rome"]}
+    for broadcast_rows in (0, 100):
+        found = dictionary_entities(docs, names, "id", "text", broadcast_rows=broadcast_rows)
+        got = {r.id: sorted(r.entities) for r in found.collect()}
+        assert got == {1: ["New York City", "Rome", "York"], 3: ["Rome"]}
 
 
 def test_prepare_drops_and_maps(spark):
