@@ -81,13 +81,17 @@ def window_counts(
     window: int = 1000,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Exact number of ones among the last ``window`` positions at every row."""
-    last = (
-        Window.partitionBy(*keys, "_chunk").orderBy("pos").rowsBetween(-(window - 1), 0)
-    )
+    """Exact number of ones among the last ``window`` positions at every row.
+
+    Taken as the difference of two running counts: a sliding frame would add up the
+    whole window again at every row.
+    """
+    chunk = Window.partitionBy(*keys, "_chunk").orderBy("pos")
+    so_far = chunk.rowsBetween(Window.unboundedPreceding, 0)
     return (
         in_chunks(positioned, window, chunk_rows)
-        .withColumn("exact", F.sum(bit).over(last))
+        .withColumn("_ones", F.sum(bit).over(so_far))
+        .withColumn("exact", F.col("_ones") - F.lag("_ones", window, 0).over(chunk))
         .where(~F.col("_carried"))
-        .drop("_chunk", "_carried")
+        .drop("_chunk", "_carried", "_ones")
     )
