@@ -31,6 +31,14 @@ from claimstream.operators.spread import same_keys, spread_lookup
 FAN = 256
 
 
+def _utc(table: pa.Table) -> pa.Table:
+    """Instants as UTC: they arrive in the session's time zone, but must leave in UTC."""
+    for i, field in enumerate(table.schema):
+        if pa.types.is_timestamp(field.type) and field.type.tz:
+            table = table.set_column(i, field.name, table[i].cast(pa.timestamp("us", "UTC")))
+    return table
+
+
 def _next_reset(starts: np.ndarray, held: np.ndarray) -> np.ndarray:
     """For a reset after the r-th leaving one, the leaving one of the next reset.
 
@@ -105,7 +113,7 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
     grouped = tables.withColumn("_group", F.floor(F.col("_chunk") / fan).cast("bigint"))
 
     def combine(section: pa.Table) -> pa.Table:
-        section = section.sort_by("_chunk")
+        section = _utc(section).sort_by("_chunk")
         chained = None
         for table in section["_table"]:
             table = np.array(table.as_py())
@@ -114,7 +122,7 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         return one.append_column("_table", pa.array([chained.tolist()], pa.list_(pa.int64())))
 
     def hand_down(section: pa.Table) -> pa.Table:
-        section = section.sort_by("_chunk")
+        section = _utc(section).sort_by("_chunk")
         overhang, entries = section["_start"][0].as_py(), []
         for table in section["_table"]:
             entries.append(overhang)
@@ -180,7 +188,7 @@ def dgim(
     )
 
     def tabulate(section: pa.Table) -> pa.Table:
-        section = section.sort_by("pos")
+        section = _utc(section).sort_by("pos")
         one = section.slice(0, 1).select(chunk)
         if pc.all(section["_carried"]).as_py():
             return one.slice(0, 0).append_column("_table", pa.array([], pa.list_(pa.int64())))
@@ -188,7 +196,7 @@ def dgim(
         return one.append_column("_table", table)
 
     def replay(section: pa.Table, entered: pa.Table) -> pa.Table:
-        section = section.sort_by("pos")
+        section = _utc(section).sort_by("pos")
         own = section.filter(pc.invert(section["_carried"]))
         overhang = entered["at__overhang"][0].as_py() if own.num_rows else 0
         exact, estimate = _estimates(section, overhang, window)

@@ -291,10 +291,8 @@ def dgim_estimate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dgim_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    """Estimate over all messages as one stream, in small chunks, held against its bounds."""
-    counted = dgim.dgim(
-        _one_stream(spark, folder), ["key"], ["ts", "id"], "is_positive", chunk_rows=1500
-    )
+    """Estimate over all messages as one stream, held against its bounds."""
+    counted = dgim.dgim(_one_stream(spark, folder), ["key"], ["ts", "id"], "is_positive")
     exact, estimate = F.col("exact"), F.col("estimate")
     within = (exact <= estimate) & (estimate < F.greatest(2 * exact, F.lit(1)))
     return counted.select("pos", "exact", within.alias("within"))

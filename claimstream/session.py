@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -110,3 +110,22 @@ def test_all_ones_then_silence(spark):
     pos, exact, estimate = got["k", 1400]
     assert exact == 1000 and 1000 <= estimate < 2000
     assert got["k", 2599][1:] == (0, 0)
+
+
+def test_columns_come_back_unchanged_in_any_time_zone(spark):
+    rows = spark.range(300).select(
+        F.timestamp_micros(F.col("id") * 60_000_000).alias("key"),
+        "id",
+        F.timestamp_micros(F.lit(10**15) + F.col("id")).alias("ts"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("maybe"),
+        (F.col("id") % 2).alias("bit"),
+    ).withColumn("key", F.date_trunc("hour", "key"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        result = dgim(rows, ["key"], ["ts", "id"], "bit", 20, chunk_rows=25, fan=2)
+        assert sorted(map(tuple, result.select(rows.columns).collect()), key=lambda r: r[1]) == [
+            tuple(r) for r in rows.orderBy("id").collect()
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
