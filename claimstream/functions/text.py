@@ -14,7 +14,7 @@ ENTITY_MARK = "<ENTITY>"
 
 # Stands for a replaced entity until all are replaced, so that a short entity
 # such as "E" cannot rewrite the letters of the mark itself.
-_HOLD = ""
+_HOLD = "\ue000"
 
 # Default entity rule: one or more capitalised words in a row, or a number.
 ENTITY_PATTERN = r"\p{Lu}[\p{L}\p{N}]+(?: \p{Lu}[\p{L}\p{N}]+)*|[0-9]+"

@@ -24,9 +24,9 @@ def classifier(features: int = FEATURES) -> Pipeline:
     return Pipeline(
         stages=[
             Tokenizer(inputCol=TEXT, outputCol="words"),
-            HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=features),
-            IDF(inputCol="rawFeatures", outputCol="features"),
-            LogisticRegression(featuresCol="features", labelCol="label"),
+            HashingTF(numFeatures=features, inputCol="words", outputCol="word_counts"),
+            IDF(inputCol="word_counts", outputCol="features"),
+            LogisticRegression(),
         ]
     )
 
@@ -37,10 +37,9 @@ def fit(train: DataFrame, features: int = FEATURES) -> PipelineModel:
 
 def accuracy(model: PipelineModel, held_out: DataFrame) -> float:
     """Share of held-out claims the model gets right."""
-    evaluator = MulticlassClassificationEvaluator(
-        labelCol="label", predictionCol="prediction", metricName="accuracy"
+    return MulticlassClassificationEvaluator(metricName="accuracy").evaluate(
+        model.transform(held_out)
     )
-    return evaluator.evaluate(model.transform(held_out))
 
 
 def save(model: PipelineModel, path: str) -> None:

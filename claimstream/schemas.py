@@ -1,31 +1,10 @@
-"""Fixed schemas of the records that enter and leave the jobs."""
-
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+"""Fixed formats of the records that enter and leave the jobs."""
 
 # One line of the labelled corpus; other fields of the line are ignored.
-RAW = StructType(
-    [
-        StructField("claim", StringType()),
-        StructField("label", StringType()),
-        StructField("_corrupt_record", StringType()),
-    ]
-)
+RAW = "claim string, label string, _corrupt_record string"
 
 # A cleaned claim: label 0 is supported, 1 is anything else.
-CLAIM = StructType(
-    [
-        StructField("claim", StringType()),
-        StructField("entity_redacted_claim", StringType()),
-        StructField("label", IntegerType()),
-    ]
-)
+CLAIM = "claim string, entity_redacted_claim string, label int"
 
 # A scored claim as it is read back from the topic: everything is text first.
-SCORED = StructType(
-    [
-        StructField("claim", StringType()),
-        StructField("entity_redacted_claim", StringType()),
-        StructField("label", StringType()),
-        StructField("predicted_label", StringType()),
-    ]
-)
+SCORED = "claim string, entity_redacted_claim string, label string, predicted_label string"
