@@ -75,9 +75,14 @@ def top_features(weights: DataFrame, k: int = 30) -> DataFrame:
 
 
 def words(df: DataFrame, text: str = TEXT) -> DataFrame:
-    """The words of each text as the classifier sees them, one row each."""
+    """The words of each text as the classifier sees them, one row each.
+
+    The outer explode keeps the optimizer from splitting every text a second time for an
+    inferred non-empty filter.
+    """
     split = Tokenizer(inputCol=text, outputCol="words").transform(df)
-    return split.withColumn("word", F.explode("words")).drop("words")
+    exploded = split.withColumn("word", F.explode_outer("words")).drop("words")
+    return exploded.where(F.col("word").isNotNull())
 
 
 def vocabulary(df: DataFrame, text: str = TEXT) -> DataFrame:
