@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.llm import exact, sharding, simhash
-from claimstream.llm.common import table
+from claimstream.llm import automaton, exact, language, mixing, quality, sharding, simhash
+from claimstream.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,6 +55,63 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; learned from labelled rows that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    open_rows = labels.where(~held_out(F.col("doc_id")))
+    machine = quality.train(docs, open_rows, "doc_id", "text", "quality")
+    scored = quality.scored(docs.select("doc_id", "text"), "text", machine)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the words the mix takes of it, and its source's target."""
+    docs = table(spark, folder, "documents")
+    size, members = mixing.word_count(F.col("text")), F.array("source")
+    mixed, sizes, quota = mixing.mix(docs, "doc_id", size, members)
+    sources = F.broadcast(mixing.source_table(docs, sizes, quota))
+    return mixed.join(sources, "pattern").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+    )
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document; learned from rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.where(~held_out(F.col("doc_id"))), "doc_id", "text", "lang")
+    found = language.predicted(docs.select("doc_id", "text"), "text", model)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "trusted"
+    )
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the words that stand in a benchmark item."""
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    marked = automaton.hits(docs.select("doc_id", "text"), "text", items, "item_id", "text")
+    return automaton.judged(marked.drop("text")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join(F.sort_array("hit_items"), ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 _CRC_STEP = "list_reduce(list_prepend(4294967295::UBIGINT, list_transform(flatten(list_transform(" \
     "regexp_extract_all(hex(encode(coalesce(text, ''))), '..')," \
     " lambda h: [('0x' || h)::UBIGINT, 0, 0, 0, 0, 0, 0, 0])), lambda v: v::UBIGINT))," \
