@@ -148,3 +148,65 @@ WITH hashed AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked""",
 }
+
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+ORACLES |= {
+    "op5_mixing": rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) AS size,
+    md5('42:' || coalesce(doc_id::VARCHAR, 'null')) AS key
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM sized GROUP BY source
+), steps AS (
+  SELECT *, 2 * source_size / weight AS ratio,
+    (1.5::DOUBLE * sum(source_size) OVER ()
+      - 2 * coalesce(sum(source_size) OVER before, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM sources
+  WINDOW before AS (ORDER BY 2 * source_size / weight, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), quota AS (
+  SELECT source, source_size, least((2 * source_size)::DOUBLE, weight * (
+    SELECT s.level FROM steps s WHERE s.ratio > s.level ORDER BY s.ratio, s.source NULLS LAST LIMIT 1
+  )) AS target FROM steps
+), placed AS (
+  SELECT d.*, source_size, target,
+    CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-9) ELSE 0 END AS full_times,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM sized d JOIN quota q ON d.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, source_size, target, (size * (full_times +
+  CASE WHEN size > 0 AND 2 * upto - size <= 2 * round(target - full_times * source_size, 3)
+  THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed""",
+    "op10_decontamination": r"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n,
+    array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS gram
+  FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM windows), docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+), found AS (SELECT * FROM grams JOIN windows USING (n, gram)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
