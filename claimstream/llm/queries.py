@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.llm import automaton, exact, language, mixing, quality, sharding, simhash
+from claimstream.llm import automaton, exact, language, mixing, quality, recompression, sharding, simhash
 from claimstream.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,15 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words that stand in 13-word windows of earlier ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = recompression.removed(docs, "doc_id", "text")
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return left.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 @query
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document; learned from labelled rows that are not held out."""
@@ -210,3 +219,24 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }
+
+ORACLES |= {
+    "op3_substrings": rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 12], ' ')) AS gram
+  FROM docs, unnest(range(1, len(w) - 11)) AS t(i)
+), firsts AS (SELECT gram, min(doc_id) AS first_id FROM windows GROUP BY gram),
+hits AS (
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS places
+  FROM windows JOIN firsts USING (gram) WHERE first_id < doc_id GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, len(w) AS n_words, CASE WHEN places IS NULL THEN w ELSE
+    list_transform(list_filter(list_zip(w, range(1, len(w) + 1)),
+      lambda x: NOT list_contains(places, x[2])), lambda x: x[1]) END AS w
+  FROM docs LEFT JOIN hits USING (doc_id)
+)
+SELECT doc_id, n_words, n_words - len(w) AS n_removed,
+  sha256(array_to_string(w, ' ')) AS kept_sha256 FROM kept""",
+}
