@@ -123,14 +123,27 @@ def span_rows(ids, keys, doc, first, number) -> list[tuple]:
     return out
 
 
-def pack(ids, keys, doc, at, value, bucket, buckets: int) -> Iterator[pa.RecordBatch]:
+def ranks(ids: np.ndarray, keys: np.ndarray, doc: np.ndarray, at: np.ndarray, inside: bool) -> np.ndarray:
+    """What must be smaller for a window to come earlier: the id or, ``inside``, also the place."""
+    if not inside:
+        return ids[doc]
+    order = np.lexsort((keys, ids))
+    change = np.ones(len(order), bool)
+    change[1:] = (ids[order][1:] != ids[order][:-1]) | (keys[order][1:] != keys[order][:-1])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(change) - 1
+    return (place[doc] << 32) + at
+
+
+def pack(ids, keys, doc, at, value, bucket, buckets: int, inside: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows of ``PACKED`` for the windows (document, place, hash) of one block."""
     ids, keys = np.array(ids, np.int64), np.array(keys, np.int64)
     schema = pa.schema(
         [("bucket", pa.int32()), ("id", pa.int64()), ("text", pa.int64())]
         + [(c, pa.binary()) for c in ("ids", "texts", "runs", "starts", "sizes", "hashes")]
     )
-    again = ids[doc] > first_seen(value, ids[doc]) if len(doc) else np.zeros(0, bool)
+    rank = ranks(ids, keys, doc, at, inside)
+    again = rank > first_seen(value, rank)
     rows = [
         (int(k % buckets), i, k, None, None, None, s, n, None)
         for i, k, s, n in span_rows(ids, keys, *runs_of(doc[again], at[again]))
@@ -176,8 +189,8 @@ def span_table(rows: list[tuple]) -> pa.Table:
     )
 
 
-def repeated(section: pa.Table) -> pa.Table:
-    """Of the windows in a bucket, the runs whose hash also is in a smaller id."""
+def repeated(section: pa.Table, inside: bool = False) -> pa.Table:
+    """Of the windows in a bucket, the runs whose hash also comes earlier."""
     known = section.filter(section["id"].is_valid()).select(["id", "text", "starts", "sizes"])
     packed = section.filter(section["id"].is_null())
     ids, keys = _numbers(packed["ids"], np.int64), _numbers(packed["texts"], np.int64)
@@ -190,7 +203,8 @@ def repeated(section: pa.Table) -> pa.Table:
     at = np.arange(len(value)) + np.repeat(first - begin, number)
     if not len(value):
         return known
-    again = ids[doc] > first_seen(value, ids[doc])
+    rank = ranks(ids, keys, doc, at, inside)
+    again = rank > first_seen(value, rank)
     found = span_table(span_rows(ids, keys, *runs_of(doc[again], at[again])))
     return pa.concat_tables([known.cast(found.schema), found])
 

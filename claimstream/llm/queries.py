@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.llm import automaton, exact, language, mixing, quality, recompression, sharding, simhash
+from claimstream.llm import automaton, bwt, exact, language, mixing, quality, recompression, sharding, simhash
 from claimstream.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,16 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that stand earlier."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = bwt.removed(docs, "doc_id", "text")
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document; learned from rows that are not held out."""

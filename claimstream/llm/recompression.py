@@ -146,12 +146,15 @@ def removed(docs: DataFrame, id: str, text: str, window: int = WINDOW) -> DataFr
                 value = window_hashes(words, starts, window)
                 yield from exchange.pack(ids, keys, doc[starts], starts - first[doc[starts]], value, meet, buckets)
 
+    def compare(section: pa.Table) -> pa.Table:
+        return exchange.repeated(section)
+
     rows = exchange.keyed(docs, id, text)
     spans = (
         rows.select("_id", "_key", "_content")
         .mapInArrow(send, exchange.PACKED)
         .groupBy("bucket")
-        .applyInArrow(exchange.repeated, exchange.SPANS)
+        .applyInArrow(compare, exchange.SPANS)
     )
     added = ("n_words", "n_removed", "kept")
     plain = docs.drop(*[c for c in added if c in docs.columns])
