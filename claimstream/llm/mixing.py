@@ -125,21 +125,23 @@ def _members(pattern: str) -> tuple:
     return tuple(json.loads(pattern))
 
 
-def mix(docs: DataFrame, id: str, size: Column, members: Column, seed: int = SEED) -> tuple[DataFrame, dict, dict]:
+def mix(
+    docs: DataFrame, id: str, size: Column, members: Column, seed: int = SEED, whole: bool = False
+) -> tuple[DataFrame, dict, dict]:
     """How often each document is used: rows (id, size, pattern, copies), sizes, targets.
 
     ``members`` is an array of source names, null for an unnamed source.  ``pattern`` is the array
-    in JSON.  The two dicts give each source's words and its target.
+    in JSON.  The two dicts give each source's words and its target.  With ``whole`` the rows
+    have all columns of the documents, read once more, in a struct ``document``.
     """
     spark = docs.sparkSession
-    sized = cut(
-        docs.select(
-            id,
-            size.alias("size"),
-            F.to_json(F.array_sort(F.array_distinct(members))).alias("pattern"),
-            order_key(F.col(id), seed).alias("_key"),
-        )
-    )
+    described = [
+        F.col(id),
+        size.alias("size"),
+        F.to_json(F.array_sort(F.array_distinct(members))).alias("pattern"),
+        order_key(F.col(id), seed).alias("_key"),
+    ]
+    sized = cut(docs.select(*described))
     found = sized.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns; name fewer sources")
@@ -182,7 +184,8 @@ def mix(docs: DataFrame, id: str, size: Column, members: Column, seed: int = SEE
         [(p, full, at, rest) for p, (full, at, rest) in plan.items()],
         "pattern string, _full int, _at string, _rest double",
     )
-    placed = sized.join(F.broadcast(cuts), "pattern").withColumn(
+    final = docs.select(*described, F.struct("*").alias("document")) if whole else sized
+    placed = final.join(F.broadcast(cuts), "pattern").withColumn(
         "_bin", F.substring("_key", 1, _DIGITS * _LEVELS)
     )
     clear = placed.where("_bin != _at").withColumn("_more", F.col("_bin") < F.col("_at"))
@@ -193,7 +196,11 @@ def mix(docs: DataFrame, id: str, size: Column, members: Column, seed: int = SEE
     )
     copies = F.col("_full") + F.col("_more").cast("int")
     rows = clear.unionByName(edge).select(
-        id, "size", "pattern", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).alias("copies")
+        id,
+        "size",
+        "pattern",
+        F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).alias("copies"),
+        *(["document"] if whole else []),
     )
     return rows, sizes, quota
 

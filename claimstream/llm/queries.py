@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.llm import automaton, bwt, exact, language, mixing, quality, recompression, sharding, simhash
+from claimstream.llm import automaton, bwt, exact, language, mixing, pages, quality, recompression, sharding, simhash
 from claimstream.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,16 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    given = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = pages.extracted(given, "html", pages.train(given, "page_id", "html"))
+    return found.select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
+
+
 @query
 def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the bytes of 100-byte strings that stand earlier."""

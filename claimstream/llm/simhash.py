@@ -31,7 +31,7 @@ BUCKET_PAIRS = 48
 
 
 def fingerprints(docs: DataFrame, id: str, text: str, n: int = SHINGLE) -> DataFrame:
-    """(id, fingerprint) of every row, 64 bits as a long.
+    """(id, text_key, fingerprint) of every row, 64 bits as a long; the key tells texts apart.
 
     The shingles of a text are counted where it is read: two bits share one sum of longs,
     and a row of 32 sums per text is all that is shuffled.
@@ -39,19 +39,20 @@ def fingerprints(docs: DataFrame, id: str, text: str, n: int = SHINGLE) -> DataF
     worded = docs.select(
         F.col(id),
         F.monotonically_increasing_id().alias("_row"),
+        F.xxhash64(text).alias("text_key"),
         split_words(ascii_lower(F.col(text))).alias("_words"),
     )
-    words = worded.select(id, "_row", "_words", F.posexplode_outer("_words").alias("_at", "_word"))
+    words = worded.select(id, "_row", "text_key", "_words", F.posexplode_outer("_words").alias("_at", "_word"))
     starts = F.coalesce(F.col("_at") <= F.greatest(F.size("_words") - n, F.lit(0)), F.lit(True))
     gram = F.concat_ws(" ", "_word", *[F.get("_words", F.col("_at") + i) for i in range(1, n)])
     hashed = words.where(starts).select(
-        id, "_row", F.when(F.col("_word").isNotNull(), F.xxhash64(gram)).alias("_h")
+        id, "_row", "text_key", F.when(F.col("_word").isNotNull(), F.xxhash64(gram)).alias("_h")
     )
     two = F.lit((1 << 32) + 1)
     sums = [
         F.sum(F.shiftrightunsigned("_h", i).bitwiseAND(two)).alias(f"_s{i}") for i in range(32)
     ]
-    counted = hashed.groupBy("_row", id).agg(F.count("_h").alias("_n"), *sums)
+    counted = hashed.groupBy("_row", id, "text_key").agg(F.count("_h").alias("_n"), *sums)
     low, half = F.lit((1 << 32) - 1), F.col("_n")
 
     def bits(take) -> Column:
@@ -64,7 +65,7 @@ def fingerprints(docs: DataFrame, id: str, text: str, n: int = SHINGLE) -> DataF
     print32 = F.shiftleft(bits(lambda s: F.shiftrightunsigned(s, 32)), 32).bitwiseOR(
         bits(lambda s: s.bitwiseAND(low))
     )
-    return counted.select(id, F.coalesce(print32, F.lit(0).cast("bigint")).alias("fingerprint"))
+    return counted.select(id, "text_key", F.coalesce(print32, F.lit(0).cast("bigint")).alias("fingerprint"))
 
 
 def links(prints: DataFrame, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
@@ -116,10 +117,15 @@ def links(prints: DataFrame, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, fingerprint, component_id) of every row."""
+    """(id, text_key, fingerprint, component_id, keeps_key) of every row.
+
+    Of a component the row with its smallest id stays, of several such rows the one
+    whose text has the key ``keeps_key``.
+    """
     printed = cut(fingerprints(docs, id, text))
+    first = F.struct(F.col(id).isNull(), F.col(id).alias("id"), F.col("text_key").alias("key"))
     classes = printed.groupBy("fingerprint").agg(
-        F.min(id).alias("_first"), F.count("*").alias("_n")
+        F.min(first).alias("_first"), F.count("*").alias("_n")
     )
     prints = cut(classes.withColumnRenamed("fingerprint", "fp"))
     found = components(links(prints.select("fp")), "a", "b")
@@ -127,9 +133,28 @@ def near_duplicates(docs: DataFrame, id: str, text: str) -> DataFrame:
         "fp", "_first", "_n", F.coalesce("component", "fp").alias("component")
     )
     named = joined.groupBy("component").agg(
-        F.min("_first").alias("component_id"), F.sum("_n").alias("_all")
+        F.min("_first").alias("_kept")
     )
     of_print = joined.join(named, "component").select(
-        F.col("fp").alias("fingerprint"), "_n", "component_id"
+        F.col("fp").alias("fingerprint"),
+        "_n",
+        F.col("_kept.id").alias("component_id"),
+        F.col("_kept.key").alias("keeps_key"),
+    )
+    return attach(printed, of_print, "fingerprint", "_n").drop("_n")
+
+
+def survivors(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """One row of each component, whole.  Rows alike in id and text count as one.
+
+    The texts are shuffled once, to meet the ids that stay.
+    """
+    found = near_duplicates(docs, id, text)
+    stay = (
+        found.where(F.col(id).eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("keeps_key")))
+        .select(F.col(id).alias("_stays"), F.col("text_key").alias("_with"))
+        .distinct()
     )
-    return attach(printed, of_print, "fingerprint", "_n").select(id, "fingerprint", "component_id")
+    keyed = docs.withColumn("_text_key", F.xxhash64(text))
+    same = keyed[id].eqNullSafe(stay["_stays"]) & (keyed["_text_key"] == stay["_with"])
+    return keyed.join(stay, same, "left_semi").dropDuplicates([id, "_text_key"]).drop("_text_key")
