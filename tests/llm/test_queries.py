@@ -1,0 +1,159 @@
+"""Every registered query against a plain version of it on tables with all edge cases."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import cases
+import pytest
+
+from claimstream.llm import automaton, bwt, simhash
+from claimstream.llm.queries import ORACLES, QUERIES
+from checking import compare
+
+ROWS = cases.documents()
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    pages = [(1, "u", None), (2, "u", ""), (3, None, "plain text"), (3, None, "plain text")]
+    return cases.write_tables(tmp_path_factory.mktemp("tables"), ROWS, pages=pages)
+
+
+@pytest.fixture(scope="module")
+def empty(tmp_path_factory):
+    return cases.write_tables(tmp_path_factory.mktemp("empty"), [], items=[])
+
+
+def rows_of(df, *names):
+    return cases.counted(df.select(*names).collect())
+
+
+def test_sharding(spark, folder):
+    got = QUERIES["op1_sharding"](spark, folder)
+    names = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert rows_of(got, *names) == cases.counted(cases.shards(ROWS))
+
+
+def test_exact_dedup(spark, folder):
+    got = QUERIES["op2_exact_dedup"](spark, folder).collect()
+    plain = [(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got]
+    assert cases.counted(plain) == cases.counted(cases.exact_groups(ROWS))
+    kept = Counter(r.text_sha256 for r in got if r.kept)
+    assert set(kept.values()) == {1} and set(kept) == {r.text_sha256 for r in got}
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def test_substrings(spark, folder):
+    got = QUERIES["op3_substrings"](spark, folder)
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert rows_of(got, *names) == cases.counted(cases.without_windows(ROWS))
+
+
+def test_mixing(spark, folder):
+    got = QUERIES["op5_mixing"](spark, folder).collect()
+    sizes, target = cases.mixed_rows(ROWS)
+    source = {i: s for i, _, _, s in ROWS}
+    taken, largest = defaultdict(int), defaultdict(int)
+    assert len(got) == len(ROWS)
+    for r in got:
+        s = source[r.doc_id]
+        assert r.source_size == sizes[s] and r.target == pytest.approx(target[s])
+        assert r.taken % max(1, r.size) == 0 and 0 <= r.taken <= 2 * r.size
+        taken[s] += r.taken
+        largest[s] = max(largest[s], r.size)
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-3
+    again = QUERIES["op5_mixing"](spark, folder)
+    assert cases.counted(again.collect()) == cases.counted(got)
+
+
+def test_simhash(spark, folder):
+    got = QUERIES["op6_simhash"](spark, folder)
+    names = ["doc_id", "fingerprint", "component_id"]
+    assert rows_of(got, *names) == cases.counted(cases.simhash_rows(ROWS))
+
+
+def test_suffixes(spark, folder):
+    got = QUERIES["op8_suffixes"](spark, folder)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert rows_of(got, *names) == cases.counted(cases.without_strings(ROWS))
+
+
+def test_suffixes_with_every_anchor_crowded(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    got = bwt.removed(docs, "doc_id", "text", crowd=1)
+    want = [r[:4] for r in cases.without_strings(ROWS)]
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans") == cases.counted(want)
+
+
+def test_decontamination(spark, folder):
+    got = QUERIES["op10_decontamination"](spark, folder)
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert rows_of(got, *names) == cases.counted(cases.hit_rows(ROWS, cases.ITEMS))
+
+
+def test_decontamination_in_blocks(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    marked = automaton.hits(docs, "text", items, "item_id", "text", block_words=30)
+    got = automaton.judged(marked).select("doc_id", "n_words", "n_hit", "n_items")
+    want = [r[:4] for r in cases.hit_rows(ROWS, cases.ITEMS)]
+    assert cases.counted(got.collect()) == cases.counted(want)
+    cut = automaton.without_spans(marked, "text").where("doc_id = 21").first()
+    assert cut.text == "!"
+
+
+def test_quality_and_language_give_every_row(spark, folder):
+    scored = QUERIES["op4_quality"](spark, folder).collect()
+    assert Counter(r.doc_id for r in scored) == Counter(i for i, *_ in ROWS)
+    for r in scored:
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    found = QUERIES["op9_language"](spark, folder).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, *_ in ROWS)
+    learned = {"en", "fr", "de", "es"}
+    texts = {i: t for i, t, *_ in ROWS}
+    for r in found:
+        has_letter = any(c.isalpha() for c in texts[r.doc_id] or "")
+        assert (r.lang_pred in learned) == has_letter
+        assert r.lang_pred == "und" or 0 < r.score <= 1
+
+
+def test_pages_without_any_article(spark, folder):
+    got = QUERIES["op7_html"](spark, folder)
+    assert rows_of(got, "page_id", "text", "n_chars") == [(1, "", 0), (2, "", 0), (3, "", 0), (3, "", 0)]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables_give_no_rows(spark, empty, name):
+    assert QUERIES[name](spark, empty).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    got, expected = compare(spark, "/root/testdata/sf0.001", QUERIES[name], ORACLES[name])
+    assert got == expected
+
+
+def test_links_of_crowded_buckets(spark):
+    """With every bucket crowded, common neighbours alone find all links."""
+    prints = {0, 1, 3, 7, 1 << 63, (1 << 63) | 1, 0xFFFF0000, 0xFFFF0011, (1 << 64) - 1, (1 << 64) - 8}
+    signed = [p - (1 << 64) if p >= 1 << 63 else p for p in prints]
+    frame = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    roots = cases.component_ids(prints)
+    for bucket_pairs in (0, 48):
+        edges = simhash.links(frame, bucket_pairs).collect()
+        up = {p: p for p in prints}
+
+        def root(p):
+            while up[p] != p:
+                p = up[p]
+            return p
+
+        for a, b in edges:
+            a, b = a % (1 << 64), b % (1 << 64)
+            assert (a ^ b).bit_count() <= 2
+            up[root(a)] = root(b)
+        for a in prints:
+            for b in prints:
+                assert (root(a) == root(b)) == (roots[a] == roots[b])
