@@ -12,10 +12,6 @@ NOT_TOKEN_CHARACTER = r"(?U)[^\p{L}\p{N}_\s<>]"
 WHITESPACE = r"(?U)\s+"
 ENTITY_MARK = "<ENTITY>"
 
-# Stands for a replaced entity until all are replaced, so that a short entity
-# such as "E" cannot rewrite the letters of the mark itself.
-_HOLD = "\ue000"
-
 # Default entity rule: one or more capitalised words in a row, or a number.
 ENTITY_PATTERN = r"\p{Lu}[\p{L}\p{N}]+(?: \p{Lu}[\p{L}\p{N}]+)*|[0-9]+"
 
@@ -27,10 +23,17 @@ def tokens(text: Column) -> Column:
 
 
 def word_ngrams(
-    df: DataFrame, keep: Sequence[str], text: Column, n: int = 3, out: str = "pattern"
+    df: DataFrame,
+    keep: Sequence[str],
+    text: Column,
+    n: int = 3,
+    out: str = "pattern",
+    short: bool = False,
 ) -> DataFrame:
     """One row per word n-gram of ``text``, repeats included, next to the ``keep`` columns.
 
+    With ``short`` a text of fewer words, but not none, gives all its words as one n-gram.
+
     The words are exploded once and each reads its followers from the token array,
     so the whole step stays in generated code.  The outer explode keeps the optimizer
     from adding a second tokenisation as an inferred non-empty filter.
@@ -39,7 +42,8 @@ def word_ngrams(
         *keep, "_tokens", F.posexplode_outer("_tokens").alias("_pos", "_word")
     )
     followers = [F.get("_tokens", F.col("_pos") + i) for i in range(1, n)]
-    return words.where(F.col("_pos") <= F.size("_tokens") - n).select(
+    last = F.size("_tokens") - n
+    return words.where(F.col("_pos") <= (F.greatest(last, F.lit(0)) if short else last)).select(
         *keep, F.concat_ws(" ", "_word", *followers).alias(out)
     )
 
@@ -57,11 +61,31 @@ def find_entities(text: Column, pattern: str = ENTITY_PATTERN) -> Column:
 def redact(text: Column, entities: Column) -> Column:
     """Replace every occurrence of each entity, the longest entity first.
 
-    Entities of one length go in alphabetical order.
+    Entities of one length go in alphabetical order; null and empty ones are passed over.
+    The text is cut at each entity in turn and joined with marks at the end, so that a
+    short entity such as "E" cannot rewrite the letters of a mark.
     """
+    named = F.filter(entities, lambda e: e.isNotNull() & (e != ""))
     ordered = F.transform(
-        F.array_sort(F.transform(entities, lambda e: F.struct(-F.length(e), e.alias("entity")))),
+        F.sort_array(F.transform(named, lambda e: F.struct(-F.length(e), e.alias("entity")))),
         lambda pair: pair["entity"],
     )
-    held = F.aggregate(ordered, text, lambda done, e: F.replace(done, e, F.lit(_HOLD)))
-    return F.replace(held, F.lit(_HOLD), F.lit(ENTITY_MARK))
+
+    def cut_at(parts: Column, entity: Column) -> Column:
+        literal = F.concat(
+            F.lit(r"\Q"), F.replace(entity, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
+        )
+        return F.flatten(F.transform(parts, lambda part: F.split(part, literal, -1)))
+
+    none = F.array().cast("array<string>")
+    parts = F.aggregate(F.coalesce(ordered, none), F.array(text), cut_at)
+    return F.when(text.isNotNull(), F.array_join(parts, ENTITY_MARK))
+
+
+def redact_by_rule(text: Column, pattern: str = ENTITY_PATTERN) -> Column:
+    """``redact`` with the entities of ``find_entities``, in one pass over the text.
+
+    Whatever an entity of the rule occurs in is itself a match of the rule, and a match is as long
+    as it can be, so replacing the matches replaces every occurrence, the longest first.
+    """
+    return F.regexp_replace(text, pattern, ENTITY_MARK)

@@ -117,7 +117,7 @@ def word_features(vocab: DataFrame, features: int = FEATURES) -> DataFrame:
 def feature_words(
     top: DataFrame, vocab: DataFrame, k: int = 20, features: int = FEATURES
 ) -> DataFrame:
-    """Top features with their k most used words; ties go alphabetically.
+    """Top features with their k most used words, as an array and joined; ties go alphabetically.
 
     ``top`` has a fixed number of rows and is the broadcast side; the vocabulary is not.
     """
@@ -130,13 +130,14 @@ def feature_words(
     )
     listed = ranked.groupBy("feature_index").agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("_rank", "word"))), lambda e: e["word"]
+            F.sort_array(F.collect_list(F.struct("_rank", "word"))), lambda e: e["word"]
         ).alias("_words")
     )
     return top.join(listed, "feature_index", "left").select(
         "feature_index",
         F.col("importance").alias("coefficient"),
         "influence",
+        F.coalesce("_words", F.array(F.lit(NO_WORD))).alias("words"),
         F.coalesce(F.array_join("_words", "|"), F.lit(NO_WORD)).alias("possible_words"),
     )
 
@@ -147,7 +148,6 @@ def importance_report(word_rows: DataFrame, per_sign: int = 15, shown: int = 5)
     return (
         word_rows.withColumn("rank", F.row_number().over(strongest))
         .where(F.col("rank") <= per_sign)
-        .withColumn(
-            "possible_words", F.array_join(F.slice(F.split("possible_words", r"\|"), 1, shown), "|")
-        )
+        .withColumn("possible_words", F.array_join(F.slice("words", 1, shown), "|"))
+        .drop("words")
     )

@@ -27,6 +27,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from claimstream.operators.positions import CHUNK_ROWS, in_chunks, with_positions
 from claimstream.operators.spread import same_keys, spread_lookup
+from claimstream.session import cut
 
 FAN = 256
 
@@ -116,8 +117,9 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         section = _utc(section).sort_by("_chunk")
         chained = None
         for table in section["_table"]:
-            table = np.array(table.as_py())
-            chained = table if chained is None else table[chained]
+            table = np.array(table.as_py(), np.int64)
+            # The last chunk of a stream has no table, and needs none.
+            chained = table if chained is None or not len(table) else table[chained]
         one = section.slice(0, 1).select([*keys, "_group"]).rename_columns([*keys, "_chunk"])
         return one.append_column("_table", pa.array([chained.tolist()], pa.list_(pa.int64())))
 
@@ -126,7 +128,7 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         overhang, entries = section["_start"][0].as_py(), []
         for table in section["_table"]:
             entries.append(overhang)
-            overhang = table[overhang].as_py()
+            overhang = table[overhang].as_py() if len(table) else None
         return section.select([*keys, "_chunk"]).append_column(
             "_overhang", pa.array(entries, pa.int64())
         )
@@ -135,7 +137,7 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         schema = StructType(
             [*key_fields, chunk_field, StructField("_table", ArrayType(LongType()))]
         )
-        upper = grouped.groupBy(*keys, "_group").applyInArrow(combine, schema).checkpoint()
+        upper = cut(grouped.groupBy(*keys, "_group").applyInArrow(combine, schema))
         above = _entry_overhangs(upper, keys, start, fan).withColumnsRenamed(
             {"_chunk": "_group", "_overhang": "_start"}
         )
@@ -192,7 +194,9 @@ def dgim(
         one = section.slice(0, 1).select(chunk)
         if pc.all(section["_carried"]).as_py():
             return one.slice(0, 0).append_column("_table", pa.array([], pa.list_(pa.int64())))
-        table = pa.array([_exit_table(section, window)], pa.list_(pa.int64()))
+        own = section.num_rows - pc.sum(section["_carried"]).as_py()
+        found = _exit_table(section, window) if own == chunk_rows else []
+        table = pa.array([found], pa.list_(pa.int64()))
         return one.append_column("_table", table)
 
     def replay(section: pa.Table, entered: pa.Table) -> pa.Table:
@@ -206,22 +210,12 @@ def dgim(
             .append_column("estimate", pa.array(estimate, pa.int64()))
         )
 
-    longest = positioned.agg(F.max(F.col("pos") - F.col("_base"))).first()[0] or 0
-    if longest <= chunk_rows:
-        entry = start.select(
-            *keys, F.lit(0).cast("bigint").alias("_chunk"), F.col("_start").alias("_overhang")
-        )
-    else:
-        schema = StructType(
-            [
-                *key_fields,
-                StructField("_chunk", LongType()),
-                StructField("_table", ArrayType(LongType())),
-            ]
-        )
-        narrow = laid.select(*chunk, "pos", "_bit", "_carried")
-        tables = narrow.groupBy(*chunk).applyInArrow(tabulate, schema).checkpoint()
-        entry = _entry_overhangs(tables, keys, start, fan)
+    schema = StructType(
+        [*key_fields, StructField("_chunk", LongType()), StructField("_table", ArrayType(LongType()))]
+    )
+    narrow = laid.select(*chunk, "pos", "_bit", "_carried")
+    tables = cut(narrow.groupBy(*chunk).applyInArrow(tabulate, schema))
+    entry = _entry_overhangs(tables, keys, start, fan)
     entry = entry.select(*[F.col(c).alias(f"at_{c}") for c in [*chunk, "_overhang"]])
     together = laid.groupBy(*chunk).cogroup(entry.groupBy(*[f"at_{c}" for c in chunk]))
     return together.applyInArrow(replay, result_schema).drop("_bit")
@@ -261,7 +255,7 @@ def dgim_state(
             F.max_by("overhang", "_last").alias("overhang"), F.max("_last").alias("_last")
         )
     kept = spread_lookup(bits, ends, keys, "pos").where(F.col("pos") > F.col("_last") - window)
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "_bit")))
+    in_order = F.sort_array(F.collect_list(F.struct("pos", "_bit")))
     return kept.groupBy(*keys, F.col("_last").alias("pos"), "overhang").agg(
         F.transform(in_order, lambda r: r["_bit"]).alias("recent")
     )

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from claimstream.functions.hashing import PRIME, permutation, small_hash
 from claimstream.functions.text import word_ngrams
 from claimstream.operators.spread import same_keys, spread_lookup
-from claimstream.session import shared_folder
+from claimstream.session import cut
 
 PERMUTATIONS = 64
 THRESHOLD = 0.7
@@ -55,9 +55,10 @@ def signatures(
     """MinHash signature of the word n-grams of each claim.
 
     A claim's n-grams lie in one task, so the partial minima leave it as a single row.
-    Claims with fewer than n words have no n-gram and no signature.
+    A claim with fewer than n words has its words as its only n-gram; without words it
+    has no signature.
     """
-    grams = word_ngrams(claims, [*scope, id], text, n)
+    grams = word_ngrams(claims, [*scope, id], text, n, short=True)
     hashed = grams.select(*scope, id, small_hash(F.col("pattern")).alias("_hash"))
     minima = []
     for i in range(permutations):
@@ -98,10 +99,9 @@ def bucket_links(
     With a ``scope`` (such as a batch id) claims are similar within their scope only.
     The buckets are checkpointed: they are read twice and cost a pass over all texts.
     """
-    shared_folder(claims.sparkSession)
     bands, rows = bands_for(threshold, permutations)
     signed = signatures(claims, id, text, scope, permutations)
-    placed = buckets(signed, id, scope, bands, rows).checkpoint()
+    placed = cut(buckets(signed, id, scope, bands, rows))
     key = [*scope, "band", "bucket"]
     shared = (
         placed.groupBy(*key)
@@ -130,7 +130,7 @@ def similar_claims(
     whole table once; a frequent first claim is looked up in slices.
     """
     linked = links.select(*scope, id).distinct()
-    texts = same_keys(claims.select(*scope, id, text), linked, [*scope, id]).checkpoint()
+    texts = cut(same_keys(claims.select(*scope, id, text), linked, [*scope, id]))
     found = links.where(F.col(id) > F.col("first_id")).select(
         *scope, id, F.col("first_id").alias("similar_id")
     ).distinct()
@@ -145,7 +145,7 @@ def nest_similar(rows: DataFrame, id: str, scope: Sequence[str] = ()) -> DataFra
     entry = F.struct(F.col("similar_id").alias("id"), F.col("similar_text").alias("text"))
     return rows.groupBy(*scope, id).agg(
         F.first("claim_text").alias("claim_text"),
-        F.array_sort(F.collect_list(entry)).alias("similar_claims"),
+        F.sort_array(F.collect_list(entry)).alias("similar_claims"),
     )
 
 
@@ -170,13 +170,24 @@ def similar_to(
 def clusters(links: DataFrame, id: str, scope: Sequence[str] = ()) -> DataFrame:
     """(cluster_id, id): clusters named by the earliest similar claim, one hop only.
 
-    A cluster holds the claims whose earliest similar claim it is named after, and the
-    other earlier claims similar to those.  For the second kind it is enough to
-    know, per bucket and cluster, the last claim that belongs: the bucket's claims before
-    it are in.  The join therefore yields cluster members, not pairs of claims.
+    At most one row per claim, under the earliest claim it is similar to.  Claims that
+    overlap with a cluster in another way are listed by ``cluster_members``.
+    """
+    return nearest(links, id, scope).select(*scope, "cluster_id", id)
+
+
+def cluster_members(
+    links: DataFrame, asked: DataFrame, id: str, scope: Sequence[str] = ()
+) -> DataFrame:
+    """(cluster_id, id) of the asked clusters, with all earlier claims similar to their own.
+
+    For those it is enough to know, per bucket and cluster, the last claim that belongs:
+    the bucket's claims before it are in.  One claim may be in many clusters, so ask about
+    some of them, not all.
     """
     bucket = [*scope, "band", "first_id"]
-    named = nearest(links, id, scope)
+    chosen = asked.select(*scope, "cluster_id").distinct()
+    named = same_keys(nearest(links, id, scope), chosen, [*scope, "cluster_id"])
     reach = (
         same_keys(links, named, [*scope, id])
         .groupBy(*bucket, "cluster_id")

@@ -33,7 +33,7 @@ def pattern_record(
 ) -> DataFrame:
     """One row per group with its top patterns as an array, most frequent first."""
     top = top_patterns(df, text, k, by, n)
-    entries = F.array_sort(F.collect_list(F.struct("rank", "pattern", "count")))
+    entries = F.sort_array(F.collect_list(F.struct("rank", "pattern", "count")))
     return top.groupBy(*by).agg(
         F.transform(
             entries, lambda e: F.struct(e["pattern"].alias("pattern"), e["count"].alias("count"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimstream.operators.spread import same_keys
-from claimstream.session import shared_folder
+from claimstream.session import cut
 
 CHUNK_ROWS = 65536
 
@@ -26,13 +26,11 @@ def with_positions(
     counted and added.  The partitioning is sampled, hence the checkpoint: the counts
     and the rows must come from the same run of it.
     """
-    shared_folder(df.sparkSession)
-    placed = (
+    placed = cut(
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_slot", 33))
-        .checkpoint()
     )
     runs = placed.groupBy(*keys, "_part").agg(
         F.count("*").alias("_rows"), F.min("_slot").alias("_first")

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimstream.functions.text import find_entities, redact, tokens
-from claimstream.operators.spread import spread_lookup
+from claimstream.functions.text import redact, redact_by_rule, tokens
 
 # The corpus labels and the class each one stands for.
 LABEL_CLASS = {"SUPPORTS": 0, "REFUTES": 1, "NOT ENOUGH INFO": 1}
 
+WORD = r"(?U)[\p{L}\p{N}]+"
+
 
 def label_class(label: Column) -> Column:
     """0 or 1 for a known corpus label, null for any other."""
@@ -28,50 +27,70 @@ def prepare_claims(raw: DataFrame, entities: Column | None = None) -> DataFrame:
     ``entities`` is any array column: a rule (the default), a dictionary match
     (``dictionary_entities``) or a caller's own extractor.
     """
-    found = find_entities(F.col("claim")) if entities is None else entities
+    claim = F.col("claim")
+    redacted = redact_by_rule(claim) if entities is None else redact(claim, entities)
     return (
         raw.where(F.col("claim").isNotNull() & F.col("label").isNotNull())
         .withColumn("label", label_class(F.col("label")))
         .where(F.col("label").isNotNull())
         .select(
             "claim",
-            redact(F.col("claim"), found).alias("entity_redacted_claim"),
+            redacted.alias("entity_redacted_claim"),
             "label",
         )
     )
 
 
-def dictionary_entities(
-    claims: DataFrame,
-    names: DataFrame,
-    id: str,
-    text: str,
-    max_words: int = 4,
-    broadcast_rows: int = 100_000,
-) -> DataFrame:
+def unreadable(raw: DataFrame) -> DataFrame:
+    """Corpus lines that are no JSON, as they stand; ``prepare_claims`` leaves them out.
+
+    Such a line has no claim; asking for that too lets the reader give the line by itself.
+    """
+    broken = F.col("_corrupt_record").isNotNull() & F.col("claim").isNull()
+    return raw.where(broken).select(
+        F.col("_corrupt_record").alias("line")
+    )
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def dictionary_entities(claims: DataFrame, names: DataFrame, id: str, text: str) -> DataFrame:
     """Entities of each text that stand in a dictionary, as (id, entities).
 
-    Every run of up to ``max_words`` words is matched with the dictionary.  A dictionary
-    of at most ``broadcast_rows`` names (they are counted) is sent to the tasks; beyond that
-    both sides are shuffled and frequent runs sliced.  ``names`` has one column, ``entity``.
+    ``names`` has one column, ``entity``.  Names and texts are cut into words by one rule, so
+    punctuation and spacing do not matter; of a match the text's own spelling is listed.
+    Only runs of as many words as some name has are looked up.
     """
-    runs = claims.select(
-        id, F.split(F.col(text), r"(?U)[^\p{L}\p{N}]+").alias("_words")
-    ).select(id, "_words", F.posexplode_outer("_words").alias("_pos", "_word"))
-    following = [F.get("_words", F.col("_pos") + i) for i in range(1, max_words)]
-    spans = F.array(
-        *[
-            reduce(lambda run, word: F.concat(run, F.lit(" "), word), following[:n], F.col("_word"))
-            for n in range(max_words)
-        ]
+    wanted = (
+        names.select(_words(F.col("entity")).alias("_words"))
+        .where(F.size("_words") > 0)
+        .select(F.array_join("_words", " ").alias("_name"), F.size("_words").alias("_n"))
+        .distinct()
     )
-    phrases = runs.select(id, F.explode(spans).alias("entity"))
-    usable = names.select("entity").distinct()
-    if usable.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        matched = phrases.join(F.broadcast(usable), "entity")
-    else:
-        matched = spread_lookup(phrases, usable, ["entity"], id)
-    return matched.groupBy(id).agg(F.collect_set("entity").alias("entities"))
+    lengths = sorted(r["_n"] for r in wanted.select("_n").distinct().collect())
+    words = claims.select(
+        id, _words(F.col(text)).alias("_words"), F.split(text, WORD, -1).alias("_gaps")
+    ).select(id, "_words", "_gaps", F.posexplode_outer("_words").alias("_pos", "_word"))
+
+    def run(n: int, between) -> Column:
+        parts = [F.col("_word")]
+        for i in range(1, n):
+            parts += [between(F.col("_pos") + i), F.get("_words", F.col("_pos") + i)]
+        return F.concat(*parts)
+
+    spans = [
+        F.struct(
+            run(n, lambda at: F.lit(" ")).alias("_name"),
+            run(n, lambda at: F.get("_gaps", at)).alias("entity"),
+        )
+        for n in lengths
+    ]
+    if not spans:
+        return claims.where("false").select(id, F.array().cast("array<string>").alias("entities"))
+    found = words.select(id, F.inline(F.array(*spans))).join(wanted.select("_name"), "_name")
+    return found.groupBy(id).agg(F.collect_set("entity").alias("entities"))
 
 
 def text_sizes(df: DataFrame, id: str, text: str, n: int = 3) -> DataFrame:

@@ -17,6 +17,7 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     condition = reduce(
         lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
     )
+    # A semi join has no right columns; dropping names that are not there does nothing.
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 

@@ -56,13 +56,14 @@ def tokens(text: str) -> str:
     return rf"list_filter(regexp_split_to_array({kept}, '\s+'), lambda w: w <> '')"
 
 
-def grams(table: str, id: str, text: str, extra: str = "") -> str:
-    """One row per word 3-gram."""
+def grams(table: str, id: str, text: str, extra: str = "", short: bool = False) -> str:
+    """One row per word 3-gram; ``short`` texts give all their words as one."""
+    last = "greatest(len(t) - 1, least(len(t), 1) + 1)" if short else "len(t) - 1"
     return f"""
     toks AS (SELECT {id} AS id {extra}, {tokens(text)} AS t FROM {table}),
     grams AS (
-        SELECT * EXCLUDE (t), unnest(list_transform(range(1, len(t) - 1),
-               lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) AS pattern
+        SELECT * EXCLUDE (t), unnest(list_transform(range(1, {last}),
+               lambda i: concat_ws(' ', t[i], t[i + 1], t[i + 2]))) AS pattern
         FROM toks
     )"""
 
@@ -95,7 +96,7 @@ def minhash(table: str, scope: str = "") -> str:
     hashed = "('0x' || substr(md5(pattern), 1, 7))::BIGINT AS h"
     extra = f", {scope}" if scope else ""
     return f"""
-    {grams(table, 'id', 'claim', extra)},
+    {grams(table, 'id', 'claim', extra, short=True)},
     hashes AS (SELECT id {extra}, {hashed} FROM grams),
     signed AS (SELECT id {extra}, {', '.join(minima)} FROM hashes GROUP BY id {extra})"""
 
@@ -119,15 +120,8 @@ def linked(table: str, scope: str = "") -> str:
 
 
 CLUSTERS = """
-    pairs AS (
-        SELECT DISTINCT r.id AS id, l.id AS similar_id
-        FROM links r JOIN links l ON l.band = r.band AND l.first_id = r.first_id AND l.id < r.id
-    ),
-    named AS (SELECT id, min(similar_id) AS cluster_id FROM pairs GROUP BY id)
-    SELECT cluster_id, id FROM named
-    UNION
-    SELECT cluster_id, similar_id AS id FROM pairs JOIN named USING (id)
-    WHERE similar_id <> cluster_id"""
+    SELECT cluster_id, id FROM (SELECT id, min(first_id) AS cluster_id FROM links
+                                WHERE first_id < id GROUP BY id)"""
 
 
 def estimate(key: str) -> str:
@@ -181,23 +175,46 @@ LABEL = (
     + " END"
 )
 
+WORD = "[\\p{L}\\p{N}]+"
+
 DICTIONARY = f"""
-    names AS (SELECT DISTINCT unnest({entities('text')}) AS entity FROM benchmark),
+    names AS (
+        SELECT DISTINCT regexp_extract_all(entity, '{WORD}') AS name
+        FROM (SELECT unnest({entities('text')}) AS entity FROM benchmark)
+    ),
     parts AS (
-        SELECT doc_id AS id, regexp_split_to_array(text, '[^\\p{{L}}\\p{{N}}]+') AS w FROM documents
+        SELECT doc_id AS id, regexp_extract_all(text, '{WORD}') AS w,
+               regexp_split_to_array(text, '{WORD}') AS gaps FROM documents
     ),
     runs AS (
-        SELECT DISTINCT id, array_to_string(w[i:i + n - 1], ' ') AS entity
-        FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM parts), range(1, 5) t(n)
+        SELECT id, w, gaps, i, n FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM parts),
+               (SELECT DISTINCT len(name) AS n FROM names)
+        WHERE i + n - 1 <= len(w)
     ),
-    found AS (SELECT id, list(entity) AS e FROM runs JOIN names USING (entity) GROUP BY id)"""
+    found AS (
+        SELECT id, list(DISTINCT array_to_string(list_transform(range(i, i + n),
+                   lambda k: CASE WHEN k = i THEN w[k] ELSE gaps[k] || w[k] END), '')) AS e
+        FROM runs JOIN names ON name = w[i : i + n - 1] GROUP BY id
+    )"""
+
+# The text a message is read by: every third document has a redacted one.
+CHOSEN = f"""coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN {redacted('text', entities('text'))}
+                                  ELSE '' END, ''), text)"""
 
 POSITIVE_DOCS = f"""
     docs AS (
-        SELECT doc_id AS id, text AS claim FROM documents LEFT JOIN labels USING (doc_id)
+        SELECT doc_id AS id, {CHOSEN} AS claim, source FROM documents LEFT JOIN labels USING (doc_id)
         WHERE quality IS DISTINCT FROM 1
     )"""
 
+# Half of the documents by the parity of the crc32 of the id, computed bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(flatten(list_transform(
+    regexp_extract_all(hex(encode(id::VARCHAR)), '..'), lambda h: [('0x' || h)::UBIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda v: v::UBIGINT)), lambda c, b: xor(xor(c, b) >> 1, 3988292384::UBIGINT * (xor(c, b) & 1))),
+    4294967295::UBIGINT)"""
+
+RANKS = "SELECT unnest(range(1, 31)) AS rank"
+
 # --- the queries ------------------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -214,7 +231,9 @@ ORACLES: dict[str, str] = {
         WITH {DICTIONARY}
         SELECT doc_id AS id, {redacted('text', "coalesce(e, []::VARCHAR[])")} AS redacted
         FROM documents LEFT JOIN found ON found.id = doc_id""",
-    "claim_text": "SELECT doc_id AS id, text FROM documents",
+    "claim_text": f"SELECT doc_id AS id, {CHOSEN} AS text FROM documents",
+    "corpus_rejects": """
+        SELECT '{broken ' || doc_id AS line FROM documents WHERE doc_id % 100 = 0""",
     "shingle_counts": f"""
         SELECT doc_id AS id, len({tokens('text')}) AS n_tokens,
                greatest(len({tokens('text')}) - 2, 0) AS n_shingles FROM documents""",
@@ -302,9 +321,9 @@ ORACLES: dict[str, str] = {
                d.claim AS claim_text
         FROM links l JOIN docs s ON s.id = l.first_id JOIN docs d ON d.id = l.id
         WHERE l.id > l.first_id""",
-    "similarity_clusters": f"WITH {DOCS}, {linked('docs')}, {CLUSTERS}",
+    "similarity_clusters": f"WITH {DOCS}, {linked('docs')} {CLUSTERS}",
     "lsh_summary": f"""
-        WITH {DOCS}, {linked('docs', 'source')}
+        WITH {POSITIVE_DOCS}, {linked('docs', 'source')}
         SELECT source, count(*) AS row_count,
                count(*) FILTER (quality IS DISTINCT FROM 1) AS positive_count,
                count(*) FILTER (doc_id IN (SELECT id FROM links WHERE id > first_id))
@@ -350,7 +369,47 @@ ORACLES: dict[str, str] = {
     "stream_dgim": f"""
         WITH RECURSIVE {estimate('key')}
         SELECT key, max(pos) AS pos, max_by(estimate, pos) AS estimate FROM estimates GROUP BY key""",
-    "stream_lsh": f"WITH {POSITIVE_DOCS}, {linked('docs')}, {CLUSTERS}",
+    "stream_lsh": f"""
+        WITH all_{POSITIVE_DOCS.strip()},
+        docs AS (SELECT id, claim, {CRC32} % 2 AS half FROM all_docs),
+        {linked('docs', 'half')} {CLUSTERS}""",
+    "stream_score": """
+        SELECT (1 - quality)::VARCHAR AS label, TRUE AS decided, count(*) AS n
+        FROM documents JOIN labels USING (doc_id) GROUP BY quality
+        UNION ALL
+        SELECT 'rejected', FALSE, count(*) FROM documents WHERE doc_id % 100 = 0""",
+    "train_eval": f"""
+        WITH rows AS (
+            SELECT ('0x' || substr(md5('42:' || doc_id), 1, 7))::BIGINT < {int(0.8 * 16**7)} AS t
+            FROM documents JOIN labels USING (doc_id))
+        SELECT count(*) FILTER (t) AS train_rows, count(*) FILTER (NOT t) AS test_rows,
+               TRUE AS at_least_guessing FROM rows""",
+    "score_claims": """
+        SELECT doc_id AS id, 1 - quality AS label, TRUE AS decided
+        FROM documents JOIN labels USING (doc_id)""",
+    "feature_importance": f"SELECT rank, TRUE AS agrees FROM ({RANKS})",
+    "feature_words": f"SELECT rank, TRUE AS words_belong FROM ({RANKS})",
+    "importance_report": "SELECT TRUE AS has_rows, 0 AS wrong",
+    "dgim_buckets": f"""
+        WITH RECURSIVE {estimate('key')},
+        ends AS (
+            SELECT key, max(pos) AS stream_position, max_by(estimate, pos) AS total_ones
+            FROM estimates GROUP BY key),
+        levels AS (
+            SELECT *, floor(log2(total_ones + 1))::INT AS levels FROM ends WHERE total_ones > 0),
+        digits AS (
+            SELECT *, m, 1 + ((total_ones - ((1 << levels) - 1)) >> m & 1) AS n
+            FROM levels, range(0, 40) t(m) WHERE m < levels),
+        buckets AS (
+            SELECT *, (1::BIGINT << m) AS size,
+                   coalesce(sum(1::BIGINT << m) OVER (PARTITION BY key ORDER BY m, copy
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS newer
+            FROM digits, range(0, 2) c(copy) WHERE copy < n),
+        ones AS (
+            SELECT key, pos AS ts, row_number() OVER (PARTITION BY key ORDER BY pos DESC) - 1 AS newer
+            FROM estimates WHERE bit = 1)
+        SELECT key, 1000 AS window_size, stream_position, total_ones, size, ts
+        FROM buckets JOIN ones USING (key, newer)""",
     "stream_table": f"""
         WITH {SCORED} SELECT id, batch_id AS day, claim, label, predicted_label FROM scored""",
     "stream_dedup": f"WITH {SCORED} SELECT id, key, batch_id FROM scored",

@@ -8,15 +8,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from claimstream.functions import scored as S
-from claimstream.functions.text import choose_text, find_entities, redact
+from claimstream.functions.text import choose_text, find_entities, redact, redact_by_rule
 from claimstream.operators import classifier, dgim, lsh, patterns, positions, prepare, sampling
 from claimstream.operators import scored as ops
 from claimstream.plans import views
-from claimstream.session import fresh_path
+from claimstream.session import cut, fresh_path
 from claimstream.sources import readers, sinks
 from claimstream.streaming import jobs
 
@@ -53,12 +54,24 @@ def read_claims(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_claims(spark, path)
 
 
+def _corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw corpus lines, some of them broken."""
+    path = fresh_path(spark, "corpus")
+    sinks.write_table(views.raw_corpus(spark, folder), path, "json")
+    views.broken_lines(spark, folder).write.mode("append").text(path)
+    return readers.read_raw(spark, path)
+
+
 @query
 def claims_prepare(spark: SparkSession, folder: str) -> DataFrame:
     """Raw corpus lines to clean redacted claims."""
-    path = fresh_path(spark, "corpus")
-    sinks.write_table(views.raw_corpus(spark, folder), path, "json")
-    return prepare.prepare_claims(readers.read_raw(spark, path))
+    return prepare.prepare_claims(_corpus(spark, folder))
+
+
+@query
+def corpus_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the corpus that are no JSON."""
+    return prepare.unreadable(_corpus(spark, folder))
 
 
 @query
@@ -66,7 +79,7 @@ def claims_redact(spark: SparkSession, folder: str) -> DataFrame:
     """Number of distinct entities and the redacted text of every document."""
     found = find_entities(_text())
     return views.documents(spark, folder).select(
-        "id", F.size(found).alias("n_entities"), redact(_text(), found).alias("redacted")
+        "id", F.size(found).alias("n_entities"), redact_by_rule(_text()).alias("redacted")
     )
 
 
@@ -247,9 +260,11 @@ def similarity_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def lsh_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents, positives and documents with an earlier similar one, source by source."""
+    """Documents, positives and positives with an earlier similar one, source by source."""
     docs = ops.parse_scored(views.document_messages(spark, folder), ["id", "source"])
-    links = _links(spark, folder, ("source",))
+    text = choose_text(F.col("entity_redacted_claim"), F.col("claim"))
+    positives = docs.where(F.col("predicted_label") >= S.THRESHOLD)
+    links = lsh.bucket_links(positives, "id", text, ["source"])
     bit = S.positive_bit(F.col("predicted_label"))
     return lsh.summary(docs, links, "id", ["source"], bit)
 
@@ -300,15 +315,16 @@ def dgim_bounds(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dgim_batch_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """The daily record of one stream of all messages."""
-    counted = dgim.dgim(_one_stream(spark, folder), ["key"], ["ts", "id"], "is_positive")
+    """The daily record of one stream of all messages, worked on in small chunks."""
+    stream = _one_stream(spark, folder)
+    counted = dgim.dgim(stream, ["key"], ["ts", "id"], "is_positive", chunk_rows=1000, fan=3)
     return dgim.batch_statistics(counted, ["key"], "batch_id", "is_positive")
 
 
 @query
 def dgim_buckets(spark: SparkSession, folder: str) -> DataFrame:
     """The histogram each stream ends with, one row per bucket."""
-    counted = dgim.dgim(_bits(spark, folder), ["key"], ["ts", "id"], "is_positive").checkpoint()
+    counted = cut(dgim.dgim(_bits(spark, folder), ["key"], ["ts", "id"], "is_positive"))
     state = dgim.dgim_state(counted, ["key"], "is_positive")
     return dgim.dgim_buckets(state, ["key"]).select(
         "key", "window_size", "stream_position", "total_ones", F.inline("buckets")
@@ -335,14 +351,18 @@ def _top(spark: SparkSession, claims: DataFrame) -> DataFrame:
 
 @query
 def train_eval(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows trained on, rows held out, and accuracy on those."""
+    """Rows trained on, rows held out, and whether the model beats always choosing the rarer class.
+
+    The accuracy itself is learned, which SQL cannot express.
+    """
     claims = _prepared(spark, folder)
     held_out = claims.where(~F.col("is_train"))
     right = classifier.accuracy(_fit(claims), held_out)
+    guess = F.avg(F.when(~F.col("is_train"), F.col("label").cast("double")))
     return claims.agg(
         F.count_if("is_train").alias("train_rows"),
         F.count_if(~F.col("is_train")).alias("test_rows"),
-        F.lit(right).alias("accuracy"),
+        (F.lit(right) >= F.least(guess, 1 - guess)).alias("at_least_guessing"),
     )
 
 
@@ -352,62 +372,104 @@ def score_claims(spark: SparkSession, folder: str) -> DataFrame:
     claims, path = _prepared(spark, folder), fresh_path(spark, "model")
     classifier.save(_fit(claims), path)
     scored = classifier.score(classifier.load(path), claims, ("id",))
-    return scored.select("id", "label", "predicted_label")
+    decided = F.col("predicted_label").isin(0.0, 1.0)
+    return scored.select("id", "label", decided.alias("decided"))
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    """The 30 features of largest weight."""
-    return _top(spark, _prepared(spark, folder))
+    """The 30 features of largest weight, by rank; the weights are learned, their order is not."""
+    return _ranked(_top(spark, _prepared(spark, folder)), "importance")
+
+
+def _ranked(rows: DataFrame, weight: str, *by: str) -> DataFrame:
+    """Rank of each row by weight, and whether weight, direction and feature agree with it."""
+    order = Window.partitionBy(*by).orderBy(F.abs(weight).desc(), "feature_index")
+    before = F.lag(F.abs(weight)).over(order)
+    name = F.when(F.col(weight) > 0, classifier.RAISES).otherwise(classifier.LOWERS)
+    agrees = (
+        F.coalesce(before >= F.abs(weight), F.lit(True))
+        & (F.col("influence") == name)
+        & F.col("feature_index").between(0, classifier.FEATURES - 1)
+    )
+    return rows.select(*by, F.row_number().over(order).alias("rank"), agrees.alias("agrees"))
 
 
 @query
 def feature_words(spark: SparkSession, folder: str) -> DataFrame:
-    """The same features with their words."""
+    """Rank of the features, and whether all words listed for them belong to them."""
+    listed = _feature_words(spark, folder)
+    each = listed.select("feature_index", F.explode("words").alias("word"))
+    own = classifier.word_features(each.withColumnRenamed("feature_index", "listed_for"))
+    wrong = own.where(
+        (F.col("word") != classifier.NO_WORD) & (F.col("listed_for") != F.col("feature_index"))
+    ).select(F.col("listed_for").alias("feature_index")).distinct()
+    order = Window.orderBy(F.abs("coefficient").desc(), "feature_index")
+    return listed.join(wrong.withColumn("_wrong", F.lit(True)), "feature_index", "left").select(
+        F.row_number().over(order).alias("rank"),
+        (F.size("words").between(1, 20) & F.col("_wrong").isNull()).alias("words_belong"),
+    )
+
+
+def _feature_words(spark: SparkSession, folder: str) -> DataFrame:
     claims = _prepared(spark, folder)
     return classifier.feature_words(_top(spark, claims), classifier.vocabulary(claims))
 
 
 @query
 def importance_report(spark: SparkSession, folder: str) -> DataFrame:
-    """The report table, written as csv and read back."""
+    """Ranks of the report table, written as csv and read back, and whether its rows agree."""
     path = fresh_path(spark, "report")
-    report = classifier.importance_report(feature_words(spark, folder))
+    report = classifier.importance_report(_feature_words(spark, folder))
     sinks.write_table(report, path, "csv")
-    return spark.read.schema(report.schema).option("header", "true").csv(path)
+    back = spark.read.schema(report.schema).option("header", "true").csv(path)
+    checked = _ranked(back, "coefficient", "influence").where(F.col("rank") <= 15)
+    return checked.agg(
+        F.count_if("agrees").alias("agreeing"), F.count_if(~F.col("agrees")).alias("wrong")
+    ).select((F.col("agreeing") > 0).alias("has_rows"), "wrong")
 
 
 # --- streams ----------------------------------------------------------------------
 
 
-def _replayed(
-    spark: SparkSession, folder: str, times: int = 1, days: int = SLICE_DAYS
-) -> DataFrame:
-    """Events as a file stream: slices of days in order, each slice sent ``times`` times."""
+def _replay(
+    spark: SparkSession,
+    folder: str,
+    start: Callable[[DataFrame], StreamingQuery],
+    times: int = 1,
+    days: int = SLICE_DAYS,
+) -> None:
+    """Send the events slice by slice, each ``times`` times, and run the job after each.
+
+    A run takes all that is new as one batch and goes on from the checkpoint of the run before,
+    so the batches are the slices, whatever files they are written in.
+    """
     path = fresh_path(spark, "scored-topic")
     messages = views.scored_messages(spark, folder)
     low, high = messages.agg(F.min("batch_id"), F.max("batch_id")).first()
-    slices = range(low, high + 1, days)
-    for day in slices:
+    for day in range(low, high + 1, days):
         part = views.scored_messages(spark, folder, since=day, until=day + days)
         for _ in range(times):
             part.write.mode("append").parquet(path)
-    files = spark.read.parquet(path).inputFiles()
-    per_trigger = max(1, len(files) // (times * len(slices)))
-    return readers.stream_files(spark, path, messages.schema, "parquet", per_trigger)
+            start(readers.stream_files(spark, path, messages.schema, "parquet")).awaitTermination()
 
 
-def _finish(run) -> None:
-    run.awaitTermination()
+def _sampled(spark: SparkSession, folder: str) -> str:
+    out = fresh_path(spark, "metrics")
+    _replay(
+        spark,
+        folder,
+        lambda stream: jobs.metrics_and_sample(
+            stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
+        ),
+    )
+    return out
 
 
 @query
 def stream_confusion(spark: SparkSession, folder: str) -> DataFrame:
     """Outcome counts of the whole replayed stream, from its per-batch records."""
-    out = fresh_path(spark, "metrics")
-    stream = _replayed(spark, folder)
-    _finish(jobs.metrics_and_sample(stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP))
-    stats = spark.read.parquet(f"{out}/stats")
+    stats = spark.read.parquet(f"{_sampled(spark, folder)}/stats")
     sums = ["batch_size", *[f"{c}s" for c in S.CATEGORIES]]
     return stats.agg(
         F.max("total_processed").alias("total_processed"), *[F.sum(c).alias(c) for c in sums]
@@ -417,10 +479,7 @@ def stream_confusion(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_reservoir(spark: SparkSession, folder: str) -> DataFrame:
     """The sample after the last batch of the replayed stream."""
-    out = fresh_path(spark, "sampled")
-    stream = _replayed(spark, folder)
-    _finish(jobs.metrics_and_sample(stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP))
-    sample = spark.read.parquet(f"{out}/sample")
+    sample = spark.read.parquet(f"{_sampled(spark, folder)}/sample")
     newest = sample.agg(F.max("batch_id")).scalar()
     return sample.where(F.col("batch_id") == newest).select(
         "id", "priority", "prediction_category"
@@ -430,57 +489,83 @@ def stream_reservoir(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_dgim(spark: SparkSession, folder: str) -> DataFrame:
     """Estimate at the end of each stream, after the last micro-batch."""
-    out = fresh_path(spark, "window")
-    stream = _replayed(spark, folder)
-    _finish(
-        jobs.positives_in_window(
-            stream, ["key"], ["ts", "id"], out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
-        )
+    out, keys, order = fresh_path(spark, "window"), ["key"], ["ts", "id"]
+    _replay(
+        spark,
+        folder,
+        lambda stream: jobs.positives_in_window(
+            stream, keys, order, out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
+        ),
     )
-    state = spark.read.parquet(f"{out}/state")
-    newest = readers.latest_state(state, ["key"])
+    schema = jobs.window_state(views.scored_messages(spark, folder).schema, keys, order)
+    newest = readers.keyed_state(spark, f"{out}/state", keys, schema)
     total = dgim.dgim_total(F.col("recent"), F.col("overhang"))
     return newest.select("key", "pos", total.alias("estimate"))
 
 
 @query
 def stream_lsh(spark: SparkSession, folder: str) -> DataFrame:
-    """Clusters among the positive documents, all sent as one micro-batch."""
+    """Clusters among the positive documents of two micro-batches, each for itself."""
     path, out = fresh_path(spark, "document-topic"), fresh_path(spark, "similar")
     messages = views.document_messages(spark, folder).drop("source")
-    messages.write.parquet(path)
-    stream = readers.stream_files(spark, path, messages.schema, "parquet")
-    _finish(jobs.similar_and_frequent(stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP))
+    for half in (0, 1):
+        part = messages.where(F.crc32(F.col("id").cast("string").cast("binary")) % 2 == half)
+        part.write.mode("append").parquet(path)
+        stream = readers.stream_files(spark, path, messages.schema, "parquet")
+        jobs.similar_and_frequent(
+            stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
+        ).awaitTermination()
     return spark.read.parquet(f"{out}/clusters").select("cluster_id", "id")
 
 
 @query
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Claims published as messages and scored by the streaming job."""
+    """Claims published as messages, some of them broken, and scored by the streaming job."""
     topic, out = fresh_path(spark, "claim-topic"), fresh_path(spark, "predictions")
     claims = _prepared(spark, folder)
     model = _fit(claims)
     sinks.publish(claims.drop("id", "is_train"), "parquet", {"path": topic})
+    views.broken_lines(spark, folder).write.mode("append").parquet(topic)
     stream = readers.stream_files(spark, topic, "value string", "parquet")
-    _finish(
-        jobs.score_topic(
-            stream, model, "parquet", {"path": out}, f"{out}-run", trigger=jobs.ALL_THEN_STOP
+    jobs.score_topic(
+        stream,
+        model,
+        "parquet",
+        {"path": out},
+        f"{out}-run",
+        jobs.ALL_THEN_STOP,
+        rejects=f"{out}-rejects",
+    ).awaitTermination()
+    scored = ops.parse_scored(spark.read.parquet(out))
+    decided = F.col("predicted_label").isin(0.0, 1.0)
+    return (
+        scored.groupBy("label", decided.alias("decided"))
+        .agg(F.count("*").alias("n"))
+        .unionByName(
+            spark.read.parquet(f"{out}-rejects").agg(
+                F.lit("rejected").alias("label"),
+                F.lit(False).alias("decided"),
+                F.count("*").alias("n"),
+            )
         )
     )
-    return ops.parse_scored(spark.read.parquet(out)).groupBy("label", "predicted_label").agg(
-        F.count("*").alias("n")
-    )
 
 
 @query
 def stream_table(spark: SparkSession, folder: str) -> DataFrame:
     """The replayed stream appended to a table."""
     out = fresh_path(spark, "table")
-    stream = _replayed(spark, folder).withColumnRenamed("batch_id", "day")
-    _finish(
-        jobs.to_table(
-            stream, out, f"{out}-run", ["id", "day"], partitions=4, trigger=jobs.ALL_THEN_STOP
-        )
+    _replay(
+        spark,
+        folder,
+        lambda stream: jobs.to_table(
+            stream.withColumnRenamed("batch_id", "day"),
+            out,
+            f"{out}-run",
+            ["id", "day"],
+            partitions=4,
+            trigger=jobs.ALL_THEN_STOP,
+        ),
     )
     return spark.read.parquet(out).select("id", "day", "claim", "label", "predicted_label")
 
@@ -488,11 +573,13 @@ def stream_table(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """A stream whose producer sends everything twice, each message kept once."""
-    out = fresh_path(spark, "deduplicated")
-    stream = _replayed(spark, folder, times=2)
-    _finish(
-        jobs.without_repeats(
-            stream, "id", "ts", f"{SLICE_DAYS + 1} days", out, f"{out}-run", jobs.ALL_THEN_STOP
-        )
+    out, delay = fresh_path(spark, "deduplicated"), f"{SLICE_DAYS + 1} days"
+    _replay(
+        spark,
+        folder,
+        lambda stream: jobs.without_repeats(
+            stream, "id", "ts", delay, out, f"{out}-run", jobs.ALL_THEN_STOP
+        ),
+        times=2,
     )
     return spark.read.parquet(out).select("id", "key", "batch_id")

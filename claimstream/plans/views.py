@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.functions.text import find_entities, redact
+from claimstream.functions.text import redact_by_rule
 from claimstream.sources.readers import read_table
 
 # The language of a document decides its corpus label; the last label
@@ -15,8 +15,17 @@ from claimstream.sources.readers import read_table
 LANGUAGE_LABEL = {"en": "SUPPORTS", "fr": "REFUTES", "de": "NOT ENOUGH INFO", "es": "OTHER"}
 
 
+# A session whose tables are single files, as in tests and benchmarks, may name the number of
+# partitions its tables are dealt into; unset, they are read as they are.
+PARTITIONS = "spark.claimstream.partitions"
+
+# Fixed value: every so many documents carry a redacted text of their own.
+REDACTED_EVERY = 3
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet")
+    partitions = spark.conf.get(PARTITIONS, None)
+    return read_table(spark, f"{folder}/{name}.parquet", int(partitions) if partitions else None)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,16 +43,21 @@ def raw_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return documents(spark, folder).select("claim", label.alias("label"))
 
 
+def broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that are no JSON, one for every hundredth document."""
+    docs = table(spark, folder, "documents").where(F.col("doc_id") % 100 == 0)
+    return docs.select(F.concat(F.lit("{broken "), F.col("doc_id").cast("string")).alias("value"))
+
+
 def claims(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that carry a quality label, redacted; low quality is class 1."""
     labelled = table(spark, folder, "labels").select(
         F.col("doc_id").alias("id"), (1 - F.col("quality")).alias("label")
     )
-    text = F.col("claim")
     return (
         documents(spark, folder)
         .join(labelled, "id")
-        .select("id", "claim", redact(text, find_entities(text)).alias("entity_redacted_claim"), "label")
+        .select("id", "claim", redact_by_rule(F.col("claim")).alias("entity_redacted_claim"), "label")
     )
 
 
@@ -82,7 +96,9 @@ def document_messages(spark: SparkSession, folder: str) -> DataFrame:
     labelled = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
     payload = F.struct(
         F.col("text").alias("claim"),
-        F.lit("").alias("entity_redacted_claim"),
+        F.when(F.col("doc_id") % REDACTED_EVERY == 0, redact_by_rule(F.col("text")))
+        .otherwise("")
+        .alias("entity_redacted_claim"),
         F.coalesce("toxic", F.lit(0)).alias("label"),
         F.when(F.col("quality") == 1, 0.0).otherwise(1.0).alias("predicted_label"),
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
+from claimstream.operators.spread import same_keys
 from claimstream.schemas import CLAIM, RAW
+from claimstream.session import folder_numbers
 
 
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
@@ -20,15 +21,10 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).json(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table; one that makes fewer splits than there are cores is dealt out anew.
-
-    Parsing text is the costly part of most jobs, and a small table that is a single
-    split would leave all of it to one core.  A large table is read as it is.
-    """
+def read_table(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """A parquet table, dealt out anew only if the caller says into how many partitions."""
     table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    return table if partitions is None else table.repartition(partitions)
 
 
 def topic_options(
@@ -83,16 +79,41 @@ def snapshot_before(
 ) -> DataFrame:
     """The snapshot of the newest batch before this one; empty when there is none.
 
-    A replayed batch therefore starts from the same state as its first run.
+    Only that snapshot's folder is read.  A replayed batch therefore starts from the same
+    state as its first run.
     """
-    versioned = StructType(list(schema.fields)).add("batch_id", LongType())
-    try:
-        older = spark.read.schema(versioned).parquet(path).where(F.col("batch_id") < batch_id)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    newest = older.agg(F.max("batch_id")).first()[0]
-    if newest is None:
+    older = [n for n in folder_numbers(spark, path, "batch_id") if n < batch_id]
+    if not older:
         return spark.createDataFrame([], schema)
-    return older.where(F.col("batch_id") == newest).drop("batch_id")
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={older[-1]}")
+
+
+def state_parts(spark: SparkSession, path: str, before: int | None = None) -> tuple[int | None, list[int]]:
+    """The newest whole state of ``write_keyed_state`` and the changes since, by batch id."""
+    whole = [n for n in folder_numbers(spark, f"{path}/base", "batch_id") if before is None or n < before]
+    base = whole[-1] if whole else None
+    changes = folder_numbers(spark, f"{path}/changes", "batch_id")
+    return base, [n for n in changes if (before is None or n < before) and (base is None or n > base)]
+
+
+def keyed_state(
+    spark: SparkSession,
+    path: str,
+    keys: list[str],
+    schema: StructType,
+    before: int | None = None,
+    touched: DataFrame | None = None,
+) -> DataFrame:
+    """The newest row of each key, as of the batch ``before``; of the ``touched`` keys if given."""
+    base, changes = state_parts(spark, path, before)
+    folders = [] if base is None else [(base, f"{path}/base/batch_id={base}")]
+    folders += [(n, f"{path}/changes/batch_id={n}") for n in changes]
+    versioned = StructType([*schema.fields, StructField("batch_id", LongType())])
+    rows = spark.createDataFrame([], versioned)
+    for n, folder in folders:
+        rows = rows.unionByName(
+            spark.read.schema(schema).parquet(folder).withColumn("batch_id", F.lit(n).cast("bigint"))
+        )
+    if touched is not None:
+        rows = same_keys(rows, touched.select(*keys), keys, "left_semi")
+    return latest_state(rows, keys).drop("batch_id")

@@ -14,15 +14,24 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from claimstream.functions import scored as S
 from claimstream.functions.text import choose_text
 from claimstream.operators import classifier, dgim, lsh, patterns, sampling
 from claimstream.operators import scored as ops
+from claimstream.operators.spread import same_keys
 from claimstream.schemas import CLAIM
-from claimstream.sources.readers import snapshot_before
-from claimstream.sources.sinks import as_messages, write_batch
+from claimstream.session import cut, scratch
+from claimstream.sources.readers import keyed_state, snapshot_before
+from claimstream.sources.sinks import (
+    FILE_FORMATS,
+    as_messages,
+    publish,
+    write_batch,
+    write_keyed_state,
+    write_state,
+)
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 EVERY_15_SECONDS = {"processingTime": "15 seconds"}
@@ -32,8 +41,13 @@ ALL_THEN_STOP = {"availableNow": True}
 
 def _per_batch(stream: DataFrame, work, checkpoint: str, trigger: dict) -> StreamingQuery:
     def unless_empty(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            work(batch, batch_id)
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                with scratch(batch.sparkSession):
+                    work(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(unless_empty)
@@ -51,20 +65,28 @@ def score_topic(
     options: dict[str, str],
     checkpoint: str,
     trigger: dict = EVERY_5_SECONDS,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Score a topic of claims with a fitted model and publish the decisions."""
-    parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), CLAIM).alias("data")
-    ).select("data.*")
-    return (
-        as_messages(classifier.score(model, parsed))
-        .writeStream.format(fmt)
-        .options(**options)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
+    """Score a topic of claims with a fitted model and publish the decisions.
+
+    Messages without a text to score, such as lines that are no JSON, are written to the
+    table ``rejects`` (beside the checkpoint if not named) and scoring goes on.  A
+    batch that runs again replaces what it wrote to files; to a topic it is sent once more.
+    """
+    rejected = rejects or f"{checkpoint.rstrip('/')}-rejects"
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        line = F.col("value").cast("string")
+        parsed = batch.select(line.alias("line"), F.inline_outer(F.array(F.from_json(line, CLAIM))))
+        usable = F.col(classifier.TEXT).isNotNull()
+        decided = as_messages(classifier.score(model, parsed.where(usable)))
+        if fmt in FILE_FORMATS:
+            write_batch(decided, options["path"], batch_id, fmt, options=options)
+        else:
+            publish(decided, fmt, options, encoded=True)
+        write_batch(parsed.where(~usable).select("line"), rejected, batch_id)
+
+    return _per_batch(messages, work, checkpoint, trigger)
 
 
 def metrics_and_sample(
@@ -79,7 +101,8 @@ def metrics_and_sample(
     """Quality of each batch, a uniform sample of all rows so far, and the rejects.
 
     ``id`` names a column that is unique per message, such as partition and offset.
-    Writes the tables stats, sample, sample_distribution and rejects under ``out``.
+    Writes the tables stats, sample, sample_distribution and rejects under ``out``; of the sample
+    the last few versions are kept.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -92,19 +115,20 @@ def metrics_and_sample(
         earlier = snapshot_before(spark, f"{out}/sample", batch_id, StructType(drawn.schema.fields))
         sample = sampling.merge_reservoirs(earlier, drawn, id, k).persist()
         totals = snapshot_before(
-            spark, f"{out}/stats", batch_id, StructType().add("total_processed", LongType())
+            spark, f"{out}/totals", batch_id, StructType().add("total_processed", LongType())
         )
         before = (totals.first() or [0])[0]
-        stats = (
+        stats = cut(
             ops.quality(ops.confusion(rows))
             .withColumn("reservoir_sample_count", F.lit(sample.count()))
             .withColumn("reservoir_size", F.lit(k))
             .withColumn("total_processed", F.col("batch_size") + F.lit(before))
         )
-        write_batch(sample, f"{out}/sample", batch_id)
+        write_state(sample, f"{out}/sample", batch_id)
         write_batch(sampling.sample_distribution(sample), f"{out}/sample_distribution", batch_id)
         write_batch(ops.rejects(parsed), f"{out}/rejects", batch_id)
         write_batch(ops.stamp(stats), f"{out}/stats", batch_id)
+        write_state(stats.select("total_processed"), f"{out}/totals", batch_id)
         sample.unpersist()
         parsed.unpersist()
 
@@ -123,36 +147,56 @@ def positives_in_window(
 ) -> StreamingQuery:
     """Approximate number of positives among the last ``window`` rows of each stream.
 
-    Rows must arrive in the order of ``order`` from one batch to the next.  Writes the
-    tables stats, state and raw_sample under ``out``.
+    Rows must arrive in the order of ``order`` from one batch to the next; a batch with a row
+    before the last one of its stream stops the query.  Writes the tables stats and
+    raw_sample (the first rows of each batch) and the keyed state under ``out``: a batch
+    reads and writes the state of its own streams only.
     """
     keys = list(keys)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = ops.parse_scored(batch, [*keys, *order])
+        parsed = ops.parse_scored(batch, [*keys, *order]).persist()
         bits = parsed.select(
             *keys, *order, S.positive_bit(F.col("predicted_label")).alias("is_positive")
         )
-        schema = StructType([batch.schema[c] for c in keys])
-        schema = schema.add("pos", LongType()).add("overhang", LongType())
-        schema = schema.add("recent", ArrayType(IntegerType()))
-        state = snapshot_before(spark, f"{out}/state", batch_id, schema)
-        counted = dgim.dgim(
-            bits, keys, order, "is_positive", window, state, chunk_rows
-        ).checkpoint()
-        newest = dgim.dgim_state(counted, keys, "is_positive", window, state)
+        schema = window_state(batch.schema, keys, order)
+        place = F.struct(*order)
+        starts = cut(bits.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("last")))
+        state = cut(keyed_state(spark, f"{out}/state", keys, schema, batch_id, starts))
+        late = same_keys(starts.drop("last"), state, keys).where(F.col("_first") <= F.col("last"))
+        if not late.isEmpty():
+            raise ValueError(f"batch {batch_id} has rows before the last one of their stream")
+        known = state.drop("last", "updated_at")
+        counted = cut(dgim.dgim(bits, keys, order, "is_positive", window, known, chunk_rows))
+        newest = dgim.dgim_state(counted, keys, "is_positive", window, known)
+        newest = same_keys(newest, starts.drop("_first"), keys)
         stats = dgim.batch_statistics(
             counted.withColumn("_batch", F.lit(batch_id)), keys, "_batch", "is_positive", window
         ).drop("_batch")
-        write_batch(ops.head_sample(ops.stamp(parsed), keys, order), f"{out}/raw_sample", batch_id)
+        write_batch(ops.head_sample(ops.stamp(parsed), [], order), f"{out}/raw_sample", batch_id)
         write_batch(ops.stamp(stats), f"{out}/stats", batch_id)
-        stamped = newest.select(*schema.fieldNames(), F.unix_timestamp().alias("updated_at"))
-        write_batch(stamped, f"{out}/state", batch_id)
+        stamped = newest.withColumn("updated_at", F.unix_timestamp())
+        write_keyed_state(stamped.select(*schema.fieldNames()), f"{out}/state", batch_id, keys)
+        parsed.unpersist()
 
     return _per_batch(messages, work, checkpoint, trigger)
 
 
+def window_state(messages: StructType, keys: Sequence[str], order: Sequence[str]) -> StructType:
+    """Schema of the state of ``positives_in_window``: a row per stream."""
+    return StructType(
+        [
+            *[messages[c] for c in keys],
+            StructField("pos", LongType()),
+            StructField("overhang", LongType()),
+            StructField("recent", ArrayType(IntegerType())),
+            StructField("last", StructType([messages[c] for c in order])),
+            StructField("updated_at", LongType()),
+        ]
+    )
+
+
 def similar_and_frequent(
     messages: DataFrame,
     id: str,
@@ -173,9 +217,9 @@ def similar_and_frequent(
         text = choose_text(F.col("entity_redacted_claim"), F.col("claim"))
         positives = parsed.where(F.col("predicted_label") >= S.THRESHOLD)
         positives = positives.select(id, text.alias("text")).withColumn("_all", F.lit(0))
-        links = lsh.bucket_links(
-            positives, id, F.col("text"), ["_all"], threshold, permutations
-        ).checkpoint()
+        links = cut(
+            lsh.bucket_links(positives, id, F.col("text"), ["_all"], threshold, permutations)
+        )
         counted = lsh.summary(
             positives, links, id, ["_all"], F.lit(1)
         ).drop("_all")
@@ -191,17 +235,23 @@ def similar_and_frequent(
 
 def to_table(
     messages: DataFrame,
-    out: str,
+    out: str | None,
     checkpoint: str,
     keep: Sequence[str] = (),
     partitions: int | None = None,
     fmt: str = "parquet",
     trigger: dict = EVERY_30_SECONDS,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Append the parsed predictions to a table, in ``partitions`` files per batch if given."""
+    """Append the parsed predictions to a table, in ``partitions`` parts per batch if given.
+
+    ``fmt`` may be any format of the session, a warehouse connector included: ``options``
+    go to its writer, and ``out`` is None where the options name the table.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        write_batch(ops.stamp(ops.parse_scored(batch, keep)), out, batch_id, fmt, partitions)
+        rows = ops.stamp(ops.parse_scored(batch, keep))
+        write_batch(rows, out, batch_id, fmt, partitions, options)
 
     return _per_batch(messages, work, checkpoint, trigger)
 
@@ -218,7 +268,9 @@ def without_repeats(
     """Write each message once although its producer sends it again.
 
     Ids are remembered for ``delay`` of event time; rows later than that are dropped, so
-    ``delay`` must cover the disorder of the input.
+    ``delay`` must cover the disorder of the input; ``rows_behind_watermark`` counts them.  All
+    ids of that time are state: set spark.sql.streaming.stateStore.providerClass to the
+    RocksDB provider where they do not fit in memory.
     """
     return (
         messages.withWatermark(time, delay)
@@ -230,3 +282,12 @@ def without_repeats(
         .trigger(**trigger)
         .start()
     )
+
+
+def rows_behind_watermark(query: StreamingQuery) -> int:
+    """Rows the reported batches of a query dropped because they came too late."""
+    return sum(
+        int(operator["numRowsDroppedByWatermark"])
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from claimstream.session import fresh_path
+from claimstream.session import cut, folder_numbers, fresh_path, scratch
 from claimstream.sources import readers, sinks
 
 
@@ -63,9 +64,56 @@ def test_latest_state(spark):
     assert got == {("a", 3, 30), ("b", 2, 20)}
 
 
-def test_small_tables_are_dealt_out_and_large_ones_left_alone(spark):
+def test_tables_are_dealt_out_only_if_asked(spark):
     path = fresh_path(spark, "files")
     spark.range(100).coalesce(1).write.parquet(path)
-    dealt = readers.read_table(spark, path)
-    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert readers.read_table(spark, path).rdd.getNumPartitions() == 1
+    dealt = readers.read_table(spark, path, 5)
+    assert dealt.rdd.getNumPartitions() == 5
     assert dealt.agg(F.sum("id")).first()[0] == 4950
+
+
+def test_options_reach_the_writer_of_a_batch(spark):
+    path = fresh_path(spark, "options")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
+    for _ in range(2):
+        sinks.write_batch(rows, path, 3, "csv", options={"sep": ";", "header": "true"})
+    back = spark.read.text(path).where("value not like 'id%'")
+    assert sorted((r.value, r.batch_id) for r in back.collect()) == [("1;a", 3), ("2;b", 3)]
+
+
+def test_whole_states_are_pruned(spark):
+    path = fresh_path(spark, "states")
+    for batch in range(6):
+        sinks.write_state(spark.range(batch), path, batch)
+    assert folder_numbers(spark, path, "batch_id") == [3, 4, 5]
+    assert readers.snapshot_before(spark, path, 5, spark.range(1).schema).count() == 4
+
+
+def test_keyed_states_hold_the_newest_row_of_each_key(spark):
+    path, schema = fresh_path(spark, "keyed"), "key string, n bigint"
+    newest = {}
+    for batch in range(11):
+        rows = [(f"k{batch % 4}", batch), ("always", batch)]
+        newest |= dict(rows)
+        frame = spark.createDataFrame(rows, schema)
+        sinks.write_keyed_state(frame, path, batch, ["key"], compact_every=3)
+        got = readers.keyed_state(spark, path, ["key"], frame.schema)
+        assert dict(got.collect()) == newest
+    before = readers.keyed_state(spark, path, ["key"], frame.schema, before=10)
+    assert dict(before.collect())["always"] == 9
+    touched = spark.createDataFrame([("k1",), ("new",)], "key string")
+    some = readers.keyed_state(spark, path, ["key"], frame.schema, None, touched)
+    assert dict(some.collect()) == {"k1": 9}
+    assert len(folder_numbers(spark, f"{path}/changes", "batch_id")) < 8
+
+
+def test_tables_cut_in_a_scope_go_with_it(spark):
+    with scratch(spark):
+        kept = cut(spark.range(5))
+        assert kept.count() == 5
+        folder = kept.inputFiles()[0].rsplit("/", 2)[0]
+        assert spark.read.parquet(f"{folder}/*").count() == 5
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(f"{folder}/*").count()
+    assert cut(spark.range(5)).count() == 5

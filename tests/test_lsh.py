@@ -45,7 +45,7 @@ def test_links_clusters_and_lists_equal_brute_force(spark):
     signed = lsh.signatures(claims, "id", F.col("text"))
     rows = {r.id: r.signature for r in signed.collect()}
     texts = dict(make_claims())
-    assert sorted(rows) == sorted(i for i, t in texts.items() if len(t.split()) >= 3)
+    assert sorted(rows) == sorted(i for i, t in texts.items() if t.split())
     similar = brute(rows)
     links = lsh.bucket_links(claims, "id", F.col("text")).checkpoint()
 
@@ -57,12 +57,18 @@ def test_links_clusters_and_lists_equal_brute_force(spark):
         (i, j) for i, found in similar.items() for j in found
     )
 
+    got = lsh.clusters(links, "id")
+    assert sorted((r.cluster_id, r.id) for r in got.collect()) == sorted(
+        (found[0], i) for i, found in similar.items()
+    )
+    asked = got.select("cluster_id").distinct().where("cluster_id % 2 = 0")
     expected = set()
     for i, found in similar.items():
-        expected.add((found[0], i))
-        expected.update((found[0], j) for j in found[1:])
-    got = [(r.cluster_id, r.id) for r in lsh.clusters(links, "id").collect()]
-    assert len(got) == len(set(got)) and set(got) == expected
+        if found[0] % 2 == 0:
+            expected.add((found[0], i))
+            expected.update((found[0], j) for j in found[1:])
+    members = [(r.cluster_id, r.id) for r in lsh.cluster_members(links, asked, "id").collect()]
+    assert len(members) == len(set(members)) and set(members) == expected
 
     shown = lsh.similar_claims(links, claims, "id", "text")
     for r in lsh.nest_similar(shown, "id").collect():
@@ -101,6 +107,18 @@ def test_one_text_copied_into_a_third_of_the_table(spark):
     assert total.similar_count >= 599
 
 
+def test_overlapping_buckets_give_one_row_per_claim(spark):
+    """Claims share one bucket, and each has an earlier similar claim of its own in another."""
+    m = 400
+    rows = [(0, 1000, 1000 + i) for i in range(m)]
+    rows += [(1, i, x) for i in range(m) for x in (i, 1000 + i)]
+    links = spark.createDataFrame(rows, "band int, first_id bigint, id bigint")
+    assert lsh.clusters(links, "id").count() == m
+    one = spark.createDataFrame([(7,)], "cluster_id bigint")
+    members = lsh.cluster_members(links, one, "id")
+    assert sorted(r.id for r in members.collect()) == [*range(1000, 1008)]
+
+
 def test_scope_keeps_batches_apart(spark):
     rows = [(1, "a", "one two three four"), (2, "b", "one two three four"), (3, "a", "one two three four"), (4, None, "one two three four"), (5, None, "one two three four")]
     claims = spark.createDataFrame(rows, "id bigint, batch string, text string")

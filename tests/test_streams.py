@@ -5,6 +5,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from claimstream.functions import scored as S
+from claimstream.functions.text import choose_text
 from claimstream.operators import classifier, dgim, lsh, sampling
 from claimstream.operators import scored as ops
 from claimstream.plans import views
@@ -79,13 +80,71 @@ def test_window_count_equals_the_batch_operator(spark, messages):
     whole = dgim.dgim(bits, keys, order, "is_positive", window)
     ends = whole.groupBy("key").agg(F.max("pos"), F.max_by("exact", "pos"), F.max_by("estimate", "pos"))
     newest = readers.latest_state(spark.read.parquet(f"{out}/stats"), keys)
+    state = readers.keyed_state(
+        spark, f"{out}/state", keys, jobs.window_state(messages.schema, keys, order)
+    )
+    assert {r.key: r.pos for r in state.collect()} == {r[0]: r[1] for r in ends.collect()}
     assert rows(
         newest.select("key", "stream_position", "exact_window_count", "approximate_count")
     ) == rows(ends)
     stats = spark.read.parquet(f"{out}/stats")
     assert stats.agg(F.sum("batch_size")).first()[0] == 1000
-    sampled = spark.read.parquet(f"{out}/raw_sample").groupBy("batch_id", "key").count()
-    assert sampled.agg(F.max("count")).first()[0] <= 5
+    sampled = spark.read.parquet(f"{out}/raw_sample").groupBy("batch_id").count()
+    assert sampled.agg(F.min("count"), F.max("count")).first() == (5, 5)
+
+
+def test_window_count_does_not_depend_on_files(spark, messages):
+    """Slices in many small and uneven files, read in small splits, give the same counts."""
+    keys, order, window = ["key"], ["ts", "id"], 40
+    ends = []
+    for files in (1, 7):
+        path, out = fresh_path(spark, "sent"), fresh_path(spark, "window")
+        for low, high in SLICES:
+            part = messages.where(F.col("id").between(low, high - 1))
+            for n in range(files):
+                (
+                    part.where(F.col("id") % files == n)
+                    .coalesce(1)
+                    .write.option("maxRecordsPerFile", 11 + 30 * n if files > 1 else 0)
+                    .mode("append")
+                    .parquet(path)
+                )
+            jobs.positives_in_window(
+                readers.stream_files(spark, path, messages.schema, "parquet"),
+                keys, order, out, f"{out}-run", window, jobs.ALL_THEN_STOP,
+            ).awaitTermination()
+        stats = spark.read.parquet(f"{out}/stats")
+        ends.append(rows(stats.select("batch_id", "key", "stream_position", "approximate_count")))
+    assert ends[0] == ends[1] and len(ends[0]) > 4
+
+
+def test_rows_out_of_order_stop_the_window_count(spark, messages):
+    path, out = fresh_path(spark, "sent"), fresh_path(spark, "window")
+
+    def run():
+        jobs.positives_in_window(
+            stream(spark, messages, path), ["key"], ["ts", "id"], out, f"{out}-run",
+            trigger=jobs.ALL_THEN_STOP,
+        ).awaitTermination()
+
+    send(messages, path, 300, 700)
+    run()
+    send(messages, path, 0, 300)
+    with pytest.raises(StreamingQueryException, match="before the last one"):
+        run()
+
+
+def test_a_batch_touches_the_state_of_its_own_streams_only(spark, messages):
+    path, out = fresh_path(spark, "sent"), fresh_path(spark, "window")
+    one = messages.where("key = 'click'").limit(50)
+    for part in (messages.where("id < 500"), messages.where("id >= 500 and key = 'click'")):
+        part.write.mode("append").parquet(path)
+        jobs.positives_in_window(
+            readers.stream_files(spark, path, messages.schema, "parquet"),
+            ["key"], ["ts", "id"], out, f"{out}-run", trigger=jobs.ALL_THEN_STOP,
+        ).awaitTermination()
+    changed = spark.read.parquet(f"{out}/state/changes").where("batch_id = 1")
+    assert [r.key for r in changed.collect()] == ["click"] and one.count() == 50
 
 
 def test_a_replayed_batch_changes_nothing(spark, messages):
@@ -97,7 +156,7 @@ def test_a_replayed_batch_changes_nothing(spark, messages):
     def tables():
         sample = spark.read.parquet(f"{out}/m/sample").select("batch_id", "id")
         stats = spark.read.parquet(f"{out}/m/stats").select("batch_id", "total_processed")
-        state = spark.read.parquet(f"{out}/w/state").drop("updated_at")
+        state = spark.read.parquet(f"{out}/w/state/changes").drop("updated_at")
         return [rows(t) for t in (sample, stats, state)]
 
     def run(checkpoint):
@@ -122,7 +181,8 @@ def test_similar_and_frequent(spark):
         stream(spark, messages, path), "id", out, f"{out}-run", trigger=jobs.ALL_THEN_STOP
     ).awaitTermination()
     positives = ops.parse_scored(messages, ["id"]).where("predicted_label >= 0.5")
-    links = lsh.bucket_links(positives, "id", F.col("claim"))
+    text = choose_text(F.col("entity_redacted_claim"), F.col("claim"))
+    links = lsh.bucket_links(positives, "id", text)
     assert rows(spark.read.parquet(f"{out}/clusters").select("cluster_id", "id")) == rows(
         lsh.clusters(links, "id")
     )
@@ -138,11 +198,15 @@ def test_scores_are_published_as_messages(spark):
     model = classifier.fit(claims, 200)
     topic, out = fresh_path(spark, "topic"), fresh_path(spark, "scores")
     sinks.publish(claims, "parquet", {"path": topic}, key="fever")
+    broken = spark.createDataFrame([("fever", "no json"), ("fever", None)], "key string, value string")
+    broken.write.mode("append").parquet(topic)
     jobs.score_topic(
         readers.stream_files(spark, topic, "key string, value string", "parquet"),
         model, "parquet", {"path": out}, f"{out}-run", jobs.ALL_THEN_STOP,
     ).awaitTermination()
     published = spark.read.parquet(out)
+    rejected = spark.read.parquet(f"{out}-run-rejects")
+    assert rows(rejected.select("line")) == [("no json",), (None,)]
     assert set(json.loads(published.first().value)) == {
         "claim", "entity_redacted_claim", "label", "predicted_label"
     }

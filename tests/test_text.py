@@ -3,7 +3,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from claimstream.functions.text import choose_text, find_entities, redact, tokens, word_ngrams
+from claimstream.functions.text import (
+    choose_text,
+    find_entities,
+    redact,
+    redact_by_rule,
+    tokens,
+    word_ngrams,
+)
 from claimstream.operators.patterns import pattern_counts, pattern_record, top_patterns
 from claimstream.operators.prepare import dictionary_entities, prepare_claims, text_sizes
 
@@ -63,6 +70,10 @@ REDACTIONS = [
     ("Paris, Parisian, C++ (x)", ["Paris", "C++", "(x)"], "<ENTITY>, <ENTITY>ian, <ENTITY> <ENTITY>"),
     ("nothing here", [], "nothing here"),
     ("EEE", ["E", "EN"], "<ENTITY><ENTITY><ENTITY>"),
+    ("a\ue000b", [], "a\ue000b"),
+    (r"a\E.b \Q", [r"\E.", r"\Q", None, ""], "a<ENTITY>b <ENTITY>"),
+    ("no array", None, "no array"),
+    (None, ["E"], None),
 ]
 
 
@@ -72,19 +83,47 @@ def test_redact(spark):
     assert [(r.r, r.expected) for r in got.collect() if r.r != r.expected] == []
 
 
+RULED = [
+    *[t for t in TEXTS if t is not None],
+    "New York Times and York in New Yorkshire 12 123 A1 1A a12b McDonald eBay USA US",
+    "The The Theatre THEN Th 7 77 777",
+]
+
+
+def test_the_rule_in_one_pass_equals_entity_by_entity(spark):
+    df = spark.createDataFrame([(t,) for t in RULED], "text string")
+    text = F.col("text")
+    both = df.select(redact(text, find_entities(text)).alias("a"), redact_by_rule(text).alias("b"))
+    for row in both.collect():
+        assert row.a == row.b
+
+
 def test_find_entities(spark):
     df = spark.createDataFrame([("Marie Curie met Marie Curie in 1903 near Été",)], "text string")
     assert df.select(find_entities(F.col("text"))).first()[0] == ["Marie Curie", "1903", "Été"]
 
 
 def test_dictionary_entities(spark):
-    rows = [(1, "She moved to New York City, then Rome."), (2, "no match"), (3, "Rome Rome")]
+    rows = [
+        (1, "She moved to New York City, then Rome."),
+        (2, "no match"),
+        (3, "Rome Rome"),
+        (4, "O'Neill ran the First National Bank of New  York, in U.S. terms"),
+        (5, None),
+    ]
     docs = spark.createDataFrame(rows, "id int, text string")
-    names = spark.createDataFrame([("New York City",), ("Rome",), ("York",)], "entity string")
-    for broadcast_rows in (0, 100):
-        found = dictionary_entities(docs, names, "id", "text", broadcast_rows=broadcast_rows)
-        got = {r.id: sorted(r.entities) for r in found.collect()}
-        assert got == {1: ["New York City", "Rome", "York"], 3: ["Rome"]}
+    listed = ["New York City", "Rome", "York", "O'Neill", "First National Bank of New York", "U S", "...", None]
+    names = spark.createDataFrame([(n,) for n in listed], "entity string")
+    found = dictionary_entities(docs, names, "id", "text")
+    got = {r.id: sorted(r.entities) for r in found.collect()}
+    assert got == {
+        1: ["New York City", "Rome", "York"],
+        3: ["Rome"],
+        4: ["First National Bank of New  York", "O'Neill", "U.S", "York"],
+    }
+    assert dictionary_entities(docs, names.where("false"), "id", "text").collect() == []
+    marked = docs.join(found, "id").select("id", redact(F.col("text"), F.col("entities")).alias("r"))
+    assert dict(marked.collect())[4] == "<ENTITY> ran the <ENTITY>, in <ENTITY>. terms"
 
 
 def test_prepare_drops_and_maps(spark):
