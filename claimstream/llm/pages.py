@@ -247,7 +247,7 @@ def node_features(page: Page, blocks: list[tuple[int, str]], vocabulary: Vocabul
         before += own[i][0]
     tokens = np.zeros(len(chosen) * 2 * size)
     tokens[flags] = 1
-    return chosen, np.hstack([np.array(rows).reshape(-1, NUMBERS), tokens.reshape(len(chosen), -1)])
+    return chosen, np.hstack([np.array(rows).reshape(-1, NUMBERS), tokens.reshape(len(chosen), 2 * size)])
 
 
 def decode(page: Page, logits: dict[int, float]) -> list[bool]:
