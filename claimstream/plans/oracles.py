@@ -163,6 +163,37 @@ def estimate(key: str) -> str:
     )"""
 
 
+def merged(buckets: str, size: int) -> str:
+    """Of three buckets of one size, newest first, the two older ones become one."""
+    same = f"list_filter({buckets}, lambda x: x.size = {size})"
+    return f"""CASE WHEN len({same}) = 3 THEN list_concat(
+        list_filter({buckets}, lambda x: x.size < {size}), {same}[1:1],
+        [{{'size': {2 * size}, 'ts': {same}[2].ts}}],
+        list_filter({buckets}, lambda x: x.size > {size})) ELSE {buckets} END"""
+
+
+# The histogram itself, bit by bit: expire, add, merge; an estimate counts every bucket in full.
+BIT_BY_BIT = f"""
+    {SCORED},
+    bits AS (
+        SELECT row_number() OVER (ORDER BY ts, id) AS pos,
+               CASE WHEN predicted_label >= 0.5 THEN 1 ELSE 0 END AS bit FROM scored
+    ),
+    walk AS (
+        SELECT 0::BIGINT AS pos, []::STRUCT(size INTEGER, ts BIGINT)[] AS b
+        UNION ALL
+        SELECT pos, {merged('b', 16)} AS b FROM (
+            SELECT pos, {merged('b', 8)} AS b FROM (
+                SELECT pos, {merged('b', 4)} AS b FROM (
+                    SELECT pos, {merged('b', 2)} AS b FROM (
+                        SELECT pos, {merged('b', 1)} AS b FROM (
+                            SELECT bits.pos, CASE WHEN bit = 1 THEN list_prepend(
+                                {{'size': 1, 'ts': bits.pos}},
+                                list_filter(walk.b, lambda x: x.ts > bits.pos - 16))
+                                ELSE list_filter(walk.b, lambda x: x.ts > bits.pos - 16) END AS b
+                            FROM walk JOIN bits ON bits.pos = walk.pos + 1)))))
+    )"""
+
 SAMPLE = """
     sampled AS (
         SELECT id, md5('42:' || id) AS priority, prediction_category FROM judged
@@ -340,6 +371,12 @@ ORACLES: dict[str, str] = {
     "dgim_estimate": f"""
         WITH RECURSIVE {estimate('key')}
         SELECT key, id, pos, exact, estimate FROM estimates""",
+    "dgim_small_window": f"""
+        WITH RECURSIVE {BIT_BY_BIT}
+        SELECT pos, (sum(bit) OVER (ORDER BY pos ROWS BETWEEN 15 PRECEDING AND CURRENT ROW))::BIGINT
+                   AS exact, coalesce(list_sum(list_transform(b, lambda x: x.size)), 0)::BIGINT
+                   AS estimate
+        FROM walk JOIN bits USING (pos)""",
     "dgim_bounds": f"""
         WITH {SCORED} SELECT row_number() OVER (ORDER BY ts, id) AS pos,
                count(*) FILTER (predicted_positive) OVER (ORDER BY ts, id

@@ -304,6 +304,16 @@ def dgim_estimate(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("key", "id", "pos", "exact", "estimate")
 
 
+@query
+def dgim_small_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimate at every message over the last 16, as one stream in many small chunks."""
+    stream = _one_stream(spark, folder)
+    counted = dgim.dgim(
+        stream, ["key"], ["ts", "id"], "is_positive", window=16, chunk_rows=64, fan=3
+    )
+    return counted.select("pos", "exact", "estimate")
+
+
 @query
 def dgim_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Estimate over all messages as one stream, held against its bounds."""
