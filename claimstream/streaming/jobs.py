@@ -163,11 +163,13 @@ def positives_in_window(
         schema = window_state(batch.schema, keys, order)
         place = F.struct(*order)
         starts = cut(bits.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("last")))
-        state = cut(keyed_state(spark, f"{out}/state", keys, schema, batch_id, starts))
-        late = same_keys(starts.drop("last"), state, keys).where(F.col("_first") <= F.col("last"))
-        if not late.isEmpty():
-            raise ValueError(f"batch {batch_id} has rows before the last one of their stream")
-        known = state.drop("last", "updated_at")
+        state = keyed_state(spark, f"{out}/state", keys, schema, batch_id, starts)
+        late = F.raise_error(F.lit(f"batch {batch_id} has rows before the last one of their stream"))
+        known = cut(
+            same_keys(state, starts.drop("last"), keys)
+            .withColumn("pos", F.when(F.col("_first") <= F.col("last"), late).otherwise(F.col("pos")))
+            .drop("_first", "last", "updated_at")
+        )
         counted = cut(dgim.dgim(bits, keys, order, "is_positive", window, known, chunk_rows))
         newest = dgim.dgim_state(counted, keys, "is_positive", window, known)
         newest = same_keys(newest, starts.drop("_first"), keys)
