@@ -3,19 +3,22 @@
 Every window of 100 bytes is named by its anchor, the least hash among its 24-byte strings.
 All occurrences of a window have the same anchor at the same place in them, so they meet
 in the anchor's bucket.  Consecutive windows of one anchor form a segment.  Equal segments are
-settled by their hash: the first stands for all.  What is left are the different
-segments of an anchor that more than one has, above all the edges of repeated passages.
+settled by their hash: the first stands for all.  A window reaches at least 38 bytes beyond
+its anchor on one side, so of the different segments of an anchor only those matter that agree
+with another one on the 38 bytes to the left or to the right: the edges of repeated passages.
 
 Each task sorts its shard of these segments once and sends its Burrows-Wheeler transform to the
 bucket.  There the transforms are merged by refining their interleave (Holt, McMillan,
 "Merging of multi-string BWTs with applications", 2014): each pass puts the rows in
-the order of one more leading byte, and where that byte first tells two neighbours apart
-their common prefix ends.  After 100 passes the intervals without such an end are the
+the order of two more leading bytes, and where these first tell two neighbours apart their
+common prefix ends.  After 100 bytes the intervals without such an end are the
 strings that stand more than once, and no suffix has been sorted anew.
 
-An anchor with very many different segments, such as a notice in a third of all documents,
-would fill one task.  The windows of such anchors go by their own hash instead, and of equal
-windows each block of documents sends one.
+An anchor with very many different segments, such as one in a notice that a third of all
+documents have, would fill one task.  The windows of such anchors go by their own hash instead,
+and of equal windows each block of documents sends one.  Anchors of more than one in a hundred
+documents of a bounded sample are treated so from the start, others once their
+segments have been counted; how an anchor is treated changes nothing in the result.
 
 Defined results: a null or empty text has no bytes; texts under 100 bytes lose nothing;
 the texts of rows with one id count as one document, in the order of a hash of theirs, and
@@ -38,15 +41,19 @@ from claimstream.llm.exchange import mix64
 
 WIDTH = 100
 GRAM = 24
+FLANK = (WIDTH - GRAM) // 2
 # Bytes of text a worker hashes at a time; places in a block take 21 bits.
 BLOCK_BYTES = 1 << 20
 PLACE_BITS = 21
+# Documents whose anchors are counted beforehand, and the share of them that makes one frequent.
+SAMPLE_ROWS = 2000
+FREQUENT = 0.01
 # Different segments of one anchor beyond which its windows are hashed one by one.
 CROWD = 500
 # Bytes of segments that are merged in one task.
 MERGE_BYTES = 1 << 20
 # Measured: packed bytes of segments per byte of text.
-PACKED_SHARE = 0.6
+PACKED_SHARE = 0.8
 
 _RANDOM = np.random.default_rng(2014)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -54,7 +61,7 @@ _ODD = [int(x) | 1 for x in _RANDOM.integers(1, 1 << 62, 8)]
 
 SEGMENTS = (
     "bucket int, id bigint, text bigint, ids binary, texts binary, counts binary,"
-    " starts binary, sizes binary, anchors binary, hashes binary"
+    " starts binary, sizes binary, anchors binary, hashes binary, lefts binary, rights binary"
 )
 FOUND = "id bigint, text bigint, starts binary, sizes binary, anchors binary, crowded binary"
 SHARD = "bucket int, ids binary, texts binary, docs binary, starts binary, sizes binary, symbols binary, rows binary"
@@ -82,7 +89,11 @@ def least_within(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(document, first window, windows, anchor, hash) of the segments of a block."""
+    """(document, first window, windows, anchor, hash, left, right) of the segments of a block.
+
+    Left and right are hashes of the anchor with 38 bytes on that side, 0 where the text ends
+    before.
+    """
     out = []
     for lot in _lots(texts):
         out.append(_segments(texts, lot))
@@ -106,9 +117,9 @@ def _lots(texts: list[bytes]) -> Iterator[list[tuple[int, int, int]]]:
 
 def _segments(texts: list[bytes], lot: list[tuple[int, int, int]]) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"".join(texts[d][a:b] for d, a, b in lot), np.uint8)
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    none = (*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 4)
     if len(data) < WIDTH:
-        return *none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return none
     place = np.uint64((1 << PLACE_BITS) - 1)
     h = gram_hashes(data) & ~place
     h |= np.arange(len(h), dtype=np.uint64)
@@ -121,7 +132,7 @@ def _segments(texts: list[bytes], lot: list[tuple[int, int, int]]) -> tuple[np.n
     new[1:] = (least[1:] != least[:-1]) | (piece[1:] != piece[:-1]) | ~valid[:-1]
     starts = np.flatnonzero(new & valid)
     if not len(starts):
-        return *none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return none
     run = np.cumsum(new & valid) - 1
     number = np.bincount(run[valid], minlength=len(starts))
     # The hash of any stretch from prefix sums of byte values times powers of an odd number.
@@ -129,11 +140,19 @@ def _segments(texts: list[bytes], lot: list[tuple[int, int, int]]) -> tuple[np.n
     power = np.concatenate([[one], np.cumprod(np.full(len(data), _ODD[7], np.uint64))])
     undo = np.concatenate([[one], np.cumprod(np.full(len(data), pow(_ODD[7], -1, 1 << 64), np.uint64))])
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * power[:-1])])
-    until = starts + number + WIDTH - 1
-    content = mix64((sums[until] - sums[starts]) * undo[starts] + number.astype(np.uint64))
+
+    def stretch(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return mix64((sums[high] - sums[low]) * undo[low] + (high - low).astype(np.uint64))
+
+    content = stretch(starts, starts + number + WIDTH - 1)
+    at, of_piece = (least[starts] & place).astype(np.int64), piece[starts]
+    begin, end = (ends - sizes)[of_piece], ends[of_piece]
+    low, high = np.maximum(at - FLANK, begin), np.minimum(at + GRAM + FLANK, end)
+    left = np.where(at - FLANK < begin, np.uint64(0), stretch(low, at + GRAM) | np.uint64(1))
+    right = np.where(at + GRAM + FLANK > end, np.uint64(0), stretch(at, high) | np.uint64(1))
     of = np.array([d for d, _, _ in lot])[piece[starts]]
     offset = np.array([a for _, a, _ in lot])[piece[starts]] - (ends - sizes)[piece[starts]]
-    return of, starts + offset, number, mix64(least[starts] >> np.uint64(PLACE_BITS)), content
+    return of, starts + offset, number, mix64(least[starts] >> np.uint64(PLACE_BITS)), content, left, right
 
 
 def _bound(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -157,26 +176,86 @@ def _stretches(values: np.ndarray) -> zip:
     return zip(starts.tolist(), np.append(starts[1:], len(values)).tolist())
 
 
-def _send_segments(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _short(anchor: np.ndarray) -> np.ndarray:
+    return (anchor >> np.uint64(32)).astype(np.uint32)
+
+
+def _frequent(rows: DataFrame, share: float) -> np.ndarray:
+    """Anchors of more than ``share`` of a sample of documents; at most a few thousand."""
+    drawn = rows.select("_id", "_key").orderBy(F.xxhash64("_id", "_key")).limit(SAMPLE_ROWS).distinct()
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, texts in exchange.blocks(batches, 4 * BLOCK_BYTES):
+            doc, _, _, anchor, *_ = segments(texts)
+            found = np.unique(np.stack([doc.astype(np.uint32), _short(anchor)]), axis=1)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["anchor"])
+
+    counted = (
+        rows.join(F.broadcast(drawn), ["_id", "_key"])
+        .select("_id", "_key", "_content")
+        .mapInArrow(own, "anchor bigint")
+        .groupBy("anchor")
+        .count()
+        .where(F.col("count") > share * SAMPLE_ROWS)
+    )
+    return np.array(sorted(r["anchor"] for r in counted.collect()), np.uint32)
+
+
+def _window_values(text: bytes, first: int, number: int) -> np.ndarray:
+    """Hashes of consecutive windows, from those of the 24-byte strings that cover them."""
+    h = gram_hashes(np.frombuffer(text, np.uint8, number + WIDTH - 1, first))
+    total = np.zeros(number, np.uint64)
+    for k in (0, 24, 48, 72, WIDTH - GRAM):
+        total = mix64(total * np.uint64(_ODD[5]) + h[k : k + number])
+    return total
+
+
+def _pack_windows(ids, keys, texts, doc, first, number, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed hashes of the windows of the given segments, one by one."""
+    if not len(doc):
+        return
+    value = np.concatenate(
+        [_window_values(texts[d], f, n) for d, f, n in zip(doc.tolist(), first.tolist(), number.tolist())]
+    )
+    begin = np.cumsum(number) - number
+    at = np.arange(len(value)) + np.repeat(first - begin, number)
+    doc = np.repeat(doc, number)
+    order = np.lexsort((at, doc))
+    doc, at, value = doc[order], at[order], value[order]
+    meet = (value % np.uint64(buckets)).astype(np.int64)
+    yield from exchange.pack(ids, keys, doc, at, value, meet, buckets, inside=True)
+
+
+def _send_segments(
+    batches: Iterator[pa.RecordBatch], buckets: int, frequent: np.ndarray
+) -> Iterator[pa.RecordBatch]:
     schema = _schema(SEGMENTS)
     for ids, keys, texts in exchange.blocks(batches, 4 * BLOCK_BYTES):
         ids, keys = np.array(ids, np.int64), np.array(keys, np.int64)
-        doc, first, number, anchor, content = segments(texts)
+        doc, *parts = segments(texts)
+        first, _, _, content, _, _ = parts
         if not len(doc):
             continue
         rank = exchange.ranks(ids, keys, doc, first, inside=True)
         again = rank > exchange.first_seen(content, rank)
         rows = []
-        for a, b in _stretches(doc[again]):
-            d = doc[again][a]
-            starts, sizes = (x[again][a:b].astype(np.uint32).tobytes() for x in (first, number))
-            rows.append((int(keys[d] % buckets), int(ids[d]), int(keys[d]), None, None, None, starts, sizes, None, None))
-        doc, first, number, anchor, content = (x[~again] for x in (doc, first, number, anchor, content))
-        bucket = (anchor % np.uint64(buckets)).astype(np.int64)
+        own, low, count = (x[again] for x in (doc, *parts[:2]))
+        for a, b in _stretches(own):
+            d = own[a]
+            starts, sizes = (x[a:b].astype(np.uint32).tobytes() for x in (low, count))
+            to = hash((int(ids[d]), int(keys[d]))) % buckets
+            rows.append((to, int(ids[d]), int(keys[d]), None, None, None, starts, sizes, *[None] * 4))
+        often = ~again & np.isin(_short(parts[2]), frequent)
+        windows = (x[often] for x in (doc, *parts[:2]))
+        for batch in _pack_windows(ids, keys, texts, *windows, buckets):
+            named = dict(zip(batch.schema.names, batch.columns)) | {"counts": batch.column("runs")}
+            none = pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([named.get(c, none) for c in schema.names], schema=schema)
+        again |= often
+        bucket = (parts[2][~again] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        doc, first, number, anchor, content, bucket = (
-            x[order] for x in (doc, first, number, anchor, content, bucket)
-        )
+        bucket = bucket[order]
+        doc, first, number, anchor, content, left, right = (x[~again][order] for x in (doc, *parts))
         for a, b in _stretches(bucket):
             used, counts = np.unique(doc[a:b], return_counts=True)
             rows.append(
@@ -189,8 +268,10 @@ def _send_segments(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[
                     counts.astype(np.uint32).tobytes(),
                     first[a:b].astype(np.uint32).tobytes(),
                     number[a:b].astype(np.uint8).tobytes(),
-                    (anchor[a:b] >> np.uint64(32)).astype(np.uint32).tobytes(),
+                    _short(anchor[a:b]).tobytes(),
                     content[a:b].tobytes(),
+                    left[a:b].astype(np.uint32).tobytes(),
+                    right[a:b].astype(np.uint32).tobytes(),
                 )
             )
         yield from _bound(rows, schema)
@@ -207,6 +288,10 @@ def _candidates(section: pa.Table, crowd: int) -> pa.Table:
     for r in section.filter(section["id"].is_valid()).select(["id", "text", "starts", "sizes"]).to_pylist():
         out.append((r["id"], r["text"], r["starts"], r["sizes"], None, None))
     packed = section.filter(section["id"].is_null())
+    windows = packed.filter(packed["anchors"].is_null())
+    for r in exchange.repeated(windows.rename_columns({"counts": "runs"}), inside=True).to_pylist():
+        out.append((r["id"], r["text"], r["starts"], r["sizes"], None, None))
+    packed = packed.filter(packed["anchors"].is_valid())
     ids, keys = _numbers(packed, "ids", np.int64), _numbers(packed, "texts", np.int64)
     counts = _numbers(packed, "counts", np.uint32).astype(np.int64)
     first = _numbers(packed, "starts", np.uint32).astype(np.int64)
@@ -217,24 +302,30 @@ def _candidates(section: pa.Table, crowd: int) -> pa.Table:
     rank = exchange.ranks(ids, keys, doc, first, inside=True)
     again = rank > exchange.first_seen(content, rank)
     # Rows alike in id and text send the same segment; they count as one.
-    alone = ~again
-    distinct = np.unique(np.stack([anchor[alone].astype(np.uint64), content[alone]]), axis=1)[0]
-    shared, members = np.unique(distinct, return_counts=True)
-    at = np.searchsorted(shared, anchor.astype(np.uint64))
-    several = alone & (members[np.minimum(at, len(members) - 1)] > 1) if len(members) else alone
+    _, one, which = np.unique(content, return_index=True, return_inverse=True)
+    name = anchor[one].astype(np.uint64) << np.uint64(32)
+    matters = np.zeros(len(one), bool)
+    for side in (_numbers(packed, "lefts", np.uint32), _numbers(packed, "rights", np.uint32)):
+        flank = side[one]
+        _, inverse, counts = np.unique(name | flank, return_inverse=True, return_counts=True)
+        matters |= (flank > 0) & (counts[inverse] > 1)
+    shared, of_name, members = np.unique(name[matters], return_inverse=True, return_counts=True)
+    crowd_of = np.zeros(len(one), np.int64)
+    crowd_of[matters] = members[of_name]
+    several = ~again & matters[which]
     for keep, passed_on in ((again, False), (several, True)):
-        for a, b in _stretches(doc[keep]):
-            d = doc[keep][a]
-            names = anchor[keep][a:b]
-            crowded = members[at[keep][a:b]] > crowd
+        own, low, count, names = (x[keep] for x in (doc, first, number, anchor))
+        crowded = crowd_of[which[keep]] > crowd
+        for a, b in _stretches(own):
+            d = own[a]
             out.append(
                 (
                     int(ids[d]),
                     int(keys[d]),
-                    first[keep][a:b].astype(np.uint32).tobytes(),
-                    number[keep][a:b].astype(np.uint32).tobytes(),
-                    names.tobytes() if passed_on else None,
-                    crowded.tobytes() if passed_on else None,
+                    low[a:b].astype(np.uint32).tobytes(),
+                    count[a:b].astype(np.uint32).tobytes(),
+                    names[a:b].tobytes() if passed_on else None,
+                    crowded[a:b].tobytes() if passed_on else None,
                 )
             )
     return pa.Table.from_batches(_bound(out, schema), schema)
@@ -243,41 +334,52 @@ def _candidates(section: pa.Table, crowd: int) -> pa.Table:
 def transform(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Burrows-Wheeler transform of strings, and the place of each row in the joined strings.
 
-    A string ends in an end mark, written 0; a byte is written as its value plus 1.  End
-    marks are told apart by the number of their string.  Sorting is by prefix doubling.
+    A string ends in an end mark, written 0; a byte is written as its value plus 1, which UTF-8
+    leaves room for.  A row has the two symbols before it as one number.  Sorting starts from
+    eight symbols at a time and doubles the length where rows are still equal.
     """
-    joined = np.concatenate([np.append(np.frombuffer(t, np.uint8).astype(np.uint16) + 1, 0) for t in texts])
-    joined = joined.astype(np.uint16)
-    marks = joined == 0
-    rank = np.where(marks, np.cumsum(marks) - 1, joined.astype(np.int64) + len(texts))
-    step, n = 1, len(joined)
-    order = np.argsort(rank, kind="stable")
-    while True:
-        ordered = rank[order]
-        new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        dense = np.empty(n, np.int64)
-        dense[order] = new
-        if new[-1] == n - 1:
-            break
-        following = np.concatenate([dense[step:] + 1, np.zeros(min(step, n), np.int64)])
-        rank = dense * (n + 1) + following
-        order = np.argsort(rank, kind="stable")
+    joined = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)
+    n = len(joined)
+    padded = np.concatenate([joined, np.zeros(8, np.uint8)]).astype(np.uint64)
+    key = np.zeros(n, np.uint64)
+    for k in range(8):
+        key = (key << np.uint64(8)) | padded[k : k + n]
+    order = np.argsort(key, kind="stable")
+    ordered = key[order]
+    new = np.ones(n, bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    places = np.arange(n)
+    rank = np.empty(n + 1, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, places, 0))
+    rank[n] = -1
+    step, open_places = 8, np.flatnonzero(~new | np.append(~new[1:], False))
+    while len(open_places):
+        rows = order[open_places]
+        key = rank[rows] * (n + 2) + rank[np.minimum(rows + step, n)] + 1
+        by_key = np.argsort(key, kind="stable")
+        rows, key = rows[by_key], key[by_key]
+        order[open_places] = rows
+        new = np.ones(len(rows), bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[rows] = np.maximum.accumulate(np.where(new, open_places, 0))
+        open_places = open_places[~new | np.append(~new[1:], False)]
         step *= 2
-    return joined[order - 1], order
+    before = joined[order - 1].astype(np.uint16)
+    return (joined[order - 2].astype(np.uint16) << np.uint16(8)) | before, order
 
 
 def merge(symbols: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of several transforms, refined to ``depth`` leading symbols.
+    """Interleave of several transforms, refined to ``depth`` leading symbols, an even number.
 
     Returns the merged place of every row, shard after shard, and the interval of
     every merged place: places of one interval share their first ``depth`` symbols.  A pass
-    takes each row's symbol to the front: a stable sort of the interleave by symbol.
+    takes each row's two symbols to the front: a stable sort of the interleave by them.
     """
     source = np.repeat(np.arange(len(symbols), dtype=np.uint16), [len(s) for s in symbols])
     every = np.concatenate(symbols)
     interval = np.zeros(len(every), np.int32)
     laid = np.empty_like(every)
-    for _ in range(depth):
+    for _ in range(depth // 2):
         place = np.argsort(source, kind="stable")
         laid[place] = every
         order = np.argsort(laid, kind="stable")
@@ -372,34 +474,22 @@ def _merge_shards(section: pa.Table) -> pa.Table:
 
 
 def _send_windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Hashes of the windows of crowded anchors, one by one."""
+    """Hashes of the windows of crowded anchors."""
     for lot in _documents(batches, 1 << 20):
-        doc, at, value = [], [], []
-        for d, (_, _, text, spans) in enumerate(lot):
+        doc, first, number = [], [], []
+        for d, (_, _, _, spans) in enumerate(lot):
             for span in spans:
                 crowded = np.frombuffer(span["crowded"], bool)
-                first = np.frombuffer(span["starts"], np.uint32)[crowded].astype(np.int64)
-                number = np.frombuffer(span["sizes"], np.uint32)[crowded].astype(np.int64)
-                for f, n in zip(first.tolist(), number.tolist()):
-                    data = np.frombuffer(text, np.uint8, n + WIDTH - 1, f)
-                    h = gram_hashes(data)
-                    parts = [h[k : k + n] for k in (0, 24, 48, 72, WIDTH - GRAM)]
-                    total = np.zeros(n, np.uint64)
-                    for part in parts:
-                        total = mix64(total * np.uint64(_ODD[5]) + part)
-                    doc.append(np.full(n, d))
-                    at.append(np.arange(f, f + n))
-                    value.append(total)
-        if doc:
-            doc, at, value = map(np.concatenate, (doc, at, value))
-            ids, keys = [i for i, *_ in lot], [k for _, k, *_ in lot]
-            order = np.lexsort((at, doc))
-            doc, at, value = doc[order], at[order], value[order]
-            meet = (value % np.uint64(buckets)).astype(np.int64)
-            yield from exchange.pack(ids, keys, doc, at, value, meet, buckets, inside=True)
-
-
-def removed(docs: DataFrame, id: str, text: str, crowd: int = CROWD) -> DataFrame:
+                first.append(np.frombuffer(span["starts"], np.uint32)[crowded].astype(np.int64))
+                number.append(np.frombuffer(span["sizes"], np.uint32)[crowded].astype(np.int64))
+                doc.append(np.full(len(first[-1]), d))
+        ids, keys, texts = ([row[k] for row in lot] for k in range(3))
+        yield from _pack_windows(ids, keys, texts, *map(np.concatenate, (doc, first, number)), buckets)
+
+
+def removed(
+    docs: DataFrame, id: str, text: str, crowd: int = CROWD, share: float = FREQUENT
+) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and kept, the bytes left over.
 
     The four replace columns of their names.  Shuffles: packed segments; the texts to meet
@@ -414,9 +504,10 @@ def removed(docs: DataFrame, id: str, text: str, crowd: int = CROWD) -> DataFram
     def compare(section: pa.Table) -> pa.Table:
         return exchange.repeated(section, inside=True)
 
+    send = partial(_send_segments, buckets=buckets, frequent=_frequent(rows, share))
     found = cut(
         rows.select("_id", "_key", "_content")
-        .mapInArrow(partial(_send_segments, buckets=buckets), SEGMENTS)
+        .mapInArrow(send, SEGMENTS)
         .groupBy("bucket")
         .applyInArrow(settle, FOUND)
     )
@@ -425,7 +516,7 @@ def removed(docs: DataFrame, id: str, text: str, crowd: int = CROWD) -> DataFram
     asked = passed.groupBy("id", "text").agg(
         F.collect_list(F.struct("starts", "sizes", "anchors", "crowded")).alias("_parts")
     )
-    texts = rows.select("_id", "_key", "_content").dropDuplicates(["_id", "_key"])
+    texts = rows.select("_id", "_key", "_content")
     met = cut(
         texts.join(asked.withColumnsRenamed({"id": "_id", "text": "_key"}), ["_id", "_key"])
     )
@@ -444,10 +535,10 @@ def removed(docs: DataFrame, id: str, text: str, crowd: int = CROWD) -> DataFram
         .applyInArrow(compare, exchange.SPANS)
     )
     spans = settled.unionByName(merged).unionByName(crowded)
-    return _without(docs, rows, spans)
+    return _without(docs, text, rows, spans)
 
 
-def _without(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, text: str, rows: DataFrame, spans: DataFrame) -> DataFrame:
     added = ("n_bytes", "n_removed", "n_spans", "kept")
     plain = docs.drop(*[c for c in added if c in docs.columns])
     own = plain.columns
@@ -460,17 +551,17 @@ def _without(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
         for batch in batches:
             column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
             sizes, gone, runs, kept = [], [], [], []
-            for content, found in zip(column["_content"], column["_spans"]):
-                text, found = content.as_py(), found.as_py()
-                sizes.append(len(text))
+            for content, found in zip(column[text], column["_spans"]):
+                raw, found = (content.as_py() or "").encode(), found.as_py()
+                sizes.append(len(raw))
                 if found:
-                    hit = exchange.covered(found, len(text), WIDTH)
+                    hit = exchange.covered(found, len(raw), WIDTH)
                     runs.append(int(hit[0]) + int((hit[1:] & ~hit[:-1]).sum()))
-                    text = np.frombuffer(text, np.uint8)[~hit].tobytes()
+                    raw = np.frombuffer(raw, np.uint8)[~hit].tobytes()
                 else:
                     runs.append(0)
-                gone.append(sizes[-1] - len(text))
-                kept.append(text)
+                gone.append(sizes[-1] - len(raw))
+                kept.append(raw)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[column[c] for c in own],
@@ -480,5 +571,5 @@ def _without(docs: DataFrame, rows: DataFrame, spans: DataFrame) -> DataFrame:
                 names=schema.fieldNames(),
             )
 
-    carried = list(dict.fromkeys([*own, "_content", "_spans"]))
+    carried = [*own, "_spans"]
     return exchange.with_spans(rows, spans).select(*carried).mapInArrow(strike, schema)

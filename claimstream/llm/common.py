@@ -36,11 +36,6 @@ def split_words(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, SPACES)).when(text.isNotNull(), none)
 
 
-def row_key(id: Column, text: Column) -> Column:
-    """What tells the rows of a table apart: rows of one id and one text are alike."""
-    return F.struct(id.alias("id"), F.xxhash64(text).alias("text"))
-
-
 def held_out(id: Column) -> Column:
     """Rows kept out of all training: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # About the size of a bucket's packed windows.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 24 << 20
 LAST = (1 << 63) - 1
 
 #: A block's part of a bucket, or (id and text set) spans of one document, found already.
@@ -145,7 +145,7 @@ def pack(ids, keys, doc, at, value, bucket, buckets: int, inside: bool = False)
     rank = ranks(ids, keys, doc, at, inside)
     again = rank > first_seen(value, rank)
     rows = [
-        (int(k % buckets), i, k, None, None, None, s, n, None)
+        (hash((i, k)) % buckets, i, k, None, None, None, s, n, None)
         for i, k, s, n in span_rows(ids, keys, *runs_of(doc[again], at[again]))
     ]
     sent = ~again
@@ -217,7 +217,11 @@ def gathered(spans: DataFrame) -> DataFrame:
 
 
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """``rows`` (see ``keyed``) with their window runs; null where there are none."""
+    """``rows`` (see ``keyed``) with their window runs; null where there are none.
+
+    Of the texts only the documents' own column goes along.
+    """
+    rows = rows.drop("_content")
     found = gathered(spans).withColumnsRenamed({"id": "_id", "text": "_key"})
     return rows.join(found, ["_id", "_key"], "left")
 

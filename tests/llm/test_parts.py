@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from claimstream.llm import automaton, bwt, exact, exchange, graph, language, mixing, quality, recompression
+from claimstream.llm import automaton, bwt, exact, exchange, graph, language, mixing, quality, recompression, sharding
 from claimstream.llm.common import attach, split_words
 
 few = settings(max_examples=60, deadline=None)
@@ -98,6 +98,19 @@ def test_long_texts_are_cut_into_overlapping_pieces(monkeypatch):
     assert windows == set(range(len(text) - bwt.WIDTH + 1))
 
 
+def test_shards_are_written_in_slot_order(spark, tmp_path):
+    rows = [(i, "x" * (i % 17)) for i in range(200)]
+    placed = sharding.assign(spark.createDataFrame(rows, "id bigint, text string"), "id", "text", 5, ("text",))
+    sharding.write_shards(placed, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(r.id for r in back.collect()) == list(range(200))
+    totals = [r[1] for r in back.groupBy("shard").sum("size").collect()]
+    assert len(totals) == 5 and max(totals) - min(totals) <= 2 * 24
+    for shard in range(5):
+        slots = sorted(r.slot for r in back.where(F.col("shard") == shard).collect())
+        assert slots == list(range(len(slots)))
+
+
 def test_components_of_chains_rings_and_hubs(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (5, 5)]
     edges += [(200, 201 + i) for i in range(300)] + [(500, 600)]

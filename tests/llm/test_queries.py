@@ -81,9 +81,10 @@ def test_suffixes(spark, folder):
 
 def test_suffixes_with_every_anchor_crowded(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    got = bwt.removed(docs, "doc_id", "text", crowd=1)
     want = [r[:4] for r in cases.without_strings(ROWS)]
-    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans") == cases.counted(want)
+    for settings in ({"crowd": 1}, {"share": 0.0}, {"share": 2 / bwt.SAMPLE_ROWS, "crowd": 2}):
+        got = bwt.removed(docs, "doc_id", "text", **settings)
+        assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans") == cases.counted(want)
 
 
 def test_decontamination(spark, folder):
