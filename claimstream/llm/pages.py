@@ -379,10 +379,16 @@ def fit(htmls: list[str]) -> Extractor | None:
 
 
 def train(pages: DataFrame, id: str, html: str) -> Extractor | None:
-    """An extractor from a bounded number of pages, drawn by a hash of the id."""
-    marked = pages.where(F.contains(F.col(html), F.lit("<article")))
-    drawn = marked.orderBy(F.xxhash64(id, html)).limit(TRAIN_PAGES).select(F.col(html).alias("html"))
-    return fit([r["html"] for r in drawn.collect()])
+    """An extractor from a bounded number of pages, drawn by a hash.
+
+    The draw is made on the hashes alone; only the drawn pages travel to the driver.
+    """
+    marked = pages.where(F.contains(F.col(html), F.lit("<article"))).select(
+        F.xxhash64(id, html).alias("_key"), F.col(html).alias("html")
+    )
+    drawn = marked.select("_key").orderBy("_key").limit(TRAIN_PAGES).distinct()
+    rows = marked.join(F.broadcast(drawn), "_key").dropDuplicates(["_key"]).collect()
+    return fit([r["html"] for r in sorted(rows)])
 
 
 def extracted(pages: DataFrame, html: str, extractor: Extractor | None) -> DataFrame:
