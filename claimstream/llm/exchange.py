@@ -15,8 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About the size of a bucket's packed windows.
+# About the size of a bucket's packed windows, and the least number of buckets.
 BUCKET_BYTES = 24 << 20
+FEWEST_BUCKETS = 64
+# Windows of one packed run; longer ones are cut.
+LONGEST_RUN = (1 << 16) - 1
 LAST = (1 << 63) - 1
 
 #: A block's part of a bucket, or (id and text set) spans of one document, found already.
@@ -55,8 +58,7 @@ def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
 def bucket_count(docs: DataFrame, text: str, bytes_per_byte: float) -> int:
     """Buckets for the windows of all texts, given packed bytes per byte of text."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * parallel, int(total * bytes_per_byte / BUCKET_BYTES) + 1)
+    return max(FEWEST_BUCKETS, int(total * bytes_per_byte / BUCKET_BYTES) + 1)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list, list]]:
@@ -91,6 +93,14 @@ def runs_of(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return doc[starts], at[starts], ends - starts
 
 
+def cut_runs(doc: np.ndarray, first: np.ndarray, number: np.ndarray, most: int = LONGEST_RUN):
+    """The same runs, none of them longer than ``most``."""
+    parts = -(-number // most)
+    which = np.repeat(np.arange(len(number)), parts)
+    before = (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)) * most
+    return doc[which], first[which] + before, np.minimum(most, number[which] - before)
+
+
 def first_seen(value: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """For every entry, the lowest rank among the entries of its value."""
     order = np.argsort(value, kind="stable")
@@ -155,7 +165,7 @@ def pack(ids, keys, doc, at, value, bucket, buckets: int, inside: bool = False)
     new = np.ones(len(bucket), bool)
     new[1:] = bucket[1:] != bucket[:-1]
     for a, b in zip(*_ends(new)):
-        run_doc, first, number = runs_of(doc[a:b], at[a:b])
+        run_doc, first, number = cut_runs(*runs_of(doc[a:b], at[a:b]))
         used, runs = np.unique(run_doc, return_counts=True)
         rows.append(
             (
@@ -166,7 +176,7 @@ def pack(ids, keys, doc, at, value, bucket, buckets: int, inside: bool = False)
                 keys[used].tobytes(),
                 runs.astype(np.uint32).tobytes(),
                 first.astype(np.uint32).tobytes(),
-                number.astype(np.uint32).tobytes(),
+                number.astype(np.uint16).tobytes(),
                 value[a:b].tobytes(),
             )
         )
@@ -196,7 +206,7 @@ def repeated(section: pa.Table, inside: bool = False) -> pa.Table:
     ids, keys = _numbers(packed["ids"], np.int64), _numbers(packed["texts"], np.int64)
     runs = _numbers(packed["runs"], np.uint32).astype(np.int64)
     first = _numbers(packed["starts"], np.uint32).astype(np.int64)
-    number = _numbers(packed["sizes"], np.uint32).astype(np.int64)
+    number = _numbers(packed["sizes"], np.uint16).astype(np.int64)
     value = _numbers(packed["hashes"], np.uint64)
     doc = np.repeat(np.repeat(np.arange(len(ids)), runs), number)
     begin = np.cumsum(number) - number

@@ -7,7 +7,7 @@ passage in common their interior symbols come out the same: only the symbols at
 depend on what stands around, and these are left out (Jez, "Recompression", 2013).
 
 A window of 13 words therefore has interior symbols that every other occurrence of it has
-as well.  The least of those of its highest level names the bucket where all its
+as well.  The least of those of all its levels names the bucket where all its
 occurrences meet, consecutive windows mostly the same one.  There the window's own hash of 64
 bits is compared, and every window that also starts in a smaller id is a repeat.
 
@@ -31,15 +31,16 @@ from claimstream.llm.exchange import mix64
 WINDOW = 13
 ROUNDS = 2
 # Bytes of text a worker recompresses at a time.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 # Measured: packed bytes of windows per byte of text.
-PACKED_SHARE = 1.6
+PACKED_SHARE = 1.2
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _BYTE = np.random.default_rng(2013).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWER = np.uint64(0xD1342543DE82EF95)
+_NONE = np.uint64((1 << 64) - 1)
 _RUN, _PAIR = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -76,7 +77,7 @@ def _least(symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 
 def anchors(words: np.ndarray, doc: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """For the windows at ``starts``, the interior symbol that all their occurrences share."""
-    out = np.zeros(len(starts), np.uint64)
+    out = np.full(len(starts), _NONE)
     left = np.zeros(len(starts), bool)
     symbols, at_doc = words, doc
     low, high = starts.copy(), starts + window
@@ -107,12 +108,12 @@ def anchors(words: np.ndarray, doc: np.ndarray, starts: np.ndarray, window: int
         symbols, at_doc = named[keep], at_doc[keep]
         low = np.where(some, place[np.minimum(low, last)], 0)
         high = np.where(some, place[np.maximum(high - 1, 0)] + 1, 0)
-        # A window without interior symbols at this level keeps those of the level below.
+        # A window without interior symbols at this level has those of the levels below.
         some &= ~left
-        out[some] = _least(symbols, low[some], high[some]) + np.uint64(level + 1)
+        out[some] = np.minimum(out[some], _least(symbols, low[some], high[some]))
         left |= high <= low
         low, high = np.where(left, 0, low), np.where(left, 1, high)
-    none = out == 0
+    none = out == _NONE
     if none.any():
         out[none] = window_hashes(words, starts[none], window)
     return mix64(out)
@@ -120,11 +121,11 @@ def anchors(words: np.ndarray, doc: np.ndarray, starts: np.ndarray, window: int
 
 def window_hashes(words: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
     total = np.zeros(len(starts), np.uint64)
-    factor = _PAIR
+    factor = int(_PAIR)
     for k in range(window):
-        total += words[starts + k] * factor
+        total += words[starts + k] * np.uint64(factor)
         total ^= total >> np.uint64(29)
-        factor = factor * _POWER
+        factor = factor * int(_POWER) % (1 << 64)
     return mix64(total)
 
 
@@ -138,10 +139,10 @@ def removed(docs: DataFrame, id: str, text: str, window: int = WINDOW) -> DataFr
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, keys, texts in exchange.blocks(batches, BLOCK_BYTES):
-            words, doc, _ = word_hashes(texts)
-            starts = np.flatnonzero(doc[window - 1 :] == doc[: len(doc) - window + 1]) if len(doc) >= window else np.zeros(0, np.int64)
+            words, doc, first = word_hashes(texts)
+            last = max(0, len(doc) - window + 1)
+            starts = np.flatnonzero(doc[:last] == doc[window - 1 :][:last])
             if len(starts):
-                first = np.searchsorted(doc, np.arange(len(texts)))
                 meet = (anchors(words, doc, starts, window) % np.uint64(buckets)).astype(np.int64)
                 value = window_hashes(words, starts, window)
                 yield from exchange.pack(ids, keys, doc[starts], starts - first[doc[starts]], value, meet, buckets)
@@ -168,8 +169,8 @@ def removed(docs: DataFrame, id: str, text: str, window: int = WINDOW) -> DataFr
         for batch in batches:
             column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
             counts, gone, kept = [], [], []
-            for content, spans in zip(column["_content"], column["_spans"]):
-                words, spans = _WORD.findall(content.as_py()), spans.as_py()
+            for content, spans in zip(column[text], column["_spans"]):
+                words, spans = _WORD.findall((content.as_py() or "").encode()), spans.as_py()
                 counts.append(len(words))
                 if spans:
                     hit = exchange.covered(spans, len(words), window)
@@ -186,6 +187,6 @@ def removed(docs: DataFrame, id: str, text: str, window: int = WINDOW) -> DataFr
                 names=schema.fieldNames(),
             )
 
-    carried = list(dict.fromkeys([*own, "_content", "_spans"]))
+    carried = [*own, "_spans"]
     joined = exchange.with_spans(rows, spans).select(*carried)
     return joined.mapInArrow(strike, schema)

@@ -83,6 +83,9 @@ def test_first_seen_and_runs(values, ranks):
     v, r = np.array(values[:n], np.uint64), np.array(ranks[:n], np.int64)
     lowest = exchange.first_seen(v, r)
     assert lowest.tolist() == [min(b for a, b in zip(values, ranks[:n]) if a == x) for x in values[:n]]
+    doc, at = np.zeros(25, np.int64), np.array([*range(3, 20), *range(30, 38)])
+    runs = exchange.cut_runs(*exchange.runs_of(doc, at), most=7)
+    assert [r.tolist() for r in runs[1:]] == [[3, 10, 17, 30, 37], [7, 7, 3, 7, 1]]
     hit = exchange.covered([{"starts": np.array([1], np.uint32).tobytes(), "sizes": np.array([2], np.uint32).tobytes()}], 8, 3)
     assert hit.tolist() == [False, True, True, True, True, False, False, False]
 
