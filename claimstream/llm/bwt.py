@@ -51,7 +51,7 @@ FREQUENT = 0.01
 # Different segments of one anchor beyond which its windows are hashed one by one.
 CROWD = 500
 # Bytes of segments that are merged in one task.
-MERGE_BYTES = 1 << 20
+MERGE_BYTES = 1 << 19
 # Measured: packed bytes of segments per byte of text.
 PACKED_SHARE = 0.8
 
@@ -64,7 +64,8 @@ SEGMENTS = (
     " starts binary, sizes binary, anchors binary, hashes binary, lefts binary, rights binary"
 )
 FOUND = "id bigint, text bigint, starts binary, sizes binary, anchors binary, crowded binary"
-SHARD = "bucket int, ids binary, texts binary, docs binary, starts binary, sizes binary, symbols binary, rows binary"
+#: A transform of candidate segments (symbols set), or a row of ``exchange.PACKED``.
+SHARD = exchange.PACKED + ", symbols binary, rows binary"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -375,7 +376,8 @@ def merge(symbols: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray
     every merged place: places of one interval share their first ``depth`` symbols.  A pass
     takes each row's two symbols to the front: a stable sort of the interleave by them.
     """
-    source = np.repeat(np.arange(len(symbols), dtype=np.uint16), [len(s) for s in symbols])
+    kind = np.uint8 if len(symbols) <= 256 else np.uint16
+    source = np.repeat(np.arange(len(symbols), dtype=kind), [len(s) for s in symbols])
     every = np.concatenate(symbols)
     interval = np.zeros(len(every), np.int32)
     laid = np.empty_like(every)
@@ -392,9 +394,15 @@ def merge(symbols: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _send_shards(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The transforms of the candidate segments of this task's documents, by bucket."""
+    """The transforms of the candidate segments of this task's documents, by bucket.
+
+    The windows of crowded anchors go along as packed hashes.
+    """
     schema = _schema(SHARD)
     for lot in _documents(batches):
+        for batch in _crowded_windows(lot, buckets):
+            none = pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, none, none], schema=schema)
         ids = np.array([i for i, *_ in lot], np.int64)
         keys = np.array([k for _, k, *_ in lot], np.int64)
         parts = []
@@ -415,11 +423,14 @@ def _send_shards(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
             rows.append(
                 (
                     int(bucket[0]),
+                    None,
+                    None,
                     ids[used].tobytes(),
                     keys[used].tobytes(),
                     local.astype(np.uint32).tobytes(),
                     np.array(first, np.uint32).tobytes(),
                     np.array(number, np.uint8).tobytes(),
+                    None,
                     shown.tobytes(),
                     order.astype(np.uint32).tobytes(),
                 )
@@ -441,13 +452,17 @@ def _documents(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterat
 
 
 def _merge_shards(section: pa.Table) -> pa.Table:
-    """Window runs of the merged transforms that come earlier in some segment."""
+    """Window runs that come earlier, from merged transforms and from packed hashes."""
+    packed = exchange.repeated(section.filter(section["symbols"].is_null()), inside=True)
+    section = section.filter(section["symbols"].is_valid())
+    if not section.num_rows:
+        return packed
     ids, keys, docs, firsts, numbers, texts, symbols, rows = [], [], [], [], [], [], [], []
     for r in section.to_pylist():
         base = sum(map(len, ids))
         ids.append(np.frombuffer(r["ids"], np.int64))
         keys.append(np.frombuffer(r["texts"], np.int64))
-        docs.append(np.frombuffer(r["docs"], np.uint32).astype(np.int64) + base)
+        docs.append(np.frombuffer(r["runs"], np.uint32).astype(np.int64) + base)
         firsts.append(np.frombuffer(r["starts"], np.uint32).astype(np.int64))
         numbers.append(np.frombuffer(r["sizes"], np.uint8).astype(np.int64))
         symbols.append(np.frombuffer(r["symbols"], np.uint16))
@@ -470,21 +485,21 @@ def _merge_shards(section: pa.Table) -> pa.Table:
     again = rank > exchange.first_seen(value, rank)
     doc, at = doc[again], at[again]
     order = np.lexsort((at, doc))
-    return exchange.span_table(exchange.span_rows(ids, keys, *exchange.runs_of(doc[order], at[order])))
+    found = exchange.span_table(exchange.span_rows(ids, keys, *exchange.runs_of(doc[order], at[order])))
+    return pa.concat_tables([packed.cast(found.schema), found])
 
 
-def _send_windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Hashes of the windows of crowded anchors."""
-    for lot in _documents(batches, 1 << 20):
-        doc, first, number = [], [], []
-        for d, (_, _, _, spans) in enumerate(lot):
-            for span in spans:
-                crowded = np.frombuffer(span["crowded"], bool)
-                first.append(np.frombuffer(span["starts"], np.uint32)[crowded].astype(np.int64))
-                number.append(np.frombuffer(span["sizes"], np.uint32)[crowded].astype(np.int64))
-                doc.append(np.full(len(first[-1]), d))
-        ids, keys, texts = ([row[k] for row in lot] for k in range(3))
-        yield from _pack_windows(ids, keys, texts, *map(np.concatenate, (doc, first, number)), buckets)
+def _crowded_windows(lot: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed hashes of the windows of crowded anchors."""
+    doc, first, number = [], [], []
+    for d, (_, _, _, spans) in enumerate(lot):
+        for span in spans:
+            crowded = np.frombuffer(span["crowded"], bool)
+            first.append(np.frombuffer(span["starts"], np.uint32)[crowded].astype(np.int64))
+            number.append(np.frombuffer(span["sizes"], np.uint32)[crowded].astype(np.int64))
+            doc.append(np.full(len(first[-1]), d))
+    ids, keys, texts = ([row[k] for row in lot] for k in range(3))
+    return _pack_windows(ids, keys, texts, *map(np.concatenate, (doc, first, number)), buckets)
 
 
 def removed(
@@ -501,9 +516,6 @@ def removed(
     def settle(section: pa.Table) -> pa.Table:
         return _candidates(section, crowd)
 
-    def compare(section: pa.Table) -> pa.Table:
-        return exchange.repeated(section, inside=True)
-
     send = partial(_send_segments, buckets=buckets, frequent=_frequent(rows, share))
     found = cut(
         rows.select("_id", "_key", "_content")
@@ -517,9 +529,7 @@ def removed(
         F.collect_list(F.struct("starts", "sizes", "anchors", "crowded")).alias("_parts")
     )
     texts = rows.select("_id", "_key", "_content")
-    met = cut(
-        texts.join(asked.withColumnsRenamed({"id": "_id", "text": "_key"}), ["_id", "_key"])
-    )
+    met = texts.join(asked.withColumnsRenamed({"id": "_id", "text": "_key"}), ["_id", "_key"])
     # A candidate takes 4 bytes for its first window and about 140 of text.
     size = passed.agg(F.sum(F.octet_length("starts"))).first()[0] or 0
     parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -529,12 +539,7 @@ def removed(
         .groupBy("bucket")
         .applyInArrow(_merge_shards, exchange.SPANS)
     )
-    crowded = (
-        met.mapInArrow(partial(_send_windows, buckets=merges), exchange.PACKED)
-        .groupBy("bucket")
-        .applyInArrow(compare, exchange.SPANS)
-    )
-    spans = settled.unionByName(merged).unionByName(crowded)
+    spans = settled.unionByName(merged)
     return _without(docs, text, rows, spans)
 
 
