@@ -142,19 +142,3 @@ def near_duplicates(docs: DataFrame, id: str, text: str) -> DataFrame:
         F.col("_kept.key").alias("keeps_key"),
     )
     return attach(printed, of_print, "fingerprint", "_n").drop("_n")
-
-
-def survivors(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """One row of each component, whole.  Rows alike in id and text count as one.
-
-    The texts are shuffled once, to meet the ids that stay.
-    """
-    found = near_duplicates(docs, id, text)
-    stay = (
-        found.where(F.col(id).eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("keeps_key")))
-        .select(F.col(id).alias("_stays"), F.col("text_key").alias("_with"))
-        .distinct()
-    )
-    keyed = docs.withColumn("_text_key", F.xxhash64(text))
-    same = keyed[id].eqNullSafe(stay["_stays"]) & (keyed["_text_key"] == stay["_with"])
-    return keyed.join(stay, same, "left_semi").dropDuplicates([id, "_text_key"]).drop("_text_key")
