@@ -84,9 +84,8 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the words the mix takes of it, and its source's target."""
     docs = table(spark, folder, "documents")
     size, members = mixing.word_count(F.col("text")), F.array("source")
-    mixed, sizes, quota = mixing.mix(docs, "doc_id", size, members)
-    sources = F.broadcast(mixing.source_table(docs, sizes, quota))
-    return mixed.join(sources, "pattern").select(
+    mixed, _ = mixing.mixed(docs, "doc_id", size, members)
+    return mixed.select(
         "doc_id",
         "size",
         "source_size",
