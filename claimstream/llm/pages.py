@@ -14,7 +14,8 @@ comments and the like) is put around and into the article with sentences of the
 There the right answer is known because of where a node came from.
 
 Defined results: null and empty html give an empty text; markup that is not closed ends with
-what encloses it; white space is blank, tab, line feed, vertical tab, form feed and carriage return;
+what encloses it; a head also ends where something starts that may not stand in it, and
+a self-closed svg is empty; white space is blank, tab, line feed, vertical tab, form feed and carriage return;
 a page without any kept node gives an empty text.
 """
 
@@ -48,6 +49,7 @@ BLOCK = set(
     " table thead tbody tfoot tr td th figure figcaption aside nav header footer address details"
     " summary hr form fieldset center caption".split()
 )
+IN_HEAD = set("html head base basefont bgsound link meta title style script noscript noframes template".split())
 CLOSED_BY = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -95,7 +97,17 @@ class Page(HTMLParser):
     def _new_piece(self) -> None:
         self.pieces.append((self.open[-1][1], []))
 
+    def _close_head(self, tag: str) -> None:
+        """The end tag of a head may be left out: what may not stand in it ends it."""
+        if tag == "body":
+            at = next((i for i, (name, _) in enumerate(self.open) if name in ("head", "template")), 0)
+        else:
+            at = 0 if tag in IN_HEAD else len(self.open) - 1
+        if self.open[at][0] == "head":
+            self._pop_to(at)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._close_head(tag)
         if tag in VOID:
             if tag == "br":
                 self.handle_data(" ")
@@ -122,7 +134,10 @@ class Page(HTMLParser):
             self._new_piece()
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
+        if tag == "svg":  # the one element without text that may close itself
+            self._close_head(tag)
+        else:
+            self.handle_starttag(tag, attrs)
 
     def _close_implied(self, tag: str) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -148,6 +163,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1][0] == "head" and _SPACE.sub("", data):
+            self._close_head("")
         if not self.silent:
             if not self.pieces:
                 self._new_piece()
