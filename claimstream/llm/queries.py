@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.llm import automaton, bwt, exact, language, mixing, pages, quality, recompression, sharding, simhash
+from claimstream.llm import (
+    automaton,
+    bwt,
+    exact,
+    language,
+    mixing,
+    pages,
+    periodic,
+    quality,
+    recompression,
+    sharding,
+    simhash,
+)
 from claimstream.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +153,37 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _tail_repeated(id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by the checksum of their id, repeat a stretch up to their end."""
+    h = 1 if id is None else zlib.crc32(str(id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document, the strongest one, and the text with each run cut to one period."""
+    docs = table(spark, folder, "documents")
+    found = periodic.collapsed(docs, "doc_id", "text", _tail_repeated)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = found.withColumn("best", periodic.strongest("runs"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _CRC_STEP = "list_reduce(list_prepend(4294967295::UBIGINT, list_transform(flatten(list_transform(" \
     "regexp_extract_all(hex(encode(coalesce(text, ''))), '..')," \
     " lambda h: [('0x' || h)::UBIGINT, 0, 0, 0, 0, 0, 0, 0])), lambda v: v::UBIGINT))," \
