@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from claimstream.llm import (
     automaton,
     bwt,
+    chosenpath,
     exact,
     language,
     mixing,
@@ -153,6 +154,14 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles and component of every document, and whether it is the one its component keeps."""
+    found = chosenpath.near_copies(table(spark, folder, "documents"), "doc_id", "text")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def _tail_repeated(id: int | None, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents, by the checksum of their id, repeat a stretch up to their end."""
     h = 1 if id is None else zlib.crc32(str(id).encode())
