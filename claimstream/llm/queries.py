@@ -17,6 +17,7 @@ from claimstream.llm import (
     mixing,
     pages,
     periodic,
+    phrases,
     quality,
     recompression,
     sharding,
@@ -28,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SHARDS = 24
+PHRASES = 2000
 
 
 def query(run: Query) -> Query:
@@ -162,6 +164,15 @@ def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+@query
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest collocations of every language."""
+    docs = table(spark, folder, "documents").select("lang", "text")
+    found = phrases.collocations(phrases.frequent(docs, "lang", "text"))
+    listed = phrases.best(found, PHRASES).join(F.broadcast(phrases.totals(docs, "lang", "text")), "lang")
+    return listed.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def _tail_repeated(id: int | None, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents, by the checksum of their id, repeat a stretch up to their end."""
     h = 1 if id is None else zlib.crc32(str(id).encode())
@@ -312,3 +323,46 @@ hits AS (
 SELECT doc_id, n_words, n_words - len(w) AS n_removed,
   sha256(array_to_string(w, ' ')) AS kept_sha256 FROM kept""",
 }
+
+ORACLES |= {
+    "op12_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM listed GROUP BY lang),
+words AS (SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM listed),
+followed AS (
+  SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3
+  FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)
+), f AS (
+  SELECT lang, 1 AS k, w1 AS g, count(*)::HUGEINT AS f, NULL AS head, NULL AS tail,
+    NULL AS first_word, NULL AS last_word FROM followed GROUP BY lang, w1
+  UNION ALL
+  SELECT lang, 2, w1 || ' ' || w2, count(*), w1, w2, w1, w2 FROM followed
+  WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+  UNION ALL
+  SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*), w1 || ' ' || w2, w2 || ' ' || w3, w1, w3
+  FROM followed WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3
+), candidates AS (SELECT *, f AS a FROM f WHERE f >= 10 AND k > 1),
+sides AS (
+  SELECT lang, g, a, 1 AS cut, first_word AS x, tail AS y FROM candidates
+  UNION ALL SELECT lang, g, a, 2, head, last_word FROM candidates WHERE k = 3
+), lowest AS (
+  SELECT s.lang, s.g, a, x.f AS l, y.f AS r, 1000000 * a * a // (x.f * y.f) AS score
+  FROM sides s JOIN f x ON x.lang = s.lang AND x.g = s.x JOIN f y ON y.lang = s.lang AND y.g = s.y
+  QUALIFY row_number() OVER (PARTITION BY s.lang, s.g ORDER BY 1000000 * a * a // (x.f * y.f), cut) = 1
+), held AS (
+  SELECT lang, unnest([head, tail]) AS g, a FROM candidates WHERE k = 3
+), dropped AS (
+  SELECT DISTINCT c.lang, c.g FROM candidates c JOIN held h ON h.lang = c.lang AND h.g = c.g
+  WHERE 100 * h.a >= 50 * c.a
+), named AS (
+  SELECT lang, g AS phrase, a, l, r, score FROM lowest ANTI JOIN dropped USING (lang, g)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+  phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM named JOIN totals USING (lang) QUALIFY rank <= 2000""",
+}
