@@ -59,3 +59,10 @@ def attach(rows: DataFrame, summary: DataFrame, key: str, size: str) -> DataFram
         .unionByName(keyed.join(heavy.select(key), key, "left_anti").join(light, key, "left"))
         .unionByName(rows.where(F.col(key).isNull()).select("*", *extra))
     )
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name

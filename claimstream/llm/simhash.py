@@ -142,3 +142,16 @@ def near_duplicates(docs: DataFrame, id: str, text: str) -> DataFrame:
         F.col("_kept.key").alias("keeps_key"),
     )
     return attach(printed, of_print, "fingerprint", "_n").drop("_n")
+
+
+def survivors(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """One row of each component, whole.  Rows alike in id and text count as one.
+
+    The texts are shuffled once, to meet the ids that stay.
+    """
+    found = near_duplicates(docs, id, text)
+    stays = F.col(id).eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("keeps_key"))
+    stay = found.where(stays).select(F.col(id).alias("stays"), F.col("text_key").alias("with_text")).distinct()
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.xxhash64(text).alias("key"))
+    same = keyed["id"].eqNullSafe(stay["stays"]) & (keyed["key"] == stay["with_text"])
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
