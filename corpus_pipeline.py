@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimstream.llm import automaton, mixing, nearcopy, quality, sharding
-from claimstream.llm.common import held_out, table
+from claimstream.llm import automaton, mixing, quality, sharding, simhash
+from claimstream.llm.common import free_name, held_out, table
 from claimstream.session import fresh_path
 
 SHARDS = 24
@@ -26,13 +26,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents the quality classifier accepts; labels teach it, they do not decide."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     machine = quality.train(docs, labels, "doc_id", "text", "quality")
-    scored = quality.scored(docs, "text", machine, "_quality")
-    return scored.where(F.col("_quality") >= quality.ACCEPT).select(*docs.columns)
+    score = free_name(docs, "_quality")
+    scored = quality.scored(docs, "text", machine, score)
+    return scored.where(F.col(score) >= quality.ACCEPT).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8), the one with the smallest id."""
-    return nearcopy.survivors(docs, "doc_id", "text").select(*docs.columns)
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return simhash.survivors(docs, "doc_id", "text").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
