@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -271,3 +272,101 @@ def mixed_rows(rows):
         if not over:
             return sizes, target
         full |= over
+
+
+def shingle_sets(rows, n=4):
+    out = []
+    for _, t, *_ in rows:
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        grams = [tuple(words[k : k + n]) for k in range(len(words) - n + 1)]
+        out.append(frozenset(grams or ([tuple(words)] if words else [])))
+    return out
+
+
+def alike_rows(rows):
+    """(doc_id, n_shingles, component_id) by comparing all texts."""
+    sets = shingle_sets(rows)
+    kinds = sorted(set(sets), key=lambda s: sorted(s))
+    up = {s: s for s in kinds}
+
+    def root(s):
+        while up[s] is not s:
+            s = up[s]
+        return s
+
+    for k, a in enumerate(kinds):
+        for b in kinds[:k]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                up[root(a)] = root(b)
+    lowest = {}
+    for (i, *_), s in zip(rows, sets):
+        if i is not None:
+            lowest[root(s)] = min(lowest.get(root(s), i), i)
+    return [(i, len(s), lowest.get(root(s)) if s else i) for (i, *_), s in zip(rows, sets)]
+
+
+def phrase_rows(rows, least=10, most=2000):
+    """(lang, rank, phrase, a, l, r, n, score) by counting every phrase."""
+    f, n = defaultdict(int), defaultdict(int)
+    for _, t, lang, _ in rows:
+        lang = "und" if lang is None else lang
+        n[lang] += 0
+        for piece in re.split("[.,;:!?\n-\r]", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for size in (1, 2, 3):
+                for k in range(len(words) - size + 1):
+                    f[lang, tuple(words[k : k + size])] += 1
+    often = {p: a for p, a in f.items() if a >= least and len(p[1]) > 1}
+    held = defaultdict(int)
+    for (lang, p), a in often.items():
+        if len(p) == 3:
+            for part in (p[:2], p[1:]):
+                held[lang, part] = max(held[lang, part], a)
+    out = []
+    for lang in n:
+        own = []
+        for (where, p), a in often.items():
+            if where != lang or 100 * held[lang, p] >= 50 * a:
+                continue
+            cuts = [(f[lang, p[:k]], f[lang, p[k:]], k) for k in range(1, len(p))]
+            score, _, left, right = min((10**6 * a * a // (x * y), k, x, y) for x, y, k in cuts)
+            own.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(own)[:most], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return out
+
+
+def plain_runs(words):
+    """(start, length, period) of every run, looking at each period by itself."""
+    out, n = [], len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            part = words[i : j + q]
+            if j > i and length >= max(6, 4 * q) and not any(part[p:] == part[:-p] for p in range(1, q)):
+                out.append((i, length, q))
+            i = j + 1 if j == i else j
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_rows(rows):
+    out = []
+    for i, t, *_ in rows:
+        w = WORD.findall(t or "")
+        h, n = (1 if i is None else crc(i)), len(w)
+        if h % 10 == 0 and n:
+            a, g = (h // 10) % n, h // 10
+            p = 1 + (n - a) // (3 + g % 8)
+            w = w[:a] + [w[a + (k - a) % p] for k in range(a, n)]
+        found = plain_runs(w)
+        best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if found else (None,) * 3
+        gone = {k for a, length, q in found for k in range(a + q, a + length)}
+        lines = "".join(f"{a},{length},{q}\n" for a, length, q in found)
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(found), *best, 1000 * best[1] // best[2] if found else None, sha(lines), sha(kept)))
+    return out
