@@ -12,8 +12,8 @@ level with a probability of 1 - 0.2^10, and after four levels with 1 - 0.42^8, 9
 In the nodes texts are compared by their tokens: pairs that agree in fewer than ``AGREE`` of
 64 are told apart (a pair at 0.8 does so once in 30,000).  A node reports a spanning forest of
 its alike texts, not their pairs.  The forests of all nodes join into clusters, and a
-cluster is settled on the full sets: up to ``BLOCK`` texts by one task, all against all.
-A larger cluster is dealt into blocks, each of which is compared in itself and with a few
+cluster is settled on the full sets: up to two blocks of ``BLOCK`` texts by one task, all against
+all.  A larger cluster is dealt into blocks, each of which is compared in itself and with a few
 texts all blocks share; then, only where a cluster is still in parts, block against
 block, leaving out two blocks of one part.  So links are exact, no row stands for a pair, and
 every task holds two blocks at most.
@@ -46,8 +46,8 @@ SHINGLE = 4
 PERCENT = 80
 TOKENS, AGREE = 64, 38
 TREES, DEPTH = 8, 4
-NODE, BLOCK, PIVOTS = 512, 256, 4
-BLOCK_ELEMENTS = 4_000_000
+NODE, BLOCK, PIVOTS = 2048, 1536, 4
+BLOCK_ELEMENTS = 2_000_000
 FEED_BYTES = 1 << 20
 # 2^24 bits, two megabytes, whatever the input; more sets than that only make it less selective.
 ASKED_BITS = 1 << 24
@@ -239,13 +239,13 @@ def _shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
     often = np.repeat(times > 1, times)
     column = (np.cumsum(new & often) - 1)[often]
     member = member[often]
-    out, width = np.zeros((len(sets), len(sets)), np.float32), 2048
+    out, width = np.zeros((len(sets), len(sets)), np.float32), 1024
     bounds = np.searchsorted(column, np.arange(0, column[-1] + 1 + width, width)) if len(column) else []
     for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
         held = np.zeros((len(sets), width), np.float32)
         held[member[a:b], column[a:b] - k * width] = 1
         out += held @ held.T
-    return out.astype(np.int64)
+    return out.astype(np.int32)
 
 
 def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,11 +255,11 @@ def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         elements, edges = rows.column(2), []
         for start, stop in _ranges(keys):
             sets = [np.frombuffer(e, np.uint64) for e in elements.slice(start, stop - start).to_pylist()]
-            sizes = np.array([len(s) for s in sets])
+            sizes = np.array([len(s) for s in sets], np.int32)
             if len(sets) == 2:
                 shared = np.intersect1d(*sets, assume_unique=True).size
                 if 100 * shared >= PERCENT * (sizes.sum() - shared):
-                    edges.append((int(ids[start]), int(ids[start + 1])))
+                    edges.append((int(ids[start + 1]), int(ids[start])))
             elif len(sets) > 2:
                 shared = _shared_sizes(sets)
                 alike = 100 * shared >= PERCENT * (sizes[:, None] + sizes[None, :] - shared)
@@ -321,16 +321,29 @@ def _bits(asked: DataFrame) -> np.ndarray:
     return out
 
 
-def _settled(members: DataFrame, block: int) -> DataFrame:
-    """(a, b): enough of the exact links in clusters (cluster, class, n_shingles, elements)."""
+def settled(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(node, component) of the classes that are linked, from clusters (cluster, class, n_shingles, elements).
+
+    A component is named by one of its classes, which may be left out.
+    """
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements_n"))
     blocks = F.ceil(F.greatest(F.col("n") / block, F.col("elements_n") / BLOCK_ELEMENTS))
     counted = cut(sizes.select("cluster", "n", blocks.alias("blocks")))
-    small = members.join(counted.where("blocks <= 1").select("cluster"), "cluster", "left_semi")
-    found = cut(_together(small.select("cluster", "class", "elements"), "cluster", _exact_edges))
-    large = counted.where("blocks > 1")
+    large = counted.where("blocks > 2")
     if large.isEmpty():
-        return found
+        return _named(members)
+    small = members.join(large.select("cluster"), "cluster", "left_anti")
+    return _named(small).unionByName(components(_large_edges(members, large, block), "a", "b"))
+
+
+def _named(members: DataFrame) -> DataFrame:
+    """Clusters of one task: its edges all end in the first member of their component."""
+    edges = _together(members.select("cluster", "class", "elements"), "cluster", _exact_edges)
+    return cut(edges.select(F.col("a").alias("node"), F.col("b").alias("component")))
+
+
+def _large_edges(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
+    """(a, b): enough of the links in the large clusters."""
     drawn = F.xxhash64("class")
     held = cut(attach(members.drop("n_shingles"), large, "cluster", "n").where("blocks is not null"))
     group = F.xxhash64("cluster", F.col("slot"))
@@ -342,7 +355,7 @@ def _settled(members: DataFrame, block: int) -> DataFrame:
         "cluster", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("slot"), F.pmod(drawn, "blocks").alias("home"), "class", "elements"
     ).where("slot != home").drop("home")
     both = dealt.unionByName(copies).select(group.alias("group"), "class", "elements")
-    found = found.unionByName(cut(_together(both, "group", _exact_edges)))
+    found = cut(_together(both, "group", _exact_edges))
 
     # Where a cluster is still in parts: blocks of one large part each, and of small parts.
     joined = components(found, "a", "b")
@@ -395,7 +408,7 @@ def near_copies(
     sets = _given(docs, id, text).mapInArrow(lambda batches: _asked_elements(batches, n, bits), ELEMENTS)
     sets = sets.groupBy("high", "low").agg(F.first("elements").alias("elements"))
     members = cut(asked.drop("first").join(sets, ["high", "low"]).select("cluster", "class", "n_shingles", "elements"))
-    linked = components(_settled(members, block), "a", "b")
+    linked = settled(members, block)
     joined = classes.join(linked, F.col("class") == F.col("node"), "left").select(
         "high", "low", "first", "n_rows", F.coalesce("component", "class").alias("component")
     )
