@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimstream.functions.text import redact, redact_by_rule, tokens
+from claimstream.operators.spread import spread_lookup
+from claimstream.session import cut
 
 # The corpus labels and the class each one stands for.
 LABEL_CLASS = {"SUPPORTS": 0, "REFUTES": 1, "NOT ENOUGH INFO": 1}
@@ -56,41 +58,62 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def name_index(names: DataFrame, uses: DataFrame) -> DataFrame:
+    """(word, name, at): every name under its rarest word, and where in the name that word stands.
+
+    ``names`` has one column, ``entity``; ``uses`` has (word, uses) of the texts.  A word no text has
+    is the rarest.  Of words alike in that the first in the alphabet is taken.
+    """
+    wanted = names.select(_words(F.col("entity")).alias("name")).where(F.size("name") > 0).distinct()
+    each = wanted.select("name", F.posexplode("name").alias("at", "word"))
+    ranked = each.join(uses, "word", "left").groupBy("name").agg(
+        F.min(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "word", "at")).alias("_rarest")
+    )
+    return ranked.select("_rarest.word", "name", "_rarest.at")
+
+
 def dictionary_entities(claims: DataFrame, names: DataFrame, id: str, text: str) -> DataFrame:
     """Entities of each text that stand in a dictionary, as (id, entities).
 
     ``names`` has one column, ``entity``.  Names and texts are cut into words by one rule, so
     punctuation and spacing do not matter; of a match the text's own spelling is listed.
-    Only runs of as many words as some name has are looked up.
+
+    A name is looked up by its rarest word alone, once per text that has it, and compared where that
+    word stands: the length of a name costs nothing where its rarest word is missing.  A
+    text and the names it may hold meet once.
     """
-    wanted = (
-        names.select(_words(F.col("entity")).alias("_words"))
-        .where(F.size("_words") > 0)
-        .select(F.array_join("_words", " ").alias("_name"), F.size("_words").alias("_n"))
-        .distinct()
-    )
-    lengths = sorted(r["_n"] for r in wanted.select("_n").distinct().collect())
-    words = claims.select(
+    texts = claims.select(
         id, _words(F.col(text)).alias("_words"), F.split(text, WORD, -1).alias("_gaps")
-    ).select(id, "_words", "_gaps", F.posexplode_outer("_words").alias("_pos", "_word"))
-
-    def run(n: int, between) -> Column:
-        parts = [F.col("_word")]
-        for i in range(1, n):
-            parts += [between(F.col("_pos") + i), F.get("_words", F.col("_pos") + i)]
-        return F.concat(*parts)
-
-    spans = [
-        F.struct(
-            run(n, lambda at: F.lit(" ")).alias("_name"),
-            run(n, lambda at: F.get("_gaps", at)).alias("entity"),
+    )
+    # The outer explode keeps the optimizer from cutting every text a second time.
+    listed = texts.select(id, F.explode_outer(F.array_distinct("_words")).alias("word"))
+    listed = cut(listed.where(F.col("word").isNotNull()))
+    uses = listed.groupBy("word").agg(F.count("*").alias("uses"))
+    index = name_index(names, uses)
+    maybe = spread_lookup(listed, index, ["word"], id)
+    asked = maybe.groupBy(id).agg(F.collect_set(F.struct("word", "name", "at")).alias("_names"))
+    places = F.sequence(F.lit(0), F.size("_words") - 1)
+
+    def spelled(name: Column, place: Column) -> Column:
+        start, n = place - name["at"], F.size(name["name"])
+        parts = F.transform(
+            F.slice("_words", start + 1, n),
+            lambda word, j: F.when(j == 0, word).otherwise(F.concat(F.get("_gaps", start + j), word)),
         )
-        for n in lengths
-    ]
-    if not spans:
-        return claims.where("false").select(id, F.array().cast("array<string>").alias("entities"))
-    found = words.select(id, F.inline(F.array(*spans))).join(wanted.select("_name"), "_name")
-    return found.groupBy(id).agg(F.collect_set("entity").alias("entities"))
+        return F.array_join(parts, "")
+
+    def found(name: Column) -> Column:
+        start, n = (lambda p: p - name["at"]), F.size(name["name"])
+        inside = F.filter(
+            places,
+            lambda p: (F.get("_words", p) == name["word"])
+            & (start(p) >= 0)
+            & F.when(start(p) >= 0, F.slice("_words", start(p) + 1, n) == name["name"]),
+        )
+        return F.transform(inside, lambda p: spelled(name, p))
+
+    entities = F.array_distinct(F.flatten(F.transform("_names", found)))
+    return texts.join(asked, id).select(id, entities.alias("entities")).where(F.size("entities") > 0)
 
 
 def text_sizes(df: DataFrame, id: str, text: str, n: int = 3) -> DataFrame:

@@ -270,7 +270,7 @@ ORACLES: dict[str, str] = {
                greatest(len({tokens('text')}) - 2, 0) AS n_shingles FROM documents""",
     "publish_keyed": """
         SELECT 'fever' AS key, text AS claim, 1 - quality AS label
-        FROM documents JOIN labels USING (doc_id)""",
+        FROM documents LEFT JOIN labels USING (doc_id)""",
     "payload_roundtrip": f"""
         WITH {SCORED} SELECT id, batch_id, key, claim, entity_redacted_claim, label,
                              predicted_label FROM scored""",
@@ -346,6 +346,16 @@ ORACLES: dict[str, str] = {
         SELECT id, concat_ws(',', {', '.join(f'm{i}' for i in range(PERMUTATIONS))}) AS signature
         FROM signed""",
     "lsh_links": f"WITH {DOCS}, {linked('docs')} SELECT * FROM links",
+    "lsh_verified_links": f"""
+        WITH {DOCS}, {grams('docs', 'id', 'claim', short=True)},
+        sets AS (SELECT DISTINCT id, pattern FROM grams),
+        sizes AS (SELECT id, count(*) AS n FROM sets GROUP BY id),
+        shared AS (
+            SELECT l.id AS similar_id, r.id AS id, count(*) AS common
+            FROM sets l JOIN sets r ON l.pattern = r.pattern AND l.id < r.id GROUP BY ALL)
+        SELECT s.id, min(similar_id) AS similar_id
+        FROM shared s JOIN sizes a ON a.id = s.similar_id JOIN sizes b ON b.id = s.id
+        WHERE 10 * common >= 7 * (a.n + b.n - common) GROUP BY s.id""",
     "similar_claims": f"""
         WITH {DOCS}, {linked('docs')}
         SELECT DISTINCT l.id, l.first_id AS similar_id, s.claim AS similar_text,
@@ -412,7 +422,7 @@ ORACLES: dict[str, str] = {
         {linked('docs', 'half')} {CLUSTERS}""",
     "stream_score": """
         SELECT (1 - quality)::VARCHAR AS label, TRUE AS decided, count(*) AS n
-        FROM documents JOIN labels USING (doc_id) GROUP BY quality
+        FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality
         UNION ALL
         SELECT 'rejected', FALSE, count(*) FROM documents WHERE doc_id % 100 = 0""",
     "train_eval": f"""
@@ -423,7 +433,7 @@ ORACLES: dict[str, str] = {
                TRUE AS at_least_guessing FROM rows""",
     "score_claims": """
         SELECT doc_id AS id, 1 - quality AS label, TRUE AS decided
-        FROM documents JOIN labels USING (doc_id)""",
+        FROM documents LEFT JOIN labels USING (doc_id)""",
     "feature_importance": f"SELECT rank, TRUE AS agrees FROM ({RANKS})",
     "feature_words": f"SELECT rank, TRUE AS words_belong FROM ({RANKS})",
     "importance_report": "SELECT TRUE AS has_rows, 0 AS wrong",

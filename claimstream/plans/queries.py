@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimstream.functions import scored as S
 from claimstream.functions.text import choose_text, find_entities, redact, redact_by_rule
-from claimstream.operators import classifier, dgim, lsh, patterns, positions, prepare, sampling
+from claimstream.operators import classifier, dgim, lsh, patterns, positions, prepare, sampling, similarity
 from claimstream.operators import scored as ops
 from claimstream.plans import views
 from claimstream.session import cut, fresh_path
@@ -112,9 +112,9 @@ def shingle_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def publish_keyed(spark: SparkSession, folder: str) -> DataFrame:
-    """Claims published with a constant key, read back and parsed."""
+    """All claims, labelled or not, published with a constant key, read back and parsed."""
     path = fresh_path(spark, "topic")
-    claims = views.claims(spark, folder).select("claim", "label")
+    claims = views.claims(spark, folder, labelled_only=False).select("claim", "label")
     sinks.publish(claims, "parquet", {"path": path}, key="fever")
     sent = spark.read.schema("key string, value string").parquet(path)
     value = F.from_json("value", "claim string, label int").alias("v")
@@ -246,6 +246,12 @@ def lsh_links(spark: SparkSession, folder: str) -> DataFrame:
     return _links(spark, folder)
 
 
+@query
+def lsh_verified_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with an earlier one at a true Jaccard similarity of 0.7 or more, and the first such."""
+    return similarity.earlier_similar(views.documents(spark, folder), "id", _text())
+
+
 @query
 def similar_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with the first document of each bucket they share, texts included."""
@@ -347,12 +353,16 @@ def dgim_buckets(spark: SparkSession, folder: str) -> DataFrame:
 def _prepared(spark: SparkSession, folder: str) -> DataFrame:
     """The redacted claims as a written table: training reads them many times."""
     path = fresh_path(spark, "prepared")
-    sinks.write_table(views.claims(spark, folder), path, "parquet")
+    sinks.write_table(views.claims(spark, folder, labelled_only=False), path, "parquet")
     return sampling.split(spark.read.parquet(path), "id")
 
 
+def _labelled(claims: DataFrame) -> DataFrame:
+    return claims.where(F.col("label").isNotNull())
+
+
 def _fit(claims: DataFrame) -> PipelineModel:
-    return classifier.fit(claims.where("is_train"))
+    return classifier.fit(_labelled(claims).where("is_train"))
 
 
 def _top(spark: SparkSession, claims: DataFrame) -> DataFrame:
@@ -361,18 +371,18 @@ def _top(spark: SparkSession, claims: DataFrame) -> DataFrame:
 
 @query
 def train_eval(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows trained on, rows held out, and whether the model beats always choosing the rarer class.
+    """Rows trained on, rows held out, and whether the model does as well as the commoner class alone.
 
-    The accuracy itself is learned, which SQL cannot express.
+    The accuracy itself is learned, which SQL cannot express; ``model_accuracy`` has it.
     """
-    claims = _prepared(spark, folder)
+    claims = _labelled(_prepared(spark, folder))
     held_out = claims.where(~F.col("is_train"))
     right = classifier.accuracy(_fit(claims), held_out)
     guess = F.avg(F.when(~F.col("is_train"), F.col("label").cast("double")))
     return claims.agg(
         F.count_if("is_train").alias("train_rows"),
         F.count_if(~F.col("is_train")).alias("test_rows"),
-        (F.lit(right) >= F.least(guess, 1 - guess)).alias("at_least_guessing"),
+        (F.lit(right) >= F.greatest(guess, 1 - guess)).alias("at_least_guessing"),
     )
 
 
@@ -386,6 +396,46 @@ def score_claims(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("id", "label", decided.alias("decided"))
 
 
+@query
+def model_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out accuracy of the classifier beside that of always choosing the commoner class."""
+    claims = _labelled(_prepared(spark, folder))
+    held_out = claims.where(~F.col("is_train"))
+    right = classifier.accuracy(_fit(claims), held_out)
+    guess = F.avg(F.col("label").cast("double"))
+    return held_out.agg(
+        F.count("*").alias("test_rows"),
+        F.lit(right).alias("accuracy"),
+        F.greatest(guess, 1 - guess).alias("commoner_class"),
+    )
+
+
+@query
+def claim_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """What the classifier decides for every claim, labelled or not."""
+    claims = _prepared(spark, folder)
+    scored = classifier.score(_fit(claims), claims, ("id",))
+    return scored.select("id", "label", "predicted_label")
+
+
+@query
+def feature_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """The 30 features of largest weight, their weights and directions."""
+    return _top(spark, _prepared(spark, folder))
+
+
+@query
+def feature_word_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of those features."""
+    return _feature_words(spark, folder).drop("words")
+
+
+@query
+def influence_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest features of each direction with a few words each."""
+    return classifier.importance_report(_feature_words(spark, folder))
+
+
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     """The 30 features of largest weight, by rank; the weights are learned, their order is not."""
@@ -422,7 +472,7 @@ def feature_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _feature_words(spark: SparkSession, folder: str) -> DataFrame:
-    claims = _prepared(spark, folder)
+    claims = _labelled(_prepared(spark, folder))
     return classifier.feature_words(_top(spark, claims), classifier.vocabulary(claims))
 
 

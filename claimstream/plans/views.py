@@ -49,14 +49,17 @@ def broken_lines(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select(F.concat(F.lit("{broken "), F.col("doc_id").cast("string")).alias("value"))
 
 
-def claims(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that carry a quality label, redacted; low quality is class 1."""
+def claims(spark: SparkSession, folder: str, labelled_only: bool = True) -> DataFrame:
+    """Documents with their quality label, redacted; low quality is class 1.
+
+    Training needs the label; whoever publishes or scores takes every document.
+    """
     labelled = table(spark, folder, "labels").select(
         F.col("doc_id").alias("id"), (1 - F.col("quality")).alias("label")
     )
     return (
         documents(spark, folder)
-        .join(labelled, "id")
+        .join(labelled, "id", "inner" if labelled_only else "left")
         .select("id", "claim", redact_by_rule(F.col("claim")).alias("entity_redacted_claim"), "label")
     )
 
