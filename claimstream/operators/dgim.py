@@ -102,6 +102,16 @@ def _estimates(chunk: pa.Table, overhang: int, window: int):
     return exact, exact + left - latest
 
 
+def continued(recent: np.ndarray, bits: np.ndarray, overhang: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact count and estimate at every new bit of a stream, given the bits of its last window.
+
+    ``recent`` holds the last ``window`` bits before the new ones, or all there were.
+    """
+    carried = np.arange(len(recent) + len(bits)) < len(recent)
+    chunk = pa.table({"_bit": np.concatenate([recent, bits]), "_carried": carried})
+    return _estimates(chunk, overhang, window)
+
+
 def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan: int) -> DataFrame:
     """Overhang at entry of every chunk, from the exit tables and the overhang at the start.
 

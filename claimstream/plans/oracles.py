@@ -416,6 +416,13 @@ ORACLES: dict[str, str] = {
     "stream_dgim": f"""
         WITH RECURSIVE {estimate('key')}
         SELECT key, max(pos) AS pos, max_by(estimate, pos) AS estimate FROM estimates GROUP BY key""",
+    "stream_dgim_state": f"""
+        WITH RECURSIVE {estimate('key')}
+        SELECT key, max(pos) AS pos, max_by(exact, pos) AS exact, max_by(estimate, pos) AS estimate
+        FROM estimates GROUP BY key""",
+    "window_state_read": f"""
+        WITH RECURSIVE {estimate('key')}
+        SELECT key, max(pos) AS pos, max_by(estimate, pos) AS estimate FROM estimates GROUP BY key""",
     "stream_lsh": f"""
         WITH all_{POSITIVE_DOCS.strip()},
         docs AS (SELECT id, claim, {CRC32} % 2 AS half FROM all_docs),

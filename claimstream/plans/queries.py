@@ -19,7 +19,7 @@ from claimstream.operators import scored as ops
 from claimstream.plans import views
 from claimstream.session import cut, fresh_path
 from claimstream.sources import readers, sinks
-from claimstream.streaming import jobs
+from claimstream.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -563,6 +563,34 @@ def stream_dgim(spark: SparkSession, folder: str) -> DataFrame:
     return newest.select("key", "pos", total.alias("estimate"))
 
 
+def _counted_in_state(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The replayed stream counted by the stateful operator: its output and its checkpoint."""
+    out = fresh_path(spark, "window-state")
+    _replay(
+        spark,
+        folder,
+        lambda stream: stateful.write_window_counts(
+            stateful.window_counts(stream, ["key"], ["ts", "id"]), out, f"{out}-run", jobs.ALL_THEN_STOP
+        ),
+    )
+    return out, f"{out}-run"
+
+
+@query
+def stream_dgim_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimate at the end of each stream, from state in the checkpoint of a query restarted per slice."""
+    out, _ = _counted_in_state(spark, folder)
+    ends = readers.latest_state(spark.read.parquet(out), ["key"])
+    return ends.select("key", "pos", "exact", "estimate")
+
+
+@query
+def window_state_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Position and estimate of each stream as its operator holds them in the checkpoint."""
+    _, checkpoint = _counted_in_state(spark, folder)
+    return readers.operator_state(spark, checkpoint).select("key", "pos", "estimate")
+
+
 @query
 def stream_lsh(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters among the positive documents of two micro-batches, each for itself."""

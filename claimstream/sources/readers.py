@@ -117,3 +117,15 @@ def keyed_state(
     if touched is not None:
         rows = same_keys(rows, touched.select(*keys), keys, "left_semi")
     return latest_state(rows, keys).drop("batch_id")
+
+
+def operator_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """Keys and values a keyed stateful operator holds in the checkpoint of its query.
+
+    As of the newest finished batch, or of ``batch_id``.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    held = reader.load(checkpoint)
+    return held.select("key.*", "value.groupState.*")
