@@ -41,7 +41,7 @@ from claimstream.session import fresh_path, remove
 SHARDS = 4
 LONGEST = 3
 LEAST = 10
-FEED_BYTES = 8 << 20
+FEED_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 # One byte per slot: 16 MB to broadcast, whatever the input.
 SLOTS = 1 << 24
