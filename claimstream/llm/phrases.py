@@ -9,7 +9,7 @@ counted side by side, and every phrase with enough occurrences gets its exact co
 subphrases have at least as many, so it is activated at some scan.
 
 What a scan needs to know is, for every phrase, at which scan it reached ``least``: a table of
-one byte per slot of a hash, of fixed size whatever the data.  Two phrases that share a slot
+one byte per slot of a hash, 16 MB at most whatever the data.  Two phrases that share a slot
 only activate some phrase early or in vain; counts stay exact, since a phrase's start follows from the
 table, which never changes for a slot once set.
 
@@ -25,11 +25,13 @@ not read.  Ties in score go to more occurrences, then to the phrase's UTF-8 byte
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +45,9 @@ LONGEST = 3
 LEAST = 10
 FEED_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
-# One byte per slot: 16 MB to broadcast, whatever the input.
-SLOTS = 1 << 24
+# One byte per slot, a slot for so many bytes of text; 16 MB at most whatever the input.
+SLOT_TEXT_BYTES = 256
+FEWEST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 24
 NEVER = 255
 # What ends a piece of text, and what stands between words of a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -85,7 +88,8 @@ class _Phrases:
         """(size, key, scan it is counted from) of every occurrence of an active phrase."""
         if scan < SHARDS:
             yield 1, self.key, np.zeros(len(self.key), np.uint8)
-        known = reached[self.key & np.uint64(SLOTS - 1)]
+        mask = np.uint64(len(reached) - 1)
+        known = reached[self.key & mask]
         for size in range(2, LONGEST + 1):
             if len(known) < 2:
                 return
@@ -95,7 +99,7 @@ class _Phrases:
             yield size, keys[on], start[on].astype(np.uint8)
             counted = whole & (start <= scan)
             known = np.full(len(keys), NEVER, np.uint8)
-            known[counted] = reached[keys[counted] & np.uint64(SLOTS - 1)]
+            known[counted] = reached[keys[counted] & mask]
 
 
 def _by_language(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[list[tuple[str, _Phrases]]]:
@@ -153,7 +157,7 @@ def _numbers(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
 
-def _merged(table: pa.Table, scan: int, least: int, buckets: int) -> pa.Table:
+def _merged(table: pa.Table, scan: int, least: int, buckets: int, slots: int) -> pa.Table:
     """The counters of a bucket with those of one more scan, which come in rows of their own.
 
     Phrases of the most words are in the buckets from ``buckets`` on: they activate nothing.
@@ -172,7 +176,7 @@ def _merged(table: pa.Table, scan: int, least: int, buckets: int) -> pa.Table:
     keys = ordered[first]
     starts, firsts = starts[order][first], np.minimum.reduceat(firsts[order], first)
     bucket = table["bucket"][0].as_py()
-    crossed = keys[(total >= least) & (before < least) & (bucket < buckets)] & np.uint64(SLOTS - 1)
+    crossed = keys[(total >= least) & (before < least) & (bucket < buckets)] & np.uint64(slots - 1)
     stay = (total >= least) | (scan < starts.astype(np.int64) + SHARDS - 1)
     row = (bucket, keys[stay], total[stay].astype(np.uint32), starts[stay], firsts[stay])
     return pa.Table.from_batches([_packed([row], [np.unique(crossed).astype(np.int32).tolist()])])
@@ -189,7 +193,7 @@ def _witnesses(batches: Iterator[pa.RecordBatch], wanted: np.ndarray, seed: int)
                 keys = phrases.keys(size)
                 if not len(keys):
                     continue
-                at = np.flatnonzero(wanted[keys & np.uint64(SLOTS - 1)] & phrases.whole(size))
+                at = np.flatnonzero(wanted[keys & np.uint64(len(wanted) - 1)] & phrases.whole(size))
                 _, first = np.unique(keys[at], return_index=True)
                 at = at[first]
                 if not len(at):
@@ -208,44 +212,53 @@ def _witnesses(batches: Iterator[pa.RecordBatch], wanted: np.ndarray, seed: int)
                 )
 
 
-def _slots(spark: SparkSession, numbers: DataFrame) -> np.ndarray:
+def _sent(spark: SparkSession, table: np.ndarray) -> Broadcast:
+    """A table of bytes, which is mostly of one value, packed and sent to the executors."""
+    return spark.sparkContext.broadcast(zlib.compress(table.view(np.uint8).tobytes(), 1))
+
+
+def _received(sent: Broadcast) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(sent.value), np.uint8)
+
+
+def _slots(numbers: DataFrame, slots: int) -> np.ndarray:
     """Which slots are among the numbers, by bitmaps of fixed size."""
     bit = numbers.select((F.col("slot") + 1).alias("bit"))
     parts = bit.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
-    out = np.zeros(SLOTS, bool)
+    out = np.zeros(slots, bool)
     for bucket, bits in parts.collect():
         start = (bucket - 1) * len(bits) * 8
         out[start : start + len(bits) * 8] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
     return out
 
 
-def _counters(spark: SparkSession, folder: str, shards: str, buckets: int, least: int, seed: int) -> str:
+def _counters(spark: SparkSession, folder: str, shards: str, buckets: int, slots: int, least: int, seed: int) -> str:
     """Scan the shards round and round until every active phrase is complete; the path of the counters."""
-    reached, path, scan = np.full(SLOTS, NEVER, np.uint8), None, 0
+    reached, path, scan = np.full(slots, NEVER, np.uint8), None, 0
     schema = spark.read.parquet(shards).drop("shard").schema
     while True:
         # A phrase is active if it was activated less than a cycle ago: by a scan of the last cycle.
         if scan >= SHARDS and not ((reached >= scan - SHARDS) & (reached < scan)).any():
             return path
         rows = spark.read.schema(schema).parquet(f"{shards}/shard={scan % SHARDS}")
-        sent = spark.sparkContext.broadcast(reached)
+        sent = _sent(spark, reached)
         counted = rows.mapInArrow(
-            lambda batches, n=scan, sent=sent: _scanned(batches, sent.value, n, buckets, seed), COUNTED
+            lambda batches, n=scan, sent=sent: _scanned(batches, _received(sent), n, buckets, seed), COUNTED
         ).withColumn("old", F.lit(False))
         if path is not None:
             old = spark.read.schema(MERGED).parquet(path).drop("reached").withColumn("old", F.lit(True))
             counted = counted.unionByName(old)
-        merged = counted.groupBy("bucket").applyInArrow(lambda t: _merged(t, scan, least, buckets), MERGED)
+        merged = counted.groupBy("bucket").applyInArrow(lambda t: _merged(t, scan, least, buckets, slots), MERGED)
         before, path = path, f"{folder}/scan-{scan}"
         merged.write.parquet(path)
         if before is not None:
             remove(spark, before)
         crossed = spark.read.schema(MERGED).parquet(path).select(F.explode("reached").alias("slot"))
         reached = reached.copy()
-        reached[_slots(spark, crossed) & (reached == NEVER)] = scan
-        sent.unpersist()
+        reached[_slots(crossed, slots) & (reached == NEVER)] = scan
+        sent.destroy()
         scan += 1
 
 
@@ -278,18 +291,19 @@ def frequent(docs: DataFrame, lang: str, text: str, least: int = LEAST, seed: in
         given.where("false").write.mode("append").parquet(f"{shards}/shard={n}")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(16, int(total // BUCKET_BYTES) + 1)
+    slots = min(MOST_SLOTS, max(FEWEST_SLOTS, 1 << int(total // SLOT_TEXT_BYTES).bit_length()))
     while True:
-        path = _counters(spark, f"{folder}/{seed}", shards, buckets, least, seed)
+        path = _counters(spark, f"{folder}/{seed}", shards, buckets, slots, least, seed)
         packed = spark.read.schema(MERGED).parquet(path).select("keys", "counts", "firsts")
         counts = cut(
             packed.mapInArrow(lambda batches: _unpacked(batches, least), "key bigint, f bigint, shard int")
         )
         found = None
         for n in range(SHARDS):
-            slot = F.col("key").bitwiseAND(F.lit(SLOTS - 1))
-            sent = spark.sparkContext.broadcast(_slots(spark, counts.where(F.col("shard") == n).select(slot.alias("slot"))))
+            slot = F.col("key").bitwiseAND(F.lit(slots - 1))
+            sent = _sent(spark, _slots(counts.where(F.col("shard") == n).select(slot.alias("slot")), slots))
             rows = spark.read.schema(given.schema).parquet(f"{shards}/shard={n}")
-            seen = rows.mapInArrow(lambda batches, sent=sent: _witnesses(batches, sent.value, seed), FOUND)
+            seen = rows.mapInArrow(lambda batches, sent=sent: _witnesses(batches, _received(sent).view(bool), seed), FOUND)
             found = seen if found is None else found.unionByName(seen)
         found = found.groupBy("key", "lang", "size", "parts").agg(F.min("word").alias("word"), F.max("word").alias("other"))
         named = cut(found.join(counts.drop("shard"), "key"))
