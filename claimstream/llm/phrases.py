@@ -99,7 +99,8 @@ class _Phrases:
             yield size, keys[on], start[on].astype(np.uint8)
             counted = whole & (start <= scan)
             known = np.full(len(keys), NEVER, np.uint8)
-            known[counted] = reached[keys[counted] & mask]
+            # A slot may be set by another phrase; this one is not known before it is counted.
+            known[counted] = np.maximum(reached[keys[counted] & mask], start[counted].astype(np.uint8))
 
 
 def _by_language(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[list[tuple[str, _Phrases]]]:
@@ -230,7 +231,8 @@ def _slots(numbers: DataFrame, slots: int) -> np.ndarray:
     out = np.zeros(slots, bool)
     for bucket, bits in parts.collect():
         start = (bucket - 1) * len(bits) * 8
-        out[start : start + len(bits) * 8] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
+        flags = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
+        out[start : start + len(flags)] = flags[: slots - start]
     return out
 
 
@@ -239,8 +241,10 @@ def _counters(spark: SparkSession, folder: str, shards: str, buckets: int, slots
     reached, path, scan = np.full(slots, NEVER, np.uint8), None, 0
     schema = spark.read.parquet(shards).drop("shard").schema
     while True:
-        # A phrase is active if it was activated less than a cycle ago: by a scan of the last cycle.
-        if scan >= SHARDS and not ((reached >= scan - SHARDS) & (reached < scan)).any():
+        # A phrase is active for a cycle from the scan after its subphrases are known, which is at
+        # most one scan for each word beyond two after the words were.
+        oldest = scan - SHARDS - (LONGEST - 2)
+        if oldest > 0 and not ((reached >= oldest) & (reached < scan)).any():
             return path
         rows = spark.read.schema(schema).parquet(f"{shards}/shard={scan % SHARDS}")
         sent = _sent(spark, reached)
@@ -274,7 +278,9 @@ def _unpacked(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Reco
             )
 
 
-def frequent(docs: DataFrame, lang: str, text: str, least: int = LEAST, seed: int = 0) -> DataFrame:
+def frequent(
+    docs: DataFrame, lang: str, text: str, least: int = LEAST, seed: int = 0, fewest_slots: int = FEWEST_SLOTS
+) -> DataFrame:
     """(lang, size, key, parts, words, f): every phrase of one to three words with ``least`` occurrences.
 
     ``parts`` are the keys of its words, ``words`` the words themselves.
@@ -291,7 +297,7 @@ def frequent(docs: DataFrame, lang: str, text: str, least: int = LEAST, seed: in
         given.where("false").write.mode("append").parquet(f"{shards}/shard={n}")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(16, int(total // BUCKET_BYTES) + 1)
-    slots = min(MOST_SLOTS, max(FEWEST_SLOTS, 1 << int(total // SLOT_TEXT_BYTES).bit_length()))
+    slots = min(MOST_SLOTS, max(fewest_slots, 1 << int(total // SLOT_TEXT_BYTES).bit_length()))
     while True:
         path = _counters(spark, f"{folder}/{seed}", shards, buckets, slots, least, seed)
         packed = spark.read.schema(MERGED).parquet(path).select("keys", "counts", "firsts")
