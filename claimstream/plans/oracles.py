@@ -412,6 +412,16 @@ ORACLES: dict[str, str] = {
                sum(false_positives)::BIGINT AS false_positives,
                sum(true_negatives)::BIGINT AS true_negatives,
                sum(false_negatives)::BIGINT AS false_negatives FROM c""",
+    "stream_batches": f"""
+        WITH {SCORED}, c AS ({CONFUSION}),
+        sliced AS (SELECT *, (batch_id - (SELECT min(batch_id) FROM c)) // 8 AS slice FROM c),
+        sums AS (
+            SELECT slice AS batch_id, sum(batch_size)::BIGINT AS batch_size,
+                   sum(true_positives)::BIGINT AS true_positives,
+                   sum(false_positives)::BIGINT AS false_positives,
+                   sum(true_negatives)::BIGINT AS true_negatives,
+                   sum(false_negatives)::BIGINT AS false_negatives FROM sliced GROUP BY slice)
+        SELECT *, (sum(batch_size) OVER (ORDER BY batch_id))::BIGINT AS total_processed FROM sums""",
     "stream_reservoir": f"WITH {SCORED}, {SAMPLE} SELECT * FROM sampled",
     "stream_dgim": f"""
         WITH RECURSIVE {estimate('key')}
@@ -423,6 +433,7 @@ ORACLES: dict[str, str] = {
     "window_state_read": f"""
         WITH RECURSIVE {estimate('key')}
         SELECT key, max(pos) AS pos, max_by(estimate, pos) AS estimate FROM estimates GROUP BY key""",
+    "stream_lsh_index": f"WITH {DOCS}, {linked('docs')} SELECT * FROM links",
     "stream_lsh": f"""
         WITH all_{POSITIVE_DOCS.strip()},
         docs AS (SELECT id, claim, {CRC32} % 2 AS half FROM all_docs),

@@ -514,15 +514,30 @@ def _replay(
             start(readers.stream_files(spark, path, messages.schema, "parquet")).awaitTermination()
 
 
+def _slices(spark: SparkSession, messages: DataFrame, place: str, slices: Column) -> readers.Slices:
+    """Messages as a rate-limited stream, one slice a batch.
+
+    ``slices`` numbers them by ``_distance``, how far ``place`` is from its least, and ``_reach``, above all distances.
+    """
+    path = fresh_path(spark, "slices")
+    low, high = messages.agg(F.min(place), F.max(place)).first()
+    placed = messages.withColumns({"_distance": F.col(place) - low, "_reach": F.lit(high - low + 1)})
+    sinks.write_slices(placed.withColumn("slice", slices).drop("_distance", "_reach"), path, "slice")
+    return readers.stream_slices(spark, path, messages.schema)
+
+
+def _sliced_days(spark: SparkSession, folder: str) -> readers.Slices:
+    """The month of events, some days a slice."""
+    days = F.floor(F.col("_distance") / SLICE_DAYS).cast("bigint")
+    return _slices(spark, views.scored_messages(spark, folder), "batch_id", days)
+
+
 def _sampled(spark: SparkSession, folder: str) -> str:
     out = fresh_path(spark, "metrics")
-    _replay(
-        spark,
-        folder,
-        lambda stream: jobs.metrics_and_sample(
-            stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
-        ),
-    )
+    stream = _sliced_days(spark, folder)
+    jobs.metrics_and_sample(
+        stream, "id", out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
+    ).awaitTermination()
     return out
 
 
@@ -536,6 +551,13 @@ def stream_confusion(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The record of every batch of a stream limited to a slice a trigger."""
+    stats = spark.read.parquet(f"{_sampled(spark, folder)}/stats")
+    return stats.select("batch_id", "batch_size", *[f"{c}s" for c in S.CATEGORIES], "total_processed")
+
+
 @query
 def stream_reservoir(spark: SparkSession, folder: str) -> DataFrame:
     """The sample after the last batch of the replayed stream."""
@@ -550,14 +572,11 @@ def stream_reservoir(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dgim(spark: SparkSession, folder: str) -> DataFrame:
     """Estimate at the end of each stream, after the last micro-batch."""
     out, keys, order = fresh_path(spark, "window"), ["key"], ["ts", "id"]
-    _replay(
-        spark,
-        folder,
-        lambda stream: jobs.positives_in_window(
-            stream, keys, order, out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
-        ),
-    )
-    schema = jobs.window_state(views.scored_messages(spark, folder).schema, keys, order)
+    stream = _sliced_days(spark, folder)
+    jobs.positives_in_window(
+        stream, keys, order, out, f"{out}/_run", trigger=jobs.ALL_THEN_STOP
+    ).awaitTermination()
+    schema = jobs.window_state(stream.schema, keys, order)
     newest = readers.keyed_state(spark, f"{out}/state", keys, schema)
     total = dgim.dgim_total(F.col("recent"), F.col("overhang"))
     return newest.select("key", "pos", total.alias("estimate"))
@@ -606,6 +625,18 @@ def stream_lsh(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/clusters").select("cluster_id", "id")
 
 
+@query
+def stream_lsh_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of documents that come in three batches by id, each against all that came before."""
+    out = fresh_path(spark, "index")
+    thirds = F.floor(F.col("_distance") * 3 / F.col("_reach")).cast("bigint")
+    stream = _slices(spark, views.document_messages(spark, folder).drop("source"), "id", thirds)
+    jobs.similar_to_earlier(
+        stream, "id", out, f"{out}/_run", _text(), trigger=jobs.ALL_THEN_STOP
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/links").select("band", "first_id", "id")
+
+
 @query
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """Claims published as messages, some of them broken, and scored by the streaming job."""

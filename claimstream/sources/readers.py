@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -11,6 +13,10 @@ from claimstream.schemas import CLAIM, RAW
 from claimstream.session import folder_numbers
 
 
+# An entry of a manifest: the place of a slice in the order, and the folder of its rows.
+ENTRY = "number bigint, folder string"
+
+
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned claims from JSON lines; the schema is fixed, so the input is read once."""
     return spark.read.schema(CLAIM).json(path)
@@ -66,6 +72,35 @@ def stream_files(
     return reader.load(path)
 
 
+class Slices(NamedTuple):
+    """A stream cut into batches by a manifest instead of by the files its rows lie in."""
+
+    entries: DataFrame
+    schema: StructType
+    fmt: str
+
+    def rows(self, batch: DataFrame) -> DataFrame:
+        """The rows of the slices that a batch of entries names; a batch has as many as its limit."""
+        folders = [entry["folder"] for entry in batch.orderBy("number").collect()]
+        return batch.sparkSession.read.schema(self.schema).format(self.fmt).load(folders)
+
+
+def stream_slices(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    slices_per_trigger: int = 1,
+) -> Slices:
+    """What ``sinks.write_slices`` wrote, as a rate-limited stream of whole slices.
+
+    A batch is the same rows however many files hold them, and a replayed batch reads the same
+    slices again, since the checkpoint holds their manifest entries.
+    """
+    entries = stream_files(spark, f"{path}/manifest", ENTRY, "json", slices_per_trigger)
+    return Slices(entries, schema, fmt)
+
+
 def latest_state(snapshots: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
     """The newest snapshot row of each key."""
     value = F.struct(*[c for c in snapshots.columns if c not in keys])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,6 +68,27 @@ def write_batch(
         writer.mode("append").save(path)
 
 
+def write_slices(df: DataFrame, path: str, number: str, fmt: str = "parquet") -> None:
+    """Write rows in slices by the integer column ``number``, and a manifest that names them in order.
+
+    An entry is written once its slice is complete, one file after the other, so readers that take
+    the oldest file first get the slices in order.  More slices may be written later; a number that
+    is there already is an error, as are rows without one.
+    """
+    spark = df.sparkSession
+    slice = F.coalesce(F.col(number), F.raise_error(F.lit("a row without a slice")).cast("bigint"))
+    rows = f"{path}/rows-{uuid.uuid4().hex}"
+    df.withColumn(number, slice).write.partitionBy(number).format(fmt).save(rows)
+    new = folder_numbers(spark, rows, number)
+    twice = {*new} & {*folder_numbers(spark, f"{path}/manifest", "number")}
+    if twice:
+        remove(spark, rows)
+        raise ValueError(f"{path} already has the slices {sorted(twice)}")
+    for n in new:
+        entry = spark.createDataFrame([(f"{rows}/{number}={n}",)], "folder string")
+        entry.coalesce(1).write.json(f"{path}/manifest/number={n}")
+
+
 def write_state(df: DataFrame, path: str, batch_id: int, keep: int = 3) -> None:
     """Write a whole state as of a batch and drop all but the last few before it."""
     write_batch(df, path, batch_id)

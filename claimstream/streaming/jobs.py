@@ -3,7 +3,8 @@
 The stateful jobs work in foreachBatch with the batch operators, so a stream gives the
 numbers a batch run over the same rows gives, and a key that fills a micro-batch is split
 like any other.  Whatever a batch writes is keyed by its batch id, and the state it starts
-from is that of the batch before it: running a batch again changes nothing.
+from is that of the batch before it: running a batch again changes nothing.  They take a
+stream of messages, or the slices of a manifest (``readers.stream_slices``).
 """
 
 from __future__ import annotations
@@ -11,19 +12,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from claimstream.functions import scored as S
 from claimstream.functions.text import choose_text
 from claimstream.operators import classifier, dgim, lsh, patterns, sampling
 from claimstream.operators import scored as ops
-from claimstream.operators.spread import same_keys
+from claimstream.operators.spread import same_keys, spread_lookup
 from claimstream.schemas import CLAIM
 from claimstream.session import cut, scratch
-from claimstream.sources.readers import keyed_state, snapshot_before
+from claimstream.sources.readers import Slices, keyed_state, snapshot_before
 from claimstream.sources.sinks import (
     FILE_FORMATS,
     as_messages,
@@ -39,18 +40,24 @@ EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 ALL_THEN_STOP = {"availableNow": True}
 
 
-def _per_batch(stream: DataFrame, work, checkpoint: str, trigger: dict) -> StreamingQuery:
+def _per_batch(
+    stream: DataFrame | Slices, parse, work, checkpoint: str, trigger: dict
+) -> StreamingQuery:
+    """Run ``work`` on every batch as ``parse`` makes it; a batch is parsed and kept once."""
+    sliced = isinstance(stream, Slices)
+
     def unless_empty(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        parsed = parse(stream.rows(batch) if sliced else batch).persist()
         try:
-            if not batch.isEmpty():
-                with scratch(batch.sparkSession):
-                    work(batch, batch_id)
+            if not parsed.isEmpty():
+                with scratch(parsed.sparkSession):
+                    work(parsed, batch_id)
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return (
-        stream.writeStream.foreachBatch(unless_empty)
+        (stream.entries if sliced else stream)
+        .writeStream.foreachBatch(unless_empty)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -75,9 +82,11 @@ def score_topic(
     """
     rejected = rejects or f"{checkpoint.rstrip('/')}-rejects"
 
-    def work(batch: DataFrame, batch_id: int) -> None:
+    def parse(batch: DataFrame) -> DataFrame:
         line = F.col("value").cast("string")
-        parsed = batch.select(line.alias("line"), F.inline_outer(F.array(F.from_json(line, CLAIM))))
+        return batch.select(line.alias("line"), F.inline_outer(F.array(F.from_json(line, CLAIM))))
+
+    def work(parsed: DataFrame, batch_id: int) -> None:
         usable = F.col(classifier.TEXT).isNotNull()
         decided = as_messages(classifier.score(model, parsed.where(usable)))
         if fmt in FILE_FORMATS:
@@ -86,11 +95,11 @@ def score_topic(
             publish(decided, fmt, options, encoded=True)
         write_batch(parsed.where(~usable).select("line"), rejected, batch_id)
 
-    return _per_batch(messages, work, checkpoint, trigger)
+    return _per_batch(messages, parse, work, checkpoint, trigger)
 
 
 def metrics_and_sample(
-    messages: DataFrame,
+    messages: DataFrame | Slices,
     id: str,
     out: str,
     checkpoint: str,
@@ -102,41 +111,40 @@ def metrics_and_sample(
 
     ``id`` names a column that is unique per message, such as partition and offset.
     Writes the tables stats, sample, sample_distribution and rejects under ``out``; of the sample
-    the last few versions are kept.
+    the last few versions are kept, the total goes on from the stats of the batch before.
     """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        arrival = F.lit(batch_id).cast("bigint")
-        parsed = ops.stamp(ops.parse_scored(batch, [id])).withColumn("arrival_batch", arrival)
-        parsed = parsed.persist()
+    def parse(batch: DataFrame) -> DataFrame:
+        return ops.stamp(ops.parse_scored(batch, [id]))
+
+    def work(parsed: DataFrame, batch_id: int) -> None:
+        spark = parsed.sparkSession
+        parsed = parsed.withColumn("arrival_batch", F.lit(batch_id).cast("bigint"))
         rows = ops.with_category(parsed)
         drawn = sampling.reservoir(rows, id, k, seed)
         earlier = snapshot_before(spark, f"{out}/sample", batch_id, StructType(drawn.schema.fields))
         sample = sampling.merge_reservoirs(earlier, drawn, id, k).persist()
         totals = snapshot_before(
-            spark, f"{out}/totals", batch_id, StructType().add("total_processed", LongType())
+            spark, f"{out}/stats", batch_id, StructType().add("total_processed", LongType())
         )
         before = (totals.first() or [0])[0]
-        stats = cut(
+        write_state(sample, f"{out}/sample", batch_id)
+        write_batch(sampling.sample_distribution(sample), f"{out}/sample_distribution", batch_id)
+        write_batch(ops.rejects(parsed), f"{out}/rejects", batch_id)
+        stats = (
             ops.quality(ops.confusion(rows))
             .withColumn("reservoir_sample_count", F.lit(sample.count()))
             .withColumn("reservoir_size", F.lit(k))
             .withColumn("total_processed", F.col("batch_size") + F.lit(before))
         )
-        write_state(sample, f"{out}/sample", batch_id)
-        write_batch(sampling.sample_distribution(sample), f"{out}/sample_distribution", batch_id)
-        write_batch(ops.rejects(parsed), f"{out}/rejects", batch_id)
         write_batch(ops.stamp(stats), f"{out}/stats", batch_id)
-        write_state(stats.select("total_processed"), f"{out}/totals", batch_id)
         sample.unpersist()
-        parsed.unpersist()
 
-    return _per_batch(messages, work, checkpoint, trigger)
+    return _per_batch(messages, parse, work, checkpoint, trigger)
 
 
 def positives_in_window(
-    messages: DataFrame,
+    messages: DataFrame | Slices,
     keys: Sequence[str],
     order: Sequence[str],
     out: str,
@@ -153,14 +161,16 @@ def positives_in_window(
     reads and writes the state of its own streams only.
     """
     keys = list(keys)
+    schema = window_state(messages.schema, keys, order)
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        parsed = ops.parse_scored(batch, [*keys, *order]).persist()
+    def parse(batch: DataFrame) -> DataFrame:
+        return ops.parse_scored(batch, [*keys, *order])
+
+    def work(parsed: DataFrame, batch_id: int) -> None:
+        spark = parsed.sparkSession
         bits = parsed.select(
             *keys, *order, S.positive_bit(F.col("predicted_label")).alias("is_positive")
         )
-        schema = window_state(batch.schema, keys, order)
         place = F.struct(*order)
         starts = cut(bits.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("last")))
         state = keyed_state(spark, f"{out}/state", keys, schema, batch_id, starts)
@@ -180,9 +190,8 @@ def positives_in_window(
         write_batch(ops.stamp(stats), f"{out}/stats", batch_id)
         stamped = newest.withColumn("updated_at", F.unix_timestamp())
         write_keyed_state(stamped.select(*schema.fieldNames()), f"{out}/state", batch_id, keys)
-        parsed.unpersist()
 
-    return _per_batch(messages, work, checkpoint, trigger)
+    return _per_batch(messages, parse, work, checkpoint, trigger)
 
 
 def window_state(messages: StructType, keys: Sequence[str], order: Sequence[str]) -> StructType:
@@ -200,7 +209,7 @@ def window_state(messages: StructType, keys: Sequence[str], order: Sequence[str]
 
 
 def similar_and_frequent(
-    messages: DataFrame,
+    messages: DataFrame | Slices,
     id: str,
     out: str,
     checkpoint: str,
@@ -214,8 +223,10 @@ def similar_and_frequent(
     Writes the tables clusters, summary and patterns under ``out``.
     """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        parsed = ops.parse_scored(batch, [id]).persist()
+    def parse(batch: DataFrame) -> DataFrame:
+        return ops.parse_scored(batch, [id])
+
+    def work(parsed: DataFrame, batch_id: int) -> None:
         text = choose_text(F.col("entity_redacted_claim"), F.col("claim"))
         positives = parsed.where(F.col("predicted_label") >= S.THRESHOLD)
         positives = positives.select(id, text.alias("text")).withColumn("_all", F.lit(0))
@@ -230,13 +241,61 @@ def similar_and_frequent(
         write_batch(members, f"{out}/clusters", batch_id)
         write_batch(ops.stamp(counted), f"{out}/summary", batch_id)
         write_batch(ops.stamp(record), f"{out}/patterns", batch_id)
-        parsed.unpersist()
 
-    return _per_batch(messages, work, checkpoint, trigger)
+    return _per_batch(messages, parse, work, checkpoint, trigger)
+
+
+def similar_to_earlier(
+    messages: DataFrame | Slices,
+    id: str,
+    out: str,
+    checkpoint: str,
+    text: Column | None = None,
+    threshold: float = lsh.THRESHOLD,
+    permutations: int = lsh.PERMUTATIONS,
+    trigger: dict = EVERY_15_SECONDS,
+) -> StreamingQuery:
+    """Near-duplicates of each claim among all claims so far, whatever batch they came in.
+
+    The index is keyed state, a row per band and bucket with the claim that came first (the
+    smallest id within a batch) and the number of claims.  A batch reads and writes the rows of
+    its own buckets only.  Writes the table links under ``out``: (band, first_id, id) for every
+    claim of a bucket of two or more; a bucket's first claim gets its own row when the second
+    claim comes.  ``id`` must be unique; claims without words are in no bucket.
+    """
+    chosen = choose_text(F.col("entity_redacted_claim"), F.col("claim")) if text is None else text
+    bands, rows = lsh.bands_for(threshold, permutations)
+    bucket = ["band", "bucket"]
+    schema = StructType().add("band", IntegerType()).add("bucket", StringType())
+    schema = schema.add("first_id", messages.schema[id].dataType).add("claims", LongType())
+
+    def parse(batch: DataFrame) -> DataFrame:
+        return ops.parse_scored(batch, [id])
+
+    def work(parsed: DataFrame, batch_id: int) -> None:
+        signed = lsh.signatures(parsed, id, chosen, (), permutations)
+        placed = cut(lsh.buckets(signed, id, (), bands, rows))
+        new = cut(placed.groupBy(*bucket).agg(F.min(id).alias("_new_id"), F.count("*").alias("_new")))
+        held = keyed_state(parsed.sparkSession, f"{out}/index", bucket, schema, batch_id, new)
+        index = cut(
+            same_keys(new, held, bucket, "left").select(
+                *bucket,
+                F.coalesce("first_id", "_new_id").alias("first_id"),
+                F.coalesce("claims", F.lit(0)).alias("_before"),
+                (F.coalesce("claims", F.lit(0)) + F.col("_new")).alias("claims"),
+            )
+        )
+        shared = index.where("claims > 1").select(*bucket, "first_id")
+        late = index.where("_before = 1").select("band", "first_id", F.col("first_id").alias(id))
+        links = spread_lookup(placed, shared, bucket, id).select("band", "first_id", id)
+        write_batch(links.unionByName(late), f"{out}/links", batch_id)
+        write_keyed_state(index.select(*schema.fieldNames()), f"{out}/index", batch_id, bucket)
+
+    return _per_batch(messages, parse, work, checkpoint, trigger)
 
 
 def to_table(
-    messages: DataFrame,
+    messages: DataFrame | Slices,
     out: str | None,
     checkpoint: str,
     keep: Sequence[str] = (),
@@ -251,11 +310,13 @@ def to_table(
     go to its writer, and ``out`` is None where the options name the table.
     """
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        rows = ops.stamp(ops.parse_scored(batch, keep))
-        write_batch(rows, out, batch_id, fmt, partitions, options)
+    def parse(batch: DataFrame) -> DataFrame:
+        return ops.stamp(ops.parse_scored(batch, keep))
+
+    def work(parsed: DataFrame, batch_id: int) -> None:
+        write_batch(parsed, out, batch_id, fmt, partitions, options)
 
-    return _per_batch(messages, work, checkpoint, trigger)
+    return _per_batch(messages, parse, work, checkpoint, trigger)
 
 
 def without_repeats(
