@@ -8,10 +8,12 @@ kept below kept nodes, and the choice with the highest total over the page is ta
 an ancestor and its descendants cannot contradict each other.
 
 No page says which text is the main one.  The trees learn from at most ``TRAIN_PAGES`` pages
-that mark their article with a tag, in the original form and in forms in which the tag
-is exchanged for a neutral one and furniture that the contract names (menus, notices,
-comments and the like) is put around and into the article with sentences of the page itself.
-There the right answer is known because of where a node came from.
+that mark their article with a tag; where these are fewer, also from pages that mark their main
+part, and then from the node that holds most of a page's running text.  They learn from the original form
+and from forms in which the tag is exchanged for a neutral one and furniture that the
+contract names (menus, notices, comments and the like) is put around and into the article
+with sentences of the page itself.  There the right answer is known because of where a node
+came from.
 
 Defined results: null and empty html give an empty text; markup that is not closed ends with
 what encloses it; a head also ends where something starts that may not stand in it, and
@@ -26,6 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html import escape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -333,17 +336,71 @@ OTHER = (
 # How tags begin that say by themselves that they hold furniture.
 SEMANTIC = ("asi", "hea", "foo", "nav")
 _NAMES = re.compile(r' (?:class|id|role)="[^"]*"')
-_ARTICLE = re.compile(r"<article\b[^>]*>(.*)</article>", re.S | re.I)
+# What marks an article, the surest first.
+_MARKS = tuple(
+    re.compile(pattern, re.S | re.I)
+    for pattern in (
+        r"<(article)\b[^>]*>(.*)</article\s*>",
+        r"<(main)\b[^>]*>(.*)</main\s*>",
+        r"<(\w+)\b[^>]*\brole\s*=\s*[\"']?main\b[^>]*>(.*)</\1\s*>",
+    )
+)
+# Where no mark is: a subtree holds the article with this share of the page's running text.
+DENSE = 0.6
+
+
+def marked_article(html: str) -> tuple[int, str, str, int] | None:
+    """Start, tag, inner html and end of the part of a page that is marked as its article."""
+    for mark in _MARKS:
+        found = mark.search(html)
+        if found:
+            return found.start(), found[1].lower(), found[2], found.end()
+    return None
+
+
+def dense_article(html: str) -> tuple[str, str] | None:
+    """(article, rest) of a page without a mark, as paragraphs and as furniture.
+
+    The article is the deepest node with most of the running text: blocks that hold a sentence
+    mark and are no links.  It is written anew as paragraphs, since it may have no tag of its own.
+    """
+    page = Page(html)
+    blocks = page.blocks()
+    weight = [0] * len(page.nodes)
+    for at, text in blocks:
+        node = page.nodes[at]
+        if re.search(r"[.!?](\s|$)", text) and not node.links * 2 > len(text):
+            weight[at] += len(text)
+    for i in range(len(weight) - 1, 0, -1):
+        weight[page.nodes[i].parent] += weight[i]
+    if not weight or not weight[0]:
+        return None
+    top = max(i for i, w in enumerate(weight) if w >= DENSE * weight[0])
+    inside = [False] * len(weight)
+    for i, node in enumerate(page.nodes):
+        inside[i] = i == top or (node.parent >= 0 and inside[node.parent])
+    article = "".join(f"<p>{escape(t)}</p>" for n, t in blocks if inside[n])
+    return article, "".join(f"<div>{escape(t)}</div>" for n, t in blocks if not inside[n])
 
 
 def training_pages(html: str, seed: int) -> Iterator[str]:
-    """The page with its article marked by origin, and three forms with other furniture."""
-    found = _ARTICLE.search(html)
-    if not found:
-        return
-    draw = np.random.default_rng(seed)
-    before, inner, after = html[: found.start()], found[1], html[found.end() :]
-    yield f'{before}<article data-origin="main">{inner}</article>{after}'
+    """The page with its article marked by origin, and three forms with other furniture.
+
+    A page without a mark counts with its densest part as its article; a page without
+    running text teaches nothing.
+    """
+    draw, found = np.random.default_rng(seed), marked_article(html)
+    if found:
+        start, name, inner, end = found
+        before, after = html[:start], html[end:]
+        yield f'{before}<{name} data-origin="main">{inner}</{name}>{after}'
+    else:
+        dense = dense_article(html)
+        if dense is None:
+            return
+        inner, rest = dense
+        before, after = "<body>", rest + "</body>"
+        yield f'{before}<div data-origin="main">{inner}</div>{after}'
     forms = inner.split("<p>")
     plain = [t for _, t in Page(inner).blocks()]
     sentences = [s.strip() for t in plain for s in re.split(r"(?<=[.!?])\s", t) if s.strip()] or ["x"]
@@ -374,7 +431,7 @@ def training_pages(html: str, seed: int) -> Iterator[str]:
 
 
 def fit(htmls: list[str]) -> Extractor | None:
-    """Trees from pages that mark their article; none of them, no extractor."""
+    """Trees from pages that mark their article or have running text; none of them, no extractor."""
     pages = []
     for html in htmls:
         pages += [Page(h) for h in training_pages(html, zlib.crc32(html.encode()))]
@@ -398,13 +455,20 @@ def fit(htmls: list[str]) -> Extractor | None:
 def train(pages: DataFrame, id: str, html: str) -> Extractor | None:
     """An extractor from a bounded number of pages, drawn by a hash.
 
-    The draw is made on the hashes alone; only the drawn pages travel to the driver.
+    Pages that mark an article, as ``<article>`` in any case, come first, then those that mark
+    their main part, then the others.  The draw is made on the hashes alone; only the drawn pages
+    travel to the driver.
     """
-    marked = pages.where(F.contains(F.col(html), F.lit("<article"))).select(
-        F.xxhash64(id, html).alias("_key"), F.col(html).alias("html")
+    text = F.col(html)
+    article = F.regexp_like(text, F.lit("(?i)<article[^a-z0-9-]"))
+    main = F.regexp_like(text, F.lit("(?i)<main[^a-z0-9-]|<[^>]*role *= *[\"']?main"))
+    keyed = pages.where(text.isNotNull()).select(
+        F.when(article, 0).when(main, 1).otherwise(2).alias("_level"),
+        F.xxhash64(id, html).alias("_key"),
+        text.alias("html"),
     )
-    drawn = marked.select("_key").orderBy("_key").limit(TRAIN_PAGES).distinct()
-    rows = marked.join(F.broadcast(drawn), "_key").dropDuplicates(["_key"]).collect()
+    drawn = keyed.select("_level", "_key").orderBy("_level", "_key").limit(TRAIN_PAGES).select("_key").distinct()
+    rows = keyed.join(F.broadcast(drawn), "_key").dropDuplicates(["_key"]).select("_key", "html").collect()
     return fit([r["html"] for r in sorted(rows)])
 
 

@@ -120,7 +120,7 @@ def test_quality_and_language_give_every_row(spark, folder):
         assert r.lang_pred == "und" or 0 < r.score <= 1
 
 
-def test_pages_without_any_article(spark, folder):
+def test_pages_without_running_text(spark, folder):
     got = QUERIES["op7_html"](spark, folder)
     assert rows_of(got, "page_id", "text", "n_chars") == [(1, "", 0), (2, "", 0), (3, "", 0), (3, "", 0)]
 
