@@ -12,6 +12,9 @@ NOT_TOKEN_CHARACTER = r"(?U)[^\p{L}\p{N}_\s<>]"
 WHITESPACE = r"(?U)\s+"
 ENTITY_MARK = "<ENTITY>"
 
+# A character that hardly any text has: it stands for the entities already found in a text.
+STAND_IN = "\ue000"
+
 # Default entity rule: one or more capitalised words in a row, or a number.
 ENTITY_PATTERN = r"\p{Lu}[\p{L}\p{N}]+(?: \p{Lu}[\p{L}\p{N}]+)*|[0-9]+"
 
@@ -62,14 +65,17 @@ def redact(text: Column, entities: Column) -> Column:
     """Replace every occurrence of each entity, the longest entity first.
 
     Entities of one length go in alphabetical order; null and empty ones are passed over.
-    The text is cut at each entity in turn and joined with marks at the end, so that a
-    short entity such as "E" cannot rewrite the letters of a mark.
+    Each entity in turn becomes a character the text does not have, which becomes the mark at the
+    end, so that a short entity such as "E" cannot rewrite the letters of a mark.  A text that
+    has the character itself is cut at each entity and joined with marks instead.
     """
     named = F.filter(entities, lambda e: e.isNotNull() & (e != ""))
     ordered = F.transform(
         F.sort_array(F.transform(named, lambda e: F.struct(-F.length(e), e.alias("entity")))),
         lambda pair: pair["entity"],
     )
+    none = F.array().cast("array<string>")
+    ordered = F.coalesce(ordered, none)
 
     def cut_at(parts: Column, entity: Column) -> Column:
         literal = F.concat(
@@ -77,9 +83,14 @@ def redact(text: Column, entities: Column) -> Column:
         )
         return F.flatten(F.transform(parts, lambda part: F.split(part, literal, -1)))
 
-    none = F.array().cast("array<string>")
-    parts = F.aggregate(F.coalesce(ordered, none), F.array(text), cut_at)
-    return F.when(text.isNotNull(), F.array_join(parts, ENTITY_MARK))
+    stand_in = F.lit(STAND_IN)
+    parts = F.aggregate(ordered, F.array(text), cut_at)
+    # An entity with the character is not in the text, and must not arise there.
+    possible = F.filter(ordered, lambda e: ~F.contains(e, stand_in))
+    replaced = F.aggregate(possible, text, lambda done, e: F.replace(done, e, stand_in))
+    return F.when(F.contains(text, stand_in), F.array_join(parts, ENTITY_MARK)).when(
+        text.isNotNull(), F.replace(replaced, stand_in, F.lit(ENTITY_MARK))
+    )
 
 
 def redact_by_rule(text: Column, pattern: str = ENTITY_PATTERN) -> Column:

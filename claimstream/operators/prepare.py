@@ -14,6 +14,9 @@ LABEL_CLASS = {"SUPPORTS": 0, "REFUTES": 1, "NOT ENOUGH INFO": 1}
 
 WORD = r"(?U)[\p{L}\p{N}]+"
 
+# The words of a dictionary are copied so often where they are not broadcast: frequent words spread.
+SLICES = 8
+
 
 def label_class(label: Column) -> Column:
     """0 or 1 for a known corpus label, null for any other."""
@@ -78,41 +81,39 @@ def dictionary_entities(claims: DataFrame, names: DataFrame, id: str, text: str)
     ``names`` has one column, ``entity``.  Names and texts are cut into words by one rule, so
     punctuation and spacing do not matter; of a match the text's own spelling is listed.
 
-    A name is looked up by its rarest word alone, once per text that has it, and compared where that
-    word stands: the length of a name costs nothing where its rarest word is missing.  A
-    text and the names it may hold meet once.
+    A name is looked up by its rarest word alone, wherever a text has that word, and compared
+    there: the length of a name costs nothing where its rarest word is missing.  Only words that some
+    name has leave their text, with their places, so what is looked up grows with the matches and not
+    with the texts.  A text and the places of the names it may hold meet once.
     """
     texts = claims.select(
         id, _words(F.col(text)).alias("_words"), F.split(text, WORD, -1).alias("_gaps")
     )
     # The outer explode keeps the optimizer from cutting every text a second time.
-    listed = texts.select(id, F.explode_outer(F.array_distinct("_words")).alias("word"))
-    listed = cut(listed.where(F.col("word").isNotNull()))
+    placed = texts.select(id, F.posexplode_outer("_words").alias("place", "word"))
+    placed = placed.withColumn("_slice", F.pmod(F.xxhash64(id), F.lit(SLICES)))
+    named = names.select(F.explode(_words(F.col("entity"))).alias("word")).distinct()
+    copies = named.select("word", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)).cast("array<bigint>")).alias("_slice"))
+    listed = cut(placed.join(copies, ["word", "_slice"], "left_semi").drop("_slice"))
     uses = listed.groupBy("word").agg(F.count("*").alias("uses"))
     index = name_index(names, uses)
-    maybe = spread_lookup(listed, index, ["word"], id)
-    asked = maybe.groupBy(id).agg(F.collect_set(F.struct("word", "name", "at")).alias("_names"))
-    places = F.sequence(F.lit(0), F.size("_words") - 1)
+    maybe = spread_lookup(listed, index, ["word"], id).where("place >= at")
+    asked = maybe.groupBy(id).agg(
+        F.collect_set(F.struct((F.col("place") - F.col("at")).alias("start"), "name")).alias("_names")
+    )
+
+    def stands(name: Column) -> Column:
+        return F.slice("_words", name["start"] + 1, F.size(name["name"])) == name["name"]
 
-    def spelled(name: Column, place: Column) -> Column:
-        start, n = place - name["at"], F.size(name["name"])
+    def spelled(name: Column) -> Column:
+        start, n = name["start"], F.size(name["name"])
         parts = F.transform(
             F.slice("_words", start + 1, n),
             lambda word, j: F.when(j == 0, word).otherwise(F.concat(F.get("_gaps", start + j), word)),
         )
         return F.array_join(parts, "")
 
-    def found(name: Column) -> Column:
-        start, n = (lambda p: p - name["at"]), F.size(name["name"])
-        inside = F.filter(
-            places,
-            lambda p: (F.get("_words", p) == name["word"])
-            & (start(p) >= 0)
-            & F.when(start(p) >= 0, F.slice("_words", start(p) + 1, n) == name["name"]),
-        )
-        return F.transform(inside, lambda p: spelled(name, p))
-
-    entities = F.array_distinct(F.flatten(F.transform("_names", found)))
+    entities = F.array_distinct(F.transform(F.filter("_names", stands), spelled))
     return texts.join(asked, id).select(id, entities.alias("entities")).where(F.size("entities") > 0)
 
 

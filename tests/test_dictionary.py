@@ -44,3 +44,11 @@ def test_no_span_per_position_in_the_plan(spark):
     found = prepare.dictionary_entities(claims, names, "id", "claim")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < 20000 and "n199" not in plan.replace("LocalRelation", "")
+
+
+def test_only_words_of_names_leave_their_text(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(prepare, "cut", lambda df: kept.append(df) or df)
+    rows = [(1, "one Old two Town " + "many more words " * 50), (2, "Old Town"), (3, "none of them")]
+    assert listed(spark, rows, ["Old Town"]) == {2: ["Old Town"]}
+    assert sorted((r.id, r.word) for r in kept[0].collect()) == [(1, "Old"), (1, "Town"), (2, "Old"), (2, "Town")]

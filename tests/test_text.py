@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimstream.functions.text import (
+    STAND_IN,
     choose_text,
     find_entities,
     redact,
@@ -150,3 +151,20 @@ def test_patterns_count_repeats_and_break_ties(spark):
     record = {r.source: r.patterns for r in pattern_record(df, F.col("text"), ["source"], 2).collect()}
     assert [tuple(p) for p in record["s"]] == [("b c d", 2), ("a c d", 1)]
     assert [tuple(p) for p in record["t"]] == [("a c d", 1)]
+
+
+def test_redact_a_text_that_has_the_stand_in(spark):
+    own = STAND_IN
+    rows = [
+        (f"a{own}b ab", ["b", "a"]),
+        ("axb", [f"a{own}b", "x"]),
+        (f"a{own}b axb", [f"a{own}b", "x"]),
+        ("no entity", []),
+    ]
+    found = spark.createDataFrame(rows, "t string, e array<string>").select(redact(F.col("t"), F.col("e")))
+    assert [r[0] for r in found.collect()] == [
+        f"<ENTITY>{own}<ENTITY> <ENTITY><ENTITY>",
+        "a<ENTITY>b",
+        "<ENTITY> a<ENTITY>b",
+        "no entity",
+    ]
