@@ -11,11 +11,13 @@ similar claim of the claims one asks about.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from claimstream.functions.hashing import PRIME, permutation, small_hash
 from claimstream.functions.text import word_ngrams
@@ -54,22 +56,40 @@ def signatures(
 ) -> DataFrame:
     """MinHash signature of the word n-grams of each claim.
 
-    A claim's n-grams lie in one task, so the partial minima leave it as a single row.
+    A claim's n-grams lie in one task, so the partial minima leave it as a row per Arrow batch.
     A claim with fewer than n words has its words as its only n-gram; without words it
     has no signature.
     """
-    grams = word_ngrams(claims, [*scope, id], text, n, short=True)
-    hashed = grams.select(*scope, id, small_hash(F.col("pattern")).alias("_hash"))
-    minima = []
-    for i in range(permutations):
-        a, b = permutation(i)
-        minima.append(F.min((F.col("_hash") * a + b) % PRIME).alias(f"_min{i}"))
-    rows = hashed.groupBy(*scope, id).agg(*minima)
-    return rows.select(
-        *scope, id, F.array(*[f"_min{i}" for i in range(permutations)]).alias("signature")
+    keys = [*scope, id]
+    rows = claims.withColumn("_row", F.monotonically_increasing_id())
+    grams = word_ngrams(rows, [*keys, "_row"], text, n, short=True)
+    hashed = grams.select(*keys, "_row", small_hash(F.col("pattern")).alias("_hash"))
+    drawn = [permutation(i) for i in range(permutations)]
+    schema = StructType([*[hashed.schema[k] for k in keys], StructField("_minima", ArrayType(LongType()))])
+    parts = hashed.mapInArrow(lambda batches: _minima(batches, drawn), schema)
+    least = [F.min(F.get("_minima", F.lit(i))).alias(f"_min{i}") for i in range(permutations)]
+    return parts.groupBy(*keys).agg(*least).select(
+        *keys, F.array(*[f"_min{i}" for i in range(permutations)]).alias("signature")
     )
 
 
+def _minima(batches: Iterator[pa.RecordBatch], drawn: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """The least permuted hashes of each run of rows of one claim."""
+    factors, offsets = np.array(drawn, np.int64).T
+    for batch in batches:
+        if not len(batch):
+            continue
+        row, hashes = (batch.column(c).to_numpy() for c in ("_row", "_hash"))
+        starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        permuted = hashes[:, None] * factors + offsets
+        permuted -= permuted // PRIME * PRIME
+        least = np.minimum.reduceat(permuted, starts, axis=0)
+        ends = np.arange(0, least.size + 1, len(drawn), dtype=np.int32)
+        keys = [batch.column(c).take(pa.array(starts)) for c in range(batch.num_columns - 2)]
+        names = [*batch.schema.names[:-2], "_minima"]
+        yield pa.RecordBatch.from_arrays([*keys, pa.ListArray.from_arrays(ends, least.ravel())], names=names)
+
+
 def buckets(
     signed: DataFrame, id: str, scope: Sequence[str] = (), bands: int = 8, rows: int = 8
 ) -> DataFrame:

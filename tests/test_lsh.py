@@ -1,8 +1,10 @@
+import hashlib
 import random
 import re
 
 from pyspark.sql import functions as F
 
+from claimstream.functions.hashing import PRIME, permutation
 from claimstream.operators import lsh
 from claimstream.operators.spread import spread_lookup
 
@@ -132,3 +134,17 @@ def test_spread_lookup_equals_a_join(spark):
     expected = big.join(small, "k").select("id", "k", "v")
     got = spread_lookup(big, small, ["k"], "id").select("id", "k", "v")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_signature_of_a_claim_longer_than_a_batch(spark):
+    words = [f"w{i * i % 5003}" for i in range(25_000)]
+    claims = spark.createDataFrame([("s", 1, " ".join(words)), ("t", 1, "one two"), ("t", 2, None)], "scope string, id int, claim string")
+    signed = lsh.signatures(claims, "id", F.col("claim"), ["scope"], permutations=5)
+    grams = {"s": {" ".join(words[k : k + 3]) for k in range(len(words) - 2)}, "t": {"one two"}}
+    hashes = {s: [int(hashlib.md5(g.encode()).hexdigest()[:7], 16) for g in them] for s, them in grams.items()}
+    drawn = [permutation(i) for i in range(5)]
+    assert {(r.scope, r.id, *r.signature) for r in signed.collect()} == {
+        (s, 1, *(min((a * h + b) % PRIME for h in hashes[s]) for a, b in drawn)) for s in "st"
+    }
+    # The permuted hashes are taken in arrays, before any aggregate.
+    assert "MapInArrow" in signed._jdf.queryExecution().executedPlan().toString()
