@@ -58,10 +58,14 @@ def _next_reset(starts: np.ndarray, held: np.ndarray) -> np.ndarray:
     return found
 
 
-def _window_view(chunk: pa.Table, window: int):
-    """Exact count, whether a one leaves, and the count before, at the chunk's own rows."""
-    first = pc.sum(chunk["_carried"]).as_py()
-    bits = chunk["_bit"].to_numpy()
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of every run of equal values."""
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(edges[:-1], edges[1:]))
+
+
+def _window_view(bits: np.ndarray, first: int, window: int):
+    """Exact count, whether a one leaves, and the count before, at a chunk's own rows, from ``first`` on."""
     ones = np.concatenate([[0], np.cumsum(bits)])
     at = np.arange(first, len(bits))
     out = np.maximum(at - window, 0)
@@ -70,13 +74,13 @@ def _window_view(chunk: pa.Table, window: int):
     return exact, leaves, ones[at] - ones[out]
 
 
-def _exit_table(chunk: pa.Table, window: int) -> list[int]:
+def _exit_table(bits: np.ndarray, first: int, window: int) -> list[int]:
     """Overhang at exit of a chunk for every overhang at entry.
 
     An overhang never exceeds the window count.  Entries that cannot occur are kept
     within that bound too, so that tables can be chained without a special case.
     """
-    exact, leaves, held = _window_view(chunk, window)
+    exact, leaves, held = _window_view(bits, first, window)
     highest, left = int(held[0]), int(leaves.sum())
     starts = np.arange(-highest, left + 1)
     hop = _next_reset(starts, held[leaves])
@@ -87,9 +91,9 @@ def _exit_table(chunk: pa.Table, window: int) -> list[int]:
     return np.minimum(exits, exact[-1]).tolist()
 
 
-def _estimates(chunk: pa.Table, overhang: int, window: int):
-    """Exact count and estimate at the chunk's own rows."""
-    exact, leaves, held = _window_view(chunk, window)
+def _estimates(bits: np.ndarray, first: int, overhang: int, window: int):
+    """Exact count and estimate at a chunk's own rows, from ``first`` on."""
+    exact, leaves, held = _window_view(bits, first, window)
     held = held[leaves]
     following = _next_reset(np.arange(len(held) + 1), held)
     resets = [-overhang]
@@ -107,38 +111,43 @@ def continued(recent: np.ndarray, bits: np.ndarray, overhang: int, window: int)
 
     ``recent`` holds the last ``window`` bits before the new ones, or all there were.
     """
-    carried = np.arange(len(recent) + len(bits)) < len(recent)
-    chunk = pa.table({"_bit": np.concatenate([recent, bits]), "_carried": carried})
-    return _estimates(chunk, overhang, window)
+    return _estimates(np.concatenate([recent, bits]), len(recent), overhang, window)
 
 
 def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan: int) -> DataFrame:
     """Overhang at entry of every chunk, from the exit tables and the overhang at the start.
 
     Neighbouring tables are chained into one until few are left per stream; the entry of
-    each group of chunks is then handed down to its members.  No task sees more than
-    ``fan`` tables of a stream.
+    each group of chunks is then handed down to its members.  Of a stream no task sees more than
+    ``fan`` tables, or several groups of them up to ``FAN`` tables.
     """
     key_fields = [tables.schema[k] for k in keys]
     chunk_field = StructField("_chunk", LongType())
     grouped = tables.withColumn("_group", F.floor(F.col("_chunk") / fan).cast("bigint"))
+    pack = F.floor(F.col("_group") / max(1, FAN // fan)).alias("_pack")
 
     def combine(section: pa.Table) -> pa.Table:
         section = _utc(section).sort_by("_chunk")
-        chained = None
-        for table in section["_table"]:
-            table = np.array(table.as_py(), np.int64)
-            # The last chunk of a stream has no table, and needs none.
-            chained = table if chained is None or not len(table) else table[chained]
-        one = section.slice(0, 1).select([*keys, "_group"]).rename_columns([*keys, "_chunk"])
-        return one.append_column("_table", pa.array([chained.tolist()], pa.list_(pa.int64())))
+        tables, firsts, chains = section["_table"].to_pylist(), [], []
+        for a, b in _runs(section["_group"].to_numpy()):
+            chained = None
+            for table in tables[a:b]:
+                table = np.array(table, np.int64)
+                # The last chunk of a stream has no table, and needs none.
+                chained = table if chained is None or not len(table) else table[chained]
+            firsts.append(a)
+            chains.append(chained.tolist())
+        ones = section.select([*keys, "_group"]).take(pa.array(firsts)).rename_columns([*keys, "_chunk"])
+        return ones.append_column("_table", pa.array(chains, pa.list_(pa.int64())))
 
     def hand_down(section: pa.Table) -> pa.Table:
         section = _utc(section).sort_by("_chunk")
-        overhang, entries = section["_start"][0].as_py(), []
-        for table in section["_table"]:
-            entries.append(overhang)
-            overhang = table[overhang].as_py() if len(table) else None
+        tables, starts, entries = section["_table"].to_pylist(), section["_start"].to_pylist(), []
+        for a, b in _runs(section["_group"].to_numpy()):
+            overhang = starts[a]
+            for table in tables[a:b]:
+                entries.append(overhang)
+                overhang = table[overhang] if table else None
         return section.select([*keys, "_chunk"]).append_column(
             "_overhang", pa.array(entries, pa.int64())
         )
@@ -147,7 +156,7 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         schema = StructType(
             [*key_fields, chunk_field, StructField("_table", ArrayType(LongType()))]
         )
-        upper = cut(grouped.groupBy(*keys, "_group").applyInArrow(combine, schema))
+        upper = cut(grouped.groupBy(*keys, pack).applyInArrow(combine, schema))
         above = _entry_overhangs(upper, keys, start, fan).withColumnsRenamed(
             {"_chunk": "_group", "_overhang": "_start"}
         )
@@ -155,7 +164,7 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
     else:
         ready = same_keys(grouped, start, keys)
     schema = StructType([*key_fields, chunk_field, StructField("_overhang", LongType())])
-    return ready.groupBy(*keys, "_group").applyInArrow(hand_down, schema)
+    return ready.groupBy(*keys, pack).applyInArrow(hand_down, schema)
 
 
 def dgim(
@@ -199,21 +208,35 @@ def dgim(
         ]
     )
 
+    # Small chunks are worked on several at a time, up to the rows of one of ordinary size.
+    pack = F.floor(F.col("_chunk") / max(1, CHUNK_ROWS // chunk_rows)).cast("bigint").alias("_pack")
+
+    def in_order(section: pa.Table) -> tuple[pa.Table, list, np.ndarray, np.ndarray]:
+        section = _utc(section).sort_by([("_chunk", "ascending"), ("pos", "ascending")])
+        runs = _runs(section["_chunk"].to_numpy())
+        return section, runs, section["_carried"].to_numpy(), section["_bit"].to_numpy()
+
     def tabulate(section: pa.Table) -> pa.Table:
-        section = _utc(section).sort_by("pos")
-        one = section.slice(0, 1).select(chunk)
-        if pc.all(section["_carried"]).as_py():
-            return one.slice(0, 0).append_column("_table", pa.array([], pa.list_(pa.int64())))
-        own = section.num_rows - pc.sum(section["_carried"]).as_py()
-        found = _exit_table(section, window) if own == chunk_rows else []
-        table = pa.array([found], pa.list_(pa.int64()))
-        return one.append_column("_table", table)
+        section, runs, carried, bits = in_order(section)
+        places, tables = [], []
+        for a, b in runs:
+            first = int(carried[a:b].sum())
+            if first < b - a:
+                places.append(a)
+                tables.append(_exit_table(bits[a:b], first, window) if b - a - first == chunk_rows else [])
+        ones = section.select(chunk).take(pa.array(places, pa.int64()))
+        return ones.append_column("_table", pa.array(tables, pa.list_(pa.int64())))
 
     def replay(section: pa.Table, entered: pa.Table) -> pa.Table:
-        section = _utc(section).sort_by("pos")
+        section, runs, carried, bits = in_order(section)
         own = section.filter(pc.invert(section["_carried"]))
-        overhang = entered["at__overhang"][0].as_py() if own.num_rows else 0
-        exact, estimate = _estimates(section, overhang, window)
+        starts = dict(zip(entered["at__chunk"].to_pylist(), entered["at__overhang"].to_pylist()))
+        chunks, counts = section["_chunk"].to_numpy(), []
+        for a, b in runs:
+            first = int(carried[a:b].sum())
+            if first < b - a:
+                counts.append(_estimates(bits[a:b], first, starts[chunks[a]], window))
+        exact, estimate = np.concatenate(counts, axis=1) if counts else np.empty((2, 0), np.int64)
         return (
             own.select(returned)
             .append_column("exact", pa.array(exact, pa.int64()))
@@ -224,10 +247,10 @@ def dgim(
         [*key_fields, StructField("_chunk", LongType()), StructField("_table", ArrayType(LongType()))]
     )
     narrow = laid.select(*chunk, "pos", "_bit", "_carried")
-    tables = cut(narrow.groupBy(*chunk).applyInArrow(tabulate, schema))
+    tables = cut(narrow.groupBy(*keys, pack).applyInArrow(tabulate, schema))
     entry = _entry_overhangs(tables, keys, start, fan)
-    entry = entry.select(*[F.col(c).alias(f"at_{c}") for c in [*chunk, "_overhang"]])
-    together = laid.groupBy(*chunk).cogroup(entry.groupBy(*[f"at_{c}" for c in chunk]))
+    entry = entry.withColumn("_pack", pack).select(*[F.col(c).alias(f"at_{c}") for c in [*chunk, "_overhang", "_pack"]])
+    together = laid.groupBy(*keys, pack).cogroup(entry.groupBy(*[f"at_{c}" for c in [*keys, "_pack"]]))
     return together.applyInArrow(replay, result_schema).drop("_bit")
 
 

@@ -129,3 +129,12 @@ def test_columns_come_back_unchanged_in_any_time_zone(spark):
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_small_chunks_share_a_call(spark):
+    """Chunks far smaller than usual are grouped many to a call of a worker, in every step."""
+    rows = spark.range(400).select(F.lit("k").alias("k"), "id", (F.col("id") % 3 == 0).cast("int").alias("bit"))
+    found = dgim(rows, ["k"], ["id"], "bit", window=4, chunk_rows=4, fan=3)
+    calls = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FlatMap" in line]
+    assert calls and all("_pack" in line for line in calls)
+    assert all(r.exact == sum(i % 3 == 0 for i in range(max(0, r.id - 3), r.id + 1)) for r in found.collect())
