@@ -32,7 +32,15 @@ def classifier(features: int = FEATURES) -> Pipeline:
 
 
 def fit(train: DataFrame, features: int = FEATURES) -> PipelineModel:
-    return classifier(features).fit(train)
+    """The trained stages.  The texts are cut and hashed once: the counts are kept while they are learned from."""
+    tokenizer, hashing, idf, regression = classifier(features).getStages()
+    counts = hashing.transform(tokenizer.transform(train)).select("label", "word_counts").persist()
+    try:
+        weights = idf.fit(counts)
+        learned = regression.fit(weights.transform(counts))
+    finally:
+        counts.unpersist()
+    return PipelineModel(stages=[tokenizer, hashing, weights, learned])
 
 
 def accuracy(model: PipelineModel, held_out: DataFrame) -> float:

@@ -350,10 +350,10 @@ def dgim_buckets(spark: SparkSession, folder: str) -> DataFrame:
 # --- the classifier ---------------------------------------------------------------
 
 
-def _prepared(spark: SparkSession, folder: str) -> DataFrame:
-    """The redacted claims as a written table: training reads them many times."""
+def _prepared(spark: SparkSession, folder: str, labelled_only: bool = False) -> DataFrame:
+    """The redacted claims as a written table: training reads them more than once."""
     path = fresh_path(spark, "prepared")
-    sinks.write_table(views.claims(spark, folder, labelled_only=False), path, "parquet")
+    sinks.write_table(views.claims(spark, folder, labelled_only), path, "parquet")
     return sampling.split(spark.read.parquet(path), "id")
 
 
@@ -375,7 +375,7 @@ def train_eval(spark: SparkSession, folder: str) -> DataFrame:
 
     The accuracy itself is learned, which SQL cannot express; ``model_accuracy`` has it.
     """
-    claims = _labelled(_prepared(spark, folder))
+    claims = _labelled(_prepared(spark, folder, labelled_only=True))
     held_out = claims.where(~F.col("is_train"))
     right = classifier.accuracy(_fit(claims), held_out)
     guess = F.avg(F.when(~F.col("is_train"), F.col("label").cast("double")))
@@ -399,7 +399,7 @@ def score_claims(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def model_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out accuracy of the classifier beside that of always choosing the commoner class."""
-    claims = _labelled(_prepared(spark, folder))
+    claims = _labelled(_prepared(spark, folder, labelled_only=True))
     held_out = claims.where(~F.col("is_train"))
     right = classifier.accuracy(_fit(claims), held_out)
     guess = F.avg(F.col("label").cast("double"))
@@ -421,7 +421,7 @@ def claim_predictions(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def feature_weights(spark: SparkSession, folder: str) -> DataFrame:
     """The 30 features of largest weight, their weights and directions."""
-    return _top(spark, _prepared(spark, folder))
+    return _top(spark, _prepared(spark, folder, labelled_only=True))
 
 
 @query
@@ -439,7 +439,7 @@ def influence_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     """The 30 features of largest weight, by rank; the weights are learned, their order is not."""
-    return _ranked(_top(spark, _prepared(spark, folder)), "importance")
+    return _ranked(_top(spark, _prepared(spark, folder, labelled_only=True)), "importance")
 
 
 def _ranked(rows: DataFrame, weight: str, *by: str) -> DataFrame:
@@ -472,7 +472,7 @@ def feature_words(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _feature_words(spark: SparkSession, folder: str) -> DataFrame:
-    claims = _labelled(_prepared(spark, folder))
+    claims = _labelled(_prepared(spark, folder, labelled_only=True))
     return classifier.feature_words(_top(spark, claims), classifier.vocabulary(claims))
 
 

@@ -77,3 +77,17 @@ def test_term_weights(spark):
     df = spark.createDataFrame([(1, "a b b"), (2, "a")], "id int, text string")
     got = {r.word: (r.doc_freq, round(r.idf, 6)) for r in classifier.term_weights(df, "text").collect()}
     assert got == {"a": (2, 0.0), "b": (1, 0.405465)}
+
+
+def test_texts_are_hashed_once_for_training(spark, claims):
+    """Tokens of a text are taken once, however many passes the stages make over the counts."""
+    taken = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        taken.add(1)
+        return text
+
+    counted = F.udf(seen, "string").asNondeterministic()
+    watched = claims.withColumn(classifier.TEXT, counted(classifier.TEXT))
+    classifier.fit(watched, features=500)
+    assert taken.value == claims.count()
