@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimstream.functions.text import word_ngrams
+from claimstream.session import cut
+
+# So many rows of hashes are copied to every task; more, as many ties or groups give, are left to the optimizer.
+FEW = 1 << 16
 
 
 def pattern_counts(df: DataFrame, text: Column, by: Sequence[str] = (), n: int = 3) -> DataFrame:
@@ -16,11 +20,32 @@ def pattern_counts(df: DataFrame, text: Column, by: Sequence[str] = (), n: int =
     return grams.groupBy(*by, "pattern").agg(F.count("*").alias("count"))
 
 
+def _frequent(hashed: DataFrame, k: int) -> DataFrame:
+    """(_group, _hash) of the n-grams that are among the k most frequent of their group, ties included.
+
+    Groups and n-grams go by 64-bit hashes, so that none is shuffled as text.  An n-gram is only
+    counted too high where two share a hash, which may let it in.
+    """
+    counts = hashed.groupBy("_group", "_hash").agg(F.count("*").alias("count"))
+    rank = F.rank().over(Window.partitionBy("_group").orderBy(F.col("count").desc()))
+    return cut(counts.withColumn("_rank", rank).where(F.col("_rank") <= k).select("_group", "_hash"))
+
+
 def top_patterns(
     df: DataFrame, text: Column, k: int = 20, by: Sequence[str] = (), n: int = 3
 ) -> DataFrame:
-    """The k most frequent n-grams, per group if asked; ties go alphabetically."""
-    counts = pattern_counts(df, text, by, n)
+    """The k most frequent n-grams, per group if asked; ties go alphabetically.
+
+    The texts are read twice: for the counts by hash, and for the few n-grams that may be listed.
+    """
+    by = list(by)
+    grams = word_ngrams(df, by, text, n)
+    grams = grams.withColumns({"_group": F.xxhash64(*(by or [F.lit(0)])), "_hash": F.xxhash64("pattern")})
+    frequent = _frequent(grams.select("_group", "_hash"), k)
+    if frequent.count() <= FEW:
+        frequent = F.broadcast(frequent)
+    listed = grams.join(frequent, ["_group", "_hash"], "left_semi")
+    counts = listed.groupBy(*by, "pattern").agg(F.count("*").alias("count"))
     order = [F.col("count").desc(), F.col("pattern")]
     if not by:
         return counts.orderBy(*order).limit(k)

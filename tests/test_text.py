@@ -168,3 +168,15 @@ def test_redact_a_text_that_has_the_stand_in(spark):
         "<ENTITY> a<ENTITY>b",
         "no entity",
     ]
+
+
+def test_only_listed_ngrams_are_shuffled_as_text(spark):
+    rows = [(g, f"the same words {i} {i + 1} {i + 2} and the same words") for g in "ab" for i in range(40)]
+    docs = spark.createDataFrame([*rows, ("c", "x y z"), ("c", None)], "g string, t string")
+    top = top_patterns(docs, F.col("t"), 2, ["g"])
+    assert {(r.g, r["rank"], r.pattern, r["count"]) for r in top.collect()} == {
+        *((g, 1, "the same words", 80) for g in "ab"),
+        *((g, 2, "and the same", 40) for g in "ab"),
+        ("c", 1, "x y z", 1),
+    }
+    assert "BroadcastHashJoin" in top._jdf.queryExecution().executedPlan().toString()
