@@ -432,7 +432,7 @@ def _send_shards(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
                     np.array(number, np.uint8).tobytes(),
                     None,
                     shown.tobytes(),
-                    order.astype(np.uint32).tobytes(),
+                    order.astype(np.uint16 if len(order) <= 1 << 16 else np.uint32).tobytes(),
                 )
             )
         yield from _bound(rows, schema)
@@ -466,7 +466,9 @@ def _merge_shards(section: pa.Table) -> pa.Table:
         firsts.append(np.frombuffer(r["starts"], np.uint32).astype(np.int64))
         numbers.append(np.frombuffer(r["sizes"], np.uint8).astype(np.int64))
         symbols.append(np.frombuffer(r["symbols"], np.uint16))
-        rows.append(np.frombuffer(r["rows"], np.uint32).astype(np.int64))
+        # Places take two bytes, as symbols do, unless the transform has more of them than that.
+        narrow = len(r["rows"]) == len(r["symbols"])
+        rows.append(np.frombuffer(r["rows"], np.uint16 if narrow else np.uint32).astype(np.int64))
     place, interval = merge(symbols, WIDTH)
     out_doc, out_at, out_interval = [], [], []
     base = 0

@@ -4,6 +4,7 @@ import random
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -101,6 +102,26 @@ def test_long_texts_are_cut_into_overlapping_pieces(monkeypatch):
     assert windows == set(range(len(text) - bwt.WIDTH + 1))
 
 
+@pytest.mark.parametrize("windows, size", [(3, 2), (700, 4)])
+def test_a_transform_travels_with_places_as_wide_as_it_needs(windows, size):
+    draw = random.Random(8)
+    text = bytes(draw.randrange(97, 123) for _ in range(windows * bwt.WIDTH))
+    starts = np.arange(0, len(text), bwt.WIDTH, dtype=np.uint32)
+    part = {
+        "starts": starts.tobytes(),
+        "sizes": np.ones(windows, np.uint32).tobytes(),
+        "anchors": np.full(windows, 6, np.uint32).tobytes(),
+        "crowded": bytes(windows),
+    }
+    docs = pa.table({"id": [1, 2], "key": [10, 20], "text": [text, text], "parts": [[part], [part]]})
+    sent = pa.Table.from_batches(bwt._send_shards(iter(docs.to_batches()), 1))
+    (row,) = sent.to_pylist()
+    assert len(row["rows"]) == size * len(row["symbols"]) // 2 == size * 2 * windows * (bwt.WIDTH + 1)
+    (found,) = bwt._merge_shards(sent).to_pylist()
+    assert (found["id"], found["text"]) == (2, 20)
+    assert np.frombuffer(found["starts"], np.uint32).tolist() == starts.tolist()
+
+
 def test_shards_are_written_in_slot_order(spark, tmp_path):
     rows = [(i, "x" * (i % 17)) for i in range(200)]
     placed = sharding.assign(spark.createDataFrame(rows, "id bigint, text string"), "id", "text", 5, ("text",))
