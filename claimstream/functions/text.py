@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,16 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(kept, WHITESPACE), lambda word: word != "")
 
 
+def joined_tokens(text: Column) -> Column:
+    """The tokens of a text with one space between them, for texts that are cut more than once."""
+    return F.array_join(tokens(text), " ")
+
+
+def split_joined(joined: Column) -> Column:
+    """What ``tokens`` gave, from what ``joined_tokens`` made of it."""
+    return F.when(joined != "", F.split(joined, " ")).when(joined == "", F.array().cast("array<string>"))
+
+
 def word_ngrams(
     df: DataFrame,
     keep: Sequence[str],
@@ -32,16 +42,18 @@ def word_ngrams(
     n: int = 3,
     out: str = "pattern",
     short: bool = False,
+    words: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """One row per word n-gram of ``text``, repeats included, next to the ``keep`` columns.
 
     With ``short`` a text of fewer words, but not none, gives all its words as one n-gram.
+    ``words`` cuts the text: ``split_joined`` where ``joined_tokens`` made it.
 
     The words are exploded once and each reads its followers from the token array,
     so the whole step stays in generated code.  The outer explode keeps the optimizer
     from adding a second tokenisation as an inferred non-empty filter.
     """
-    words = df.select(*keep, tokens(text).alias("_tokens")).select(
+    words = df.select(*keep, words(text).alias("_tokens")).select(
         *keep, "_tokens", F.posexplode_outer("_tokens").alias("_pos", "_word")
     )
     followers = [F.get("_tokens", F.col("_pos") + i) for i in range(1, n)]

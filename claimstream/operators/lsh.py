@@ -11,7 +11,7 @@ similar claim of the claims one asks about.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from claimstream.functions.hashing import PRIME, permutation, small_hash
-from claimstream.functions.text import word_ngrams
+from claimstream.functions.text import tokens, word_ngrams
 from claimstream.operators.spread import same_keys, spread_lookup
 from claimstream.session import cut
 
@@ -53,6 +53,7 @@ def signatures(
     scope: Sequence[str] = (),
     permutations: int = PERMUTATIONS,
     n: int = 3,
+    words: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """MinHash signature of the word n-grams of each claim.
 
@@ -62,7 +63,7 @@ def signatures(
     """
     keys = [*scope, id]
     rows = claims.withColumn("_row", F.monotonically_increasing_id())
-    grams = word_ngrams(rows, [*keys, "_row"], text, n, short=True)
+    grams = word_ngrams(rows, [*keys, "_row"], text, n, short=True, words=words)
     hashed = grams.select(*keys, "_row", small_hash(F.col("pattern")).alias("_hash"))
     drawn = [permutation(i) for i in range(permutations)]
     schema = StructType([*[hashed.schema[k] for k in keys], StructField("_minima", ArrayType(LongType()))])
@@ -74,16 +75,24 @@ def signatures(
 
 
 def _minima(batches: Iterator[pa.RecordBatch], drawn: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """The least permuted hashes of each run of rows of one claim."""
-    factors, offsets = np.array(drawn, np.int64).T
+    """The least permuted hashes of each run of rows of one claim.
+
+    One permutation at a time, so that its numbers stay in the cache.  PRIME is 2^31 - 1: the high and
+    the low bits of a number below 2^61 add up to its remainder, or to that and PRIME once more.
+    """
+    prime, bits = np.uint64(PRIME), np.uint64(PRIME.bit_length())
+    drawn = [(np.uint64(a), np.uint64(b)) for a, b in drawn]
     for batch in batches:
         if not len(batch):
             continue
         row, hashes = (batch.column(c).to_numpy() for c in ("_row", "_hash"))
         starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        permuted = hashes[:, None] * factors + offsets
-        permuted -= permuted // PRIME * PRIME
-        least = np.minimum.reduceat(permuted, starts, axis=0)
+        hashes, least = hashes.astype(np.uint64), np.empty((len(starts), len(drawn)), np.int64)
+        for i, (factor, offset) in enumerate(drawn):
+            permuted = hashes * factor + offset
+            permuted = (permuted >> bits) + (permuted & prime)
+            # Below PRIME the difference wraps around to a number that is never the smaller one.
+            least[:, i] = np.minimum.reduceat(np.minimum(permuted, permuted - prime), starts)
         ends = np.arange(0, least.size + 1, len(drawn), dtype=np.int32)
         keys = [batch.column(c).take(pa.array(starts)) for c in range(batch.num_columns - 2)]
         names = [*batch.schema.names[:-2], "_minima"]
@@ -113,6 +122,7 @@ def bucket_links(
     scope: Sequence[str] = (),
     threshold: float = THRESHOLD,
     permutations: int = PERMUTATIONS,
+    words: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """(band, first_id, id) for every claim in a bucket of two or more, the first included.
 
@@ -120,7 +130,7 @@ def bucket_links(
     The buckets are checkpointed: they are read twice and cost a pass over all texts.
     """
     bands, rows = bands_for(threshold, permutations)
-    signed = signatures(claims, id, text, scope, permutations)
+    signed = signatures(claims, id, text, scope, permutations, words=words)
     placed = cut(buckets(signed, id, scope, bands, rows))
     key = [*scope, "band", "bucket"]
     shared = (

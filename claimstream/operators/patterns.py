@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimstream.functions.text import word_ngrams
+from claimstream.functions.text import tokens, word_ngrams
 from claimstream.session import cut
 
 # So many rows of hashes are copied to every task; more, as many ties or groups give, are left to the optimizer.
@@ -32,14 +32,19 @@ def _frequent(hashed: DataFrame, k: int) -> DataFrame:
 
 
 def top_patterns(
-    df: DataFrame, text: Column, k: int = 20, by: Sequence[str] = (), n: int = 3
+    df: DataFrame,
+    text: Column,
+    k: int = 20,
+    by: Sequence[str] = (),
+    n: int = 3,
+    words: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """The k most frequent n-grams, per group if asked; ties go alphabetically.
 
     The texts are read twice: for the counts by hash, and for the few n-grams that may be listed.
     """
     by = list(by)
-    grams = word_ngrams(df, by, text, n)
+    grams = word_ngrams(df, by, text, n, words=words)
     grams = grams.withColumns({"_group": F.xxhash64(*(by or [F.lit(0)])), "_hash": F.xxhash64("pattern")})
     frequent = _frequent(grams.select("_group", "_hash"), k)
     if frequent.count() <= FEW:
@@ -54,10 +59,15 @@ def top_patterns(
 
 
 def pattern_record(
-    df: DataFrame, text: Column, by: Sequence[str], k: int = 50, n: int = 3
+    df: DataFrame,
+    text: Column,
+    by: Sequence[str],
+    k: int = 50,
+    n: int = 3,
+    words: Callable[[Column], Column] = tokens,
 ) -> DataFrame:
     """One row per group with its top patterns as an array, most frequent first."""
-    top = top_patterns(df, text, k, by, n)
+    top = top_patterns(df, text, k, by, n, words)
     entries = F.sort_array(F.collect_list(F.struct("rank", "pattern", "count")))
     return top.groupBy(*by).agg(
         F.transform(

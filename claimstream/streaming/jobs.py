@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from claimstream.functions import scored as S
-from claimstream.functions.text import choose_text
+from claimstream.functions.text import choose_text, joined_tokens, split_joined
 from claimstream.operators import classifier, dgim, lsh, patterns, sampling
 from claimstream.operators import scored as ops
 from claimstream.operators.spread import same_keys, spread_lookup
@@ -220,23 +220,26 @@ def similar_and_frequent(
 ) -> StreamingQuery:
     """Near-duplicates and frequent n-grams among the positives of each batch.
 
-    Writes the tables clusters, summary and patterns under ``out``.
+    Writes the tables clusters, summary and patterns under ``out``.  Signatures and both passes of the
+    n-gram counts read the tokens that parsing made: cutting texts by rule costs more than hashing them.
     """
 
     def parse(batch: DataFrame) -> DataFrame:
-        return ops.parse_scored(batch, [id])
+        parsed = ops.parse_scored(batch, [id])
+        text = choose_text(F.col("entity_redacted_claim"), F.col("claim"))
+        positive = F.col("predicted_label") >= S.THRESHOLD
+        return parsed.select(id, positive.alias("_positive"), F.when(positive, joined_tokens(text)).alias("_text"))
 
     def work(parsed: DataFrame, batch_id: int) -> None:
-        text = choose_text(F.col("entity_redacted_claim"), F.col("claim"))
-        positives = parsed.where(F.col("predicted_label") >= S.THRESHOLD)
-        positives = positives.select(id, text.alias("text")).withColumn("_all", F.lit(0))
+        text = F.col("_text")
+        positives = parsed.where("_positive").select(id, "_text").withColumn("_all", F.lit(0))
         links = cut(
-            lsh.bucket_links(positives, id, F.col("text"), ["_all"], threshold, permutations)
+            lsh.bucket_links(positives, id, text, ["_all"], threshold, permutations, split_joined)
         )
         counted = lsh.summary(
             positives, links, id, ["_all"], F.lit(1)
         ).drop("_all")
-        record = patterns.pattern_record(positives, F.col("text"), ["_all"], k).drop("_all")
+        record = patterns.pattern_record(positives, text, ["_all"], k, words=split_joined).drop("_all")
         members = lsh.clusters(links, id, ["_all"]).drop("_all")
         write_batch(members, f"{out}/clusters", batch_id)
         write_batch(ops.stamp(counted), f"{out}/summary", batch_id)

@@ -2,10 +2,12 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from claimstream.functions.hashing import PRIME, permutation
-from claimstream.operators import lsh
+from claimstream.functions.hashing import HASH_RANGE, PRIME, permutation
+from claimstream.functions.text import joined_tokens, split_joined, tokens
+from claimstream.operators import lsh, patterns
 from claimstream.operators.spread import spread_lookup
 
 
@@ -148,3 +150,32 @@ def test_signature_of_a_claim_longer_than_a_batch(spark):
     }
     # The permuted hashes are taken in arrays, before any aggregate.
     assert "MapInArrow" in signed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joined_tokens_give_the_same_words_signatures_and_counts(spark):
+    """Texts cut once and joined are not cut by rule again, and nothing else changes."""
+    odd = [None, "", " \t", "...", "One,  two THREE four", "a b", "<X> _y 1.5\nz", "a b c a b c a b c"]
+    docs = spark.createDataFrame(list(enumerate(odd)), "id int, text string").withColumn(
+        "joined", joined_tokens(F.col("text"))
+    )
+    assert docs.where(~split_joined(F.col("joined")).eqNullSafe(tokens(F.col("text")))).count() == 0
+    made = docs.select("id", "text", "joined").localCheckpoint()
+    read = [
+        lambda text, **words: lsh.signatures(made, "id", F.col(text), **words),
+        lambda text, **words: patterns.pattern_record(made.withColumn("g", F.lit(0)), F.col(text), ["g"], 5, **words),
+    ]
+    for of in read:
+        joined = of("joined", words=split_joined)
+        assert "regexp_replace" not in joined._jdf.queryExecution().analyzed().toString()
+        assert sorted(map(str, joined.collect())) == sorted(map(str, of("text").collect()))
+
+
+def test_permuted_minima_are_exact_at_the_ends_of_their_range():
+    drawn = [(1, PRIME - 5), (1, 0), (PRIME - 1, PRIME - 1), (PRIME - 1, 0), permutation(3)]
+    rows, hashes = [0, 0, 0, 1, 2, 2], [5, 4, 6, 0, HASH_RANGE - 1, HASH_RANGE - 2]
+    batch = pa.RecordBatch.from_pydict({"id": [7, 7, 7, 8, 9, 9], "_row": rows, "_hash": hashes})
+    (got,) = lsh._minima(iter([batch]), drawn)
+    expected = [
+        [min((a * h + b) % PRIME for r, h in zip(rows, hashes) if r == row) for a, b in drawn] for row in range(3)
+    ]
+    assert got.to_pydict() == {"id": [7, 8, 9], "_minima": expected}
