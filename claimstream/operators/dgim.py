@@ -23,23 +23,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from claimstream.operators.positions import CHUNK_ROWS, in_chunks, with_positions
+from claimstream.operators.positions import CHUNK_ROWS, in_chunks, place_pieces, with_positions
+from claimstream.operators.positions import utc as _utc
 from claimstream.operators.spread import same_keys, spread_lookup
 from claimstream.session import cut
 
 FAN = 256
 
 
-def _utc(table: pa.Table) -> pa.Table:
-    """Instants as UTC: they arrive in the session's time zone, but must leave in UTC."""
-    for i, field in enumerate(table.schema):
-        if pa.types.is_timestamp(field.type) and field.type.tz:
-            table = table.set_column(i, field.name, table[i].cast(pa.timestamp("us", "UTC")))
-    return table
-
-
 def _next_reset(starts: np.ndarray, held: np.ndarray) -> np.ndarray:
     """For a reset after the r-th leaving one, the leaving one of the next reset.
 
@@ -114,17 +107,14 @@ def continued(recent: np.ndarray, bits: np.ndarray, overhang: int, window: int)
     return _estimates(np.concatenate([recent, bits]), len(recent), overhang, window)
 
 
-def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan: int) -> DataFrame:
-    """Overhang at entry of every chunk, from the exit tables and the overhang at the start.
-
-    Neighbouring tables are chained into one until few are left per stream; the entry of
-    each group of chunks is then handed down to its members.  Of a stream no task sees more than
-    ``fan`` tables, or several groups of them up to ``FAN`` tables.
-    """
-    key_fields = [tables.schema[k] for k in keys]
-    chunk_field = StructField("_chunk", LongType())
+def _in_groups(tables: DataFrame, fan: int) -> tuple[DataFrame, Column]:
+    """The exit tables with the ``_group`` of ``fan`` neighbours, and what packs groups into one call."""
     grouped = tables.withColumn("_group", F.floor(F.col("_chunk") / fan).cast("bigint"))
-    pack = F.floor(F.col("_group") / max(1, FAN // fan)).alias("_pack")
+    return grouped, F.floor(F.col("_group") / max(1, FAN // fan)).alias("_pack")
+
+
+def _chained(tables: DataFrame, keys: list[str], fan: int) -> DataFrame:
+    """One exit table for every ``fan`` neighbouring ones."""
 
     def combine(section: pa.Table) -> pa.Table:
         section = _utc(section).sort_by("_chunk")
@@ -140,6 +130,21 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         ones = section.select([*keys, "_group"]).take(pa.array(firsts)).rename_columns([*keys, "_chunk"])
         return ones.append_column("_table", pa.array(chains, pa.list_(pa.int64())))
 
+    grouped, pack = _in_groups(tables, fan)
+    fields = [StructField("_chunk", LongType()), StructField("_table", ArrayType(LongType()))]
+    schema = StructType([*[tables.schema[k] for k in keys], *fields])
+    return cut(grouped.groupBy(*keys, pack).applyInArrow(combine, schema))
+
+
+def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan: int) -> DataFrame:
+    """Overhang at entry of every chunk, from the exit tables and the overhang at the start.
+
+    Neighbouring tables are chained into one until few are left per stream; the entry of
+    each group of chunks is then handed down to its members.  Of a stream no task sees more than
+    ``fan`` tables, or several groups of them up to ``FAN`` tables.
+    """
+    grouped, pack = _in_groups(tables, fan)
+
     def hand_down(section: pa.Table) -> pa.Table:
         section = _utc(section).sort_by("_chunk")
         tables, starts, entries = section["_table"].to_pylist(), section["_start"].to_pylist(), []
@@ -153,17 +158,14 @@ def _entry_overhangs(tables: DataFrame, keys: list[str], start: DataFrame, fan:
         )
 
     if tables.agg(F.max("_chunk")).first()[0] >= fan:
-        schema = StructType(
-            [*key_fields, chunk_field, StructField("_table", ArrayType(LongType()))]
-        )
-        upper = cut(grouped.groupBy(*keys, pack).applyInArrow(combine, schema))
-        above = _entry_overhangs(upper, keys, start, fan).withColumnsRenamed(
+        above = _entry_overhangs(_chained(tables, keys, fan), keys, start, fan).withColumnsRenamed(
             {"_chunk": "_group", "_overhang": "_start"}
         )
         ready = same_keys(grouped, above, [*keys, "_group"])
     else:
         ready = same_keys(grouped, start, keys)
-    schema = StructType([*key_fields, chunk_field, StructField("_overhang", LongType())])
+    fields = [StructField("_chunk", LongType()), StructField("_overhang", LongType())]
+    schema = StructType([*[tables.schema[k] for k in keys], *fields])
     return ready.groupBy(*keys, pack).applyInArrow(hand_down, schema)
 
 
@@ -254,6 +256,83 @@ def dgim(
     return together.applyInArrow(replay, result_schema).drop("_bit")
 
 
+def window_ends(
+    pieces: DataFrame,
+    keys: Sequence[str],
+    window: int,
+    state: DataFrame,
+    chunk_rows: int = CHUNK_ROWS,
+    fan: int = FAN,
+) -> DataFrame:
+    """The state (see ``dgim_state``) of every stream of ``pieces`` after its last bit.
+
+    ``pieces`` comes from ``positions.packed_streams``, checkpointed.  The exit tables of all chunks
+    are chained and no row gets an estimate of its own, so rows are shuffled only to be put in order.
+    """
+    if chunk_rows < window:
+        raise ValueError("a chunk must hold at least one window")
+    keys = list(keys)
+    known = state.select(*keys, F.col("pos").alias("_base"), F.col("overhang").alias("_start"))
+    placed = cut(place_pieces(pieces, keys, known.drop("_start")))
+    ends = placed.groupBy(*keys).agg(F.max(F.col("pos") + F.col("_n") - 1).alias("_end"))
+    n = F.size("recent").cast("bigint")
+    past = state.select(
+        *keys,
+        (-n).alias("_at"),
+        n.alias("_n"),
+        F.array_join(F.col("recent").cast("array<string>"), "").cast("binary").alias("_bits"),
+    )
+    at = (F.col("pos") - F.col("_base") - 1).alias("_at")
+    low = F.greatest(F.lit(0), F.floor(F.col("_at") / chunk_rows)).cast("bigint")
+    high = F.floor((F.col("_at") + F.col("_n") - 1 + window) / chunk_rows).cast("bigint")
+    laid = placed.select(*keys, at, "_n", "_bits").unionByName(past)
+    laid = laid.withColumn("_chunk", F.explode(F.sequence(low, high)))
+    pack = F.floor(F.col("_chunk") / max(1, CHUNK_ROWS // chunk_rows)).cast("bigint").alias("_pack")
+
+    def tabulate(section: pa.Table) -> pa.Table:
+        section = _utc(section).sort_by([("_chunk", "ascending"), ("_at", "ascending")])
+        begins, pieces = section["_at"].to_pylist(), section["_bits"].to_pylist()
+        chunks, places, tables, recent = section["_chunk"].to_numpy(), [], [], []
+        for a, b in _runs(chunks):
+            own = int(chunks[a]) * chunk_rows
+            begin = max(begins[a], own - window)
+            bits = np.frombuffer(b"".join(pieces[a:b]), np.uint8)[begin - begins[a] : own + chunk_rows - begins[a]]
+            bits = bits.astype(np.int64) - ord("0")
+            if len(bits) > own - begin:
+                places.append(a)
+                tables.append(_exit_table(bits, own - begin, window))
+                recent.append(bits[-window:].tolist())
+        ones = section.select([*keys, "_chunk"]).take(pa.array(places, pa.int64()))
+        ones = ones.append_column("_table", pa.array(tables, pa.list_(pa.int64())))
+        return ones.append_column("recent", pa.array(recent, pa.list_(pa.int32())))
+
+    key_fields = [pieces.schema[k] for k in keys]
+    fields = [
+        StructField("_chunk", LongType()),
+        StructField("_table", ArrayType(LongType())),
+        StructField("recent", ArrayType(IntegerType())),
+    ]
+    tabled = cut(laid.groupBy(*keys, pack).applyInArrow(tabulate, StructType([*key_fields, *fields])))
+    newest = tabled.groupBy(*keys).agg(F.max_by("recent", "_chunk").alias("recent"))
+    tables = tabled.drop("recent")
+    while tables.agg(F.max("_chunk")).first()[0] >= fan:
+        tables = _chained(tables, keys, fan)
+
+    def last_exit(section: pa.Table) -> pa.Table:
+        section = _utc(section).sort_by("_chunk")
+        overhang = section["_start"][0].as_py()
+        for table in section["_table"].to_pylist():
+            overhang = table[overhang]
+        return section.select(keys).slice(0, 1).append_column("overhang", pa.array([overhang], pa.int64()))
+
+    started = same_keys(tables, known.drop("_base"), keys, "left").fillna(0, ["_start"])
+    overhangs = started.groupBy(*keys).applyInArrow(
+        last_exit, StructType([*key_fields, StructField("overhang", LongType())])
+    )
+    found = same_keys(same_keys(ends, overhangs, keys), newest, keys)
+    return found.select(*keys, F.col("_end").alias("pos"), "overhang", "recent")
+
+
 def _recent_rows(state: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last window of each stream, back from its state to one row per position."""
     return state.select(
@@ -345,17 +424,33 @@ def batch_statistics(
     ``actual_count`` counts the batch's own ones and ``error_percentage`` compares the
     estimate with it; ``exact_window_count`` is the true count the estimate stands for.
     """
+    counted = result.groupBy(*keys, batch).agg(
+        F.max("pos").alias("stream_position"),
+        F.max_by("estimate", "pos").alias("approximate_count"),
+        F.max_by("exact", "pos").alias("exact_window_count"),
+        F.sum(bit).alias("actual_count"),
+        F.count("*").alias("batch_size"),
+    )
+    return _with_errors(counted, window)
+
+
+def end_statistics(ends: DataFrame, keys: Sequence[str], window: int = 1000) -> DataFrame:
+    """``batch_statistics`` of one batch, from its ``window_ends`` with actual_count and batch_size."""
+    counted = ends.select(
+        *keys,
+        F.col("pos").alias("stream_position"),
+        dgim_total(F.col("recent"), F.col("overhang")).alias("approximate_count"),
+        dgim_total(F.col("recent"), F.lit(0).cast("bigint")).alias("exact_window_count"),
+        "actual_count",
+        "batch_size",
+    )
+    return _with_errors(counted, window)
+
+
+def _with_errors(counted: DataFrame, window: int) -> DataFrame:
     estimate, actual = F.col("approximate_count"), F.col("actual_count")
     return (
-        result.groupBy(*keys, batch)
-        .agg(
-            F.max("pos").alias("stream_position"),
-            F.max_by("estimate", "pos").alias("approximate_count"),
-            F.max_by("exact", "pos").alias("exact_window_count"),
-            F.sum(bit).alias("actual_count"),
-            F.count("*").alias("batch_size"),
-        )
-        .withColumn("window_size", F.lit(window))
+        counted.withColumn("window_size", F.lit(window))
         .withColumn("positive_ratio", estimate / F.lit(window))
         .withColumn(
             "error_percentage",

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from claimstream.operators.spread import same_keys
 from claimstream.session import cut
@@ -32,9 +36,12 @@ def with_positions(
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_slot", 33))
     )
-    runs = placed.groupBy(*keys, "_part").agg(
-        F.count("*").alias("_rows"), F.min("_slot").alias("_first")
-    )
+    return _counted_on(placed, keys, F.count("*"), base)
+
+
+def _counted_on(placed: DataFrame, keys: Sequence[str], rows: Column, base: DataFrame | None) -> DataFrame:
+    """``pos`` from the place in the partition; ``rows`` counts those of a stream in a partition."""
+    runs = placed.groupBy(*keys, "_part").agg(rows.alias("_rows"), F.min("_slot").alias("_first"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -49,6 +56,79 @@ def with_positions(
     )
 
 
+def utc(table: pa.Table) -> pa.Table:
+    """Instants as UTC: they arrive in the session's time zone, but must leave in UTC."""
+    for i, field in enumerate(table.schema):
+        if pa.types.is_timestamp(field.type) and field.type.tz:
+            table = table.set_column(i, field.name, table[i].cast(pa.timestamp("us", "UTC")))
+    return table
+
+
+def _stream_starts(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """Where rows in order have other keys than the row before; null keys are alike."""
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for key in keys:
+        column = table[key].combine_chunks()
+        mine, other = column.slice(1), column.slice(0, len(column) - 1)
+        differ = pc.fill_null(pc.not_equal(mine, other), True)
+        alike = pc.and_(pc.is_null(mine), pc.is_null(other))
+        new[1:] |= pc.and_not(differ, alike).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def packed_streams(df: DataFrame, keys: Sequence[str], order: Sequence[str], bit: str) -> DataFrame:
+    """The bits of each stream in order, a row per stream and Arrow batch.
+
+    ``_bits`` holds them as the characters 0 and 1, ``_n`` and ``_ones`` count them; ``_first_<i>`` and
+    ``_last_<i>`` are the i-th order column of the first and the last row.  Rows are range-partitioned as
+    for ``with_positions`` and shuffled this once; checkpoint the pieces before ``place_pieces``.
+    """
+    keys, order = list(keys), list(order)
+    ordered = (
+        df.select(*keys, *order, F.col(bit).cast("byte").alias("_bit"))
+        .repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_part", F.spark_partition_id())
+    )
+    ends = [StructField(f"_{end}_{i}", df.schema[c].dataType) for end in ("first", "last") for i, c in enumerate(order)]
+    numbers = [StructField(c, LongType()) for c in ("_slot", "_n", "_ones")]
+    schema = StructType(
+        [*[df.schema[k] for k in keys], StructField("_part", IntegerType()), *numbers,
+         StructField("_bits", BinaryType()), *ends]
+    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = utc(pa.Table.from_batches([batch]))
+            starts = _stream_starts(table, keys)
+            edges = np.append(starts, table.num_rows)
+            bits = table["_bit"].to_numpy()
+            characters = pa.py_buffer((bits + ord("0")).astype(np.uint8).tobytes())
+            places = pa.py_buffer(edges.astype(np.int32).tobytes())
+            head, tail = table.take(pa.array(starts)), table.take(pa.array(edges[1:] - 1))
+            counts = (slot + starts, np.diff(edges), np.add.reduceat(bits, starts, dtype=np.int64))
+            columns = [
+                *[head[c] for c in [*keys, "_part"]],
+                *[pa.array(c, pa.int64()) for c in counts],
+                pa.Array.from_buffers(pa.binary(), len(starts), [None, places, characters]),
+                *[head[c] for c in order],
+                *[tail[c] for c in order],
+            ]
+            yield from pa.table(columns, names=schema.fieldNames()).combine_chunks().to_batches()
+            slot += table.num_rows
+
+    return ordered.mapInArrow(pack, schema)
+
+
+def place_pieces(pieces: DataFrame, keys: Sequence[str], base: DataFrame | None = None) -> DataFrame:
+    """``pos`` of the first bit of each piece of ``packed_streams``; see ``with_positions`` for ``base``."""
+    return _counted_on(pieces, keys, F.sum("_n"), base)
+
+
 def in_chunks(
     positioned: DataFrame, window: int, chunk_rows: int = CHUNK_ROWS, base: str | None = None
 ) -> DataFrame:

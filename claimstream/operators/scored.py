@@ -89,7 +89,10 @@ def head_sample(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: in
     """The first rows of each group by arrival order.
 
     Spark prunes every task to ``rows`` rows per group before the shuffle
-    (WindowGroupLimit), so a group that fills the table costs no more than another.
+    (WindowGroupLimit), so a group that fills the table costs no more than another.  Without
+    groups the first rows are taken beforehand, which needs no sort of all rows.
     """
+    if not by:
+        df = df.orderBy(*order).limit(rows)
     arrival = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("arrival", arrival).where(F.col("arrival") <= rows)

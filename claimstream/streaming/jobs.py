@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from claimstream.functions import scored as S
 from claimstream.functions.text import choose_text, joined_tokens, split_joined
-from claimstream.operators import classifier, dgim, lsh, patterns, sampling
+from claimstream.operators import classifier, dgim, lsh, patterns, positions, sampling
 from claimstream.operators import scored as ops
 from claimstream.operators.spread import same_keys, spread_lookup
 from claimstream.schemas import CLAIM
@@ -171,21 +171,28 @@ def positives_in_window(
         bits = parsed.select(
             *keys, *order, S.positive_bit(F.col("predicted_label")).alias("is_positive")
         )
-        place = F.struct(*order)
-        starts = cut(bits.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("last")))
-        state = keyed_state(spark, f"{out}/state", keys, schema, batch_id, starts)
+        pieces = cut(positions.packed_streams(bits, keys, order, "is_positive"))
+        first, last = (
+            F.struct(*[F.col(f"_{end}_{i}").alias(c) for i, c in enumerate(order)]) for end in ("first", "last")
+        )
+        arrived = cut(
+            pieces.groupBy(*keys).agg(
+                F.min(first).alias("_first"),
+                F.max(last).alias("last"),
+                F.sum("_ones").alias("actual_count"),
+                F.sum("_n").alias("batch_size"),
+            )
+        )
+        state = keyed_state(spark, f"{out}/state", keys, schema, batch_id, arrived)
         late = F.raise_error(F.lit(f"batch {batch_id} has rows before the last one of their stream"))
         known = cut(
-            same_keys(state, starts.drop("last"), keys)
+            same_keys(state, arrived.select(*keys, "_first"), keys)
             .withColumn("pos", F.when(F.col("_first") <= F.col("last"), late).otherwise(F.col("pos")))
             .drop("_first", "last", "updated_at")
         )
-        counted = cut(dgim.dgim(bits, keys, order, "is_positive", window, known, chunk_rows))
-        newest = dgim.dgim_state(counted, keys, "is_positive", window, known)
-        newest = same_keys(newest, starts.drop("_first"), keys)
-        stats = dgim.batch_statistics(
-            counted.withColumn("_batch", F.lit(batch_id)), keys, "_batch", "is_positive", window
-        ).drop("_batch")
+        ends = dgim.window_ends(pieces, keys, window, known, chunk_rows)
+        newest = cut(same_keys(ends, arrived.drop("_first"), keys))
+        stats = dgim.end_statistics(newest, keys, window)
         write_batch(ops.head_sample(ops.stamp(parsed), [], order), f"{out}/raw_sample", batch_id)
         write_batch(ops.stamp(stats), f"{out}/stats", batch_id)
         stamped = newest.withColumn("updated_at", F.unix_timestamp())

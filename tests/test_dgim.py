@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from claimstream.operators.dgim import dgim, dgim_buckets, dgim_state
-from claimstream.operators.positions import window_counts, with_positions
+from claimstream.operators.dgim import dgim, dgim_buckets, dgim_state, window_ends
+from claimstream.operators.positions import packed_streams, window_counts, with_positions
+from claimstream.session import cut
 
 
 class SlowHistogram:
@@ -138,3 +139,35 @@ def test_small_chunks_share_a_call(spark):
     calls = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FlatMap" in line]
     assert calls and all("_pack" in line for line in calls)
     assert all(r.exact == sum(i % 3 == 0 for i in range(max(0, r.id - 3), r.id + 1)) for r in found.collect())
+
+
+def test_window_ends_equal_the_state_after_every_row(spark):
+    """Streams of one row up to many chunks, a null key, small Arrow batches, state carried on."""
+    draw, keys, window, chunk_rows = random.Random(15), ["a", "b"], 7, 9
+    sizes = {("x", 1): 400, ("x", None): 1, (None, 1): 30, (None, None): 18, ("y", 2): 9}
+    state = {
+        name: spark.createDataFrame(
+            [], "a string, b int, pos bigint, overhang bigint, recent array<int>"
+        )
+        for name in ("rows", "ends")
+    }
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "23")
+    try:
+        for batch in range(3):
+            rows = [
+                (*key, batch * 1000 + i, int(draw.random() < [0.9, 0.3, 0.6][batch]))
+                for key, n in sizes.items()
+                for i in range(n if batch < 2 else n // 4)
+            ]
+            draw.shuffle(rows)
+            df = spark.createDataFrame(rows, "a string, b int, t int, bit int").repartition(3)
+            counted = cut(dgim(df, keys, ["t"], "bit", window, state["rows"], chunk_rows, fan=3))
+            state["rows"] = cut(dgim_state(counted, keys, "bit", window, state["rows"]))
+            pieces = cut(packed_streams(df, keys, ["t"], "bit"))
+            assert pieces.agg(F.sum("_n"), F.sum("_ones")).first() == (len(rows), sum(r[3] for r in rows))
+            ends = window_ends(pieces, keys, window, state["ends"], chunk_rows, fan=3)
+            newest = {r[:2]: tuple(r) for r in state["ends"].collect()} | {r[:2]: tuple(r) for r in ends.collect()}
+            assert newest == {r[:2]: tuple(r) for r in state["rows"].collect()}
+            state["ends"] = spark.createDataFrame(list(newest.values()), state["ends"].schema)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

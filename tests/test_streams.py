@@ -239,3 +239,19 @@ def test_a_failing_batch_stops_the_query(spark, messages):
     )
     with pytest.raises(StreamingQueryException):
         run.awaitTermination()
+
+
+def test_the_window_count_estimates_no_single_rows(spark, messages, monkeypatch):
+    """Only the ends of the streams are asked for: rows are put in order once and not numbered."""
+
+    def never(*_, **__):
+        raise AssertionError("all rows were estimated")
+
+    monkeypatch.setattr(dgim, "dgim", never)
+    path, out = fresh_path(spark, "sent"), fresh_path(spark, "window")
+    send(messages, path, 0, 300)
+    send(messages, path, 300, 1000)
+    jobs.positives_in_window(
+        stream(spark, messages, path), ["key"], ["ts", "id"], out, f"{out}-run", trigger=jobs.ALL_THEN_STOP
+    ).awaitTermination()
+    assert spark.read.parquet(f"{out}/stats").agg(F.sum("batch_size")).first()[0] == 1000
