@@ -268,8 +268,12 @@ def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _together(rows: DataFrame, key: str, work) -> DataFrame:
-    """Edges of a function over the rows, those of one key together; keys are of bounded size."""
-    dealt = rows.repartition(key).sortWithinPartitions(key)
+    """Edges of a function over the rows, those of one key together; keys are of bounded size.
+
+    Rows are dealt by a hash of the key: after a join on the key itself the planner would take this
+    exchange for needless, and then read the join's own by mapper or in split partitions.
+    """
+    dealt = rows.repartition(F.xxhash64(key)).sortWithinPartitions(key)
     return dealt.mapInArrow(work, "a bigint, b bigint").where("a != b")
 
 
@@ -332,7 +336,8 @@ def settled(members: DataFrame, block: int = BLOCK) -> DataFrame:
     large = counted.where("blocks > 2")
     if large.isEmpty():
         return _named(members)
-    small = members.join(large.select("cluster"), "cluster", "left_anti")
+    # At most one cluster for every two blocks of texts or elements.
+    small = members.join(F.broadcast(large.select("cluster")), "cluster", "left_anti")
     return _named(small).unionByName(components(_large_edges(members, large, block), "a", "b"))
 
 

@@ -66,6 +66,24 @@ def test_near_copies_with_crowded_nodes_and_clusters(spark, folder, settings):
     assert cases.counted(got) == cases.counted(cases.alike_rows(rows))
 
 
+def test_small_clusters_beside_a_large_one(spark):
+    """Adaptive planning must not part the small clusters when the large ones are taken out."""
+    rows, text = [], cases.prose(80, 150, 3000)
+    for i in range(30):
+        rows.append((i, edited(i, text, 0.005), "en", "n"))
+    for i in range(40):
+        text = cases.prose(600 + i, 150, 3000)
+        rows += [(100 + 4 * i + k, f"{text} e{k}", "en", "n") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = chosenpath.near_copies(docs, "doc_id", "text", block=3).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    assert cases.counted(got) == cases.counted(cases.alike_rows(rows))
+
+
 def test_phrases_of_edge_cases(spark, folder):
     rows, path = folder
     got = QUERIES["op12_phrases"](spark, path).collect()
